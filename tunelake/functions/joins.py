@@ -1,0 +1,19 @@
+"""Size-checked broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Broadcast only sides proven to have at most this many rows.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Hint a broadcast only after counting (at most ``max_rows + 1`` rows).
+
+    Larger sides are left to the planner (sort-merge, or AQE's runtime
+    broadcast when the shuffled side turns out small).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

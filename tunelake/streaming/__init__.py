@@ -1,0 +1,6 @@
+"""Streaming.
+
+The workload has no streams, watermarks, windows over time or state: every
+input is a bounded file. Nothing is built here on purpose; the batch operators
+in ``tunelake.operators`` are the whole surface.
+"""
