@@ -124,3 +124,133 @@ FROM (SELECT majority_genre, track_id, title, play_count,
       FROM merged WHERE majority_genre <> '') q WHERE rn <= 100""", "merged"))
 def q_top_tracks_per_genre(spark, d):
     return tt.top_tracks_per_genre(merged(spark, d), 100)
+
+
+# ---------------------------------------------------------------- ingest (S1-S8): render tables to text, parse back
+
+def _with_comment(spark: SparkSession, lines: DataFrame) -> DataFrame:
+    return spark.range(1).select(F.lit("# comment line").alias("value")).unionByName(lines)
+
+
+@register("ingest_delimited", "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders")
+def q_ingest_delimited(spark, d):
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+    from tunelake.sources import text
+    o = td.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    schema = StructType([StructField("o_orderkey", LongType()), StructField("o_custkey", LongType()),
+                         StructField("o_orderstatus", StringType()), StructField("o_orderpriority", StringType())])
+    return text.parse_delimited(_with_comment(spark, text.render_delimited(o, "|")), schema, "|")
+
+
+@register("ingest_ragged_defaults", W("""
+SELECT user_id, song_id, CASE WHEN play_count > 40 THEN 0 ELSE play_count END AS play_count FROM triplets""",
+                                      "triplets"))
+def q_ingest_ragged_defaults(spark, d):
+    from tunelake import schemas
+    from tunelake.sources import text
+    t = td.triplets(spark, d)
+    pc = F.col("play_count")
+    # counts above 40 are left out (-> default 0); counts below 5 carry an extra field (dropped)
+    line = F.concat_ws("\t", "user_id", "song_id", F.when(pc <= 40, pc.cast("string")),
+                       F.when(pc < 5, F.lit("extra")))
+    return text.parse_delimited(t.select(line.alias("value")), schemas.TRIPLETS, "\t")
+
+
+@register("source_genres", W("SELECT * FROM genres", "genres"))
+def q_source_genres(spark, d):
+    from tunelake import schemas
+    from tunelake.sources import text
+    lines = _with_comment(spark, text.render_delimited(td.genres(spark, d), "\t"))
+    return text.parse_delimited(lines, schemas.GENRES, "\t")
+
+
+@register("source_triplets", W("SELECT * FROM triplets", "triplets"))
+def q_source_triplets(spark, d):
+    from tunelake import schemas
+    from tunelake.sources import text
+    lines = _with_comment(spark, text.render_delimited(td.triplets(spark, d), "\t"))
+    return text.parse_delimited(lines, schemas.TRIPLETS, "\t")
+
+
+@register("source_tracks", W("SELECT * FROM tracks", "tracks"))
+def q_source_tracks(spark, d):
+    from tunelake import schemas
+    from tunelake.sources import text
+    lines = _with_comment(spark, text.render_delimited(td.tracks(spark, d), "<SEP>"))
+    return text.parse_delimited(lines, schemas.TRACKS, "<SEP>")
+
+
+def _lyrics_lines(spark, d):
+    from tunelake.sources import text
+    vocab = td.vocabulary(spark, d)
+    return _with_comment(spark, text.render_lyrics(td.lyrics(spark, d, vocab), vocab))
+
+
+@register("source_vocabulary", W("SELECT word_id, word FROM vocabulary", "vocabulary"))
+def q_source_vocabulary(spark, d):
+    from tunelake.sources import text
+    return text.parse_vocabulary(_lyrics_lines(spark, d))
+
+
+@register("source_lyrics", W("SELECT * FROM lyrics", "lyrics"))
+def q_source_lyrics(spark, d):
+    from tunelake.sources import text
+    return text.parse_lyrics(_lyrics_lines(spark, d))
+
+
+# The words of the pivot query (frequent words of the test prose).
+PIVOT_WORDS = ["the", "of", "and", "to", "in", "is", "that", "it", "for", "was"]
+
+
+@register("lyrics_pivot", W("SELECT track_id, " + ", ".join(
+    f"CAST(SUM(CASE WHEN word = '{w}' THEN cnt ELSE 0 END) AS BIGINT) AS \"{w}\"" for w in PIVOT_WORDS)
+    + " FROM lyrics GROUP BY track_id", "lyrics"))
+def q_lyrics_pivot(spark, d):
+    from tunelake.sources import text
+    return text.lyrics_pivot(td.lyrics(spark, d), PIVOT_WORDS)
+
+
+# ---------------------------------------------------------------- parquet scan / sink / materialise
+
+def _stored_merged(spark, d) -> str:
+    from tunelake.session import scratch_path
+    from tunelake.sources import parquet
+    return parquet.write(merged(spark, d), scratch_path(spark, "merged"))
+
+
+@register("scan_parquet", "SELECT * FROM part")
+def q_scan_parquet(spark, d):
+    from tunelake.sources import parquet
+    return parquet.scan(spark, f"{d}/part.parquet")
+
+
+@register("scan_pruned", W("SELECT track_id, title, play_count, majority_genre FROM merged", "merged"))
+def q_scan_pruned(spark, d):
+    from tunelake.sources import parquet
+    return parquet.scan(spark, _stored_merged(spark, d), ["track_id", "title", "play_count", "majority_genre"])
+
+
+@register("sink_parquet_roundtrip", W("SELECT * FROM merged", "merged"))
+def q_sink_parquet_roundtrip(spark, d):
+    from tunelake.sources import parquet
+    return parquet.scan(spark, _stored_merged(spark, d))
+
+
+@register("materialise_skip", W("SELECT * FROM merged", "merged"))
+def q_materialise_skip(spark, d):
+    from tunelake.session import scratch_path
+    from tunelake.sources import parquet
+    path = scratch_path(spark, "materialised")
+    parquet.materialise(spark, path, lambda: merged(spark, d))
+    # second call finds enough rows and must not rebuild (a failing builder proves it)
+    def fail():
+        raise AssertionError("materialise rebuilt a complete table")
+    return parquet.materialise(spark, path, fail)
+
+
+@register("merged_sorted", W("SELECT * FROM merged", "merged"))
+def q_merged_sorted(spark, d):
+    from tunelake.plans.build import store_sorted
+    from tunelake.session import scratch_path
+    return store_sorted(merged(spark, d), scratch_path(spark, "merged-sorted"))
