@@ -57,19 +57,22 @@ def length_band(length: Column, cutoff: float) -> Column:
     return F.sequence(lo.cast("int"), hi.cast("int"))
 
 
-def fuzzy_pairs(queries: DataFrame, q_col: str, candidates: DataFrame, c_col: str,
-                cutoff: float = 0.8) -> DataFrame:
-    """Every (query, candidate) pair with ratio(candidate, query) >= cutoff.
-
-    An equi-join on candidate length against the query's exploded length band
-    replaces the cross product; only length-compatible pairs reach the UDF.
-    ``queries`` is the small side (keywords, one input name) and is broadcast.
+def fuzzy_pairs(big: DataFrame, big_col: str, small: DataFrame, small_col: str,
+                cutoff: float = 0.8, small_is_a: bool = True) -> DataFrame:
+    """Every distinct (big value, small value) pair whose ratio reaches ``cutoff``.
+
+    ``small_is_a`` says which side is ``a`` (the candidate) in ratio(a, b). An
+    equi-join on length against the small side's exploded length band replaces
+    the cross product, so only length-compatible pairs reach the Python UDF.
+    The small side (keywords, a few names) is broadcast after a size check.
     """
-    q = queries.select(F.col(q_col).alias("_q")).distinct()
-    q = q.select("_q", F.explode(length_band(F.length("_q"), cutoff)).alias("_len"))
-    c = candidates.select(F.col(c_col).alias("_c")).distinct().withColumn("_len", F.length("_c"))
-    pairs = c.join(F.broadcast(q), "_len").drop("_len")
-    scored = pairs.withColumn("ratio", fuzzy_ratio(F.col("_c"), F.col("_q")))
+    from tunelake.functions.joins import broadcast_if_small
+
+    s = small.select(F.col(small_col).alias("_s")).distinct()
+    s = s.select("_s", F.explode(length_band(F.length("_s"), cutoff)).alias("_len"))
+    b = big.select(F.col(big_col).alias("_b")).distinct().withColumn("_len", F.length("_b"))
+    pairs = b.join(broadcast_if_small(s), "_len").drop("_len")
+    a, bb = ("_s", "_b") if small_is_a else ("_b", "_s")
+    scored = pairs.withColumn("ratio", fuzzy_ratio(F.col(a), F.col(bb)))
     return scored.where(F.col("ratio") >= F.lit(cutoff)).select(
-        F.col("_q").alias(q_col), F.col("_c").alias(c_col), "ratio")
-
+        F.col("_b").alias(big_col), F.col("_s").alias(small_col), "ratio")

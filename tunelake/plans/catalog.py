@@ -254,3 +254,197 @@ def q_merged_sorted(spark, d):
     from tunelake.plans.build import store_sorted
     from tunelake.session import scratch_path
     return store_sorted(merged(spark, d), scratch_path(spark, "merged-sorted"))
+
+
+# ---------------------------------------------------------------- lyrics
+
+def _stop_list_sql() -> str:
+    from tunelake.functions.stopwords import ENGLISH
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH)
+
+
+FILTERED_VOCAB_SQL = f"""
+SELECT word, word_id FROM vocabulary
+WHERE regexp_full_match(trim(lower(word)), '\\p{{L}}+') AND trim(lower(word)) NOT IN ({_stop_list_sql()})"""
+
+
+def _lyr(spark, d):
+    vocab = td.vocabulary(spark, d)
+    return vocab, td.lyrics(spark, d, vocab), td.lexicon(spark, d, vocab)
+
+
+def _scores(spark, d):
+    from tunelake.operators import lyrics as ly
+    _, lyr, lex = _lyr(spark, d)
+    return ly.theme_scores(lyr, lex)
+
+
+@register("filter_vocabulary", W(FILTERED_VOCAB_SQL, "vocabulary"))
+def q_filter_vocabulary(spark, d):
+    from tunelake.operators import lyrics as ly
+    return ly.filter_vocabulary(td.vocabulary(spark, d))
+
+
+@register("theme_scores", W("SELECT theme, track_id, score FROM theme_scores", "theme_scores"))
+def q_theme_scores(spark, d):
+    return _scores(spark, d)
+
+
+THEME_TOP_SQL = """
+SELECT artist_name, title, play_count,
+       CAST(row_number() OVER (ORDER BY play_count DESC, track_id) - 1 AS BIGINT) AS index_number
+FROM merged WHERE track_id IN (SELECT track_id FROM theme_scores WHERE theme = 'love'
+                               ORDER BY score DESC, track_id LIMIT 50)"""
+
+
+@register("theme_top_tracks", W(THEME_TOP_SQL, "merged", "theme_scores"))
+def q_theme_top_tracks(spark, d):
+    from tunelake.operators import lyrics as ly
+    return ly.theme_top_tracks(_scores(spark, d), merged(spark, d), "love", 50)
+
+
+@register("top_tracks_per_theme", W("""
+SELECT b.theme, m.track_id, m.artist_name, m.title, m.play_count,
+       CAST(row_number() OVER (PARTITION BY b.theme ORDER BY m.play_count DESC, m.track_id) - 1 AS BIGINT)
+         AS index_number
+FROM merged m JOIN (SELECT theme, track_id FROM (
+    SELECT theme, track_id, row_number() OVER (PARTITION BY theme ORDER BY score DESC, track_id) AS rn
+    FROM theme_scores) q WHERE rn <= 50) b ON m.track_id = b.track_id""", "merged", "theme_scores"))
+def q_top_tracks_per_theme(spark, d):
+    from tunelake.operators import lyrics as ly
+    return ly.top_tracks_per_theme(_scores(spark, d), merged(spark, d), 50)
+
+
+@register("lookup_tracks", W("""
+SELECT artist_name, title, play_count, track_id,
+       CAST(row_number() OVER (ORDER BY play_count DESC, track_id) - 1 AS BIGINT) AS index_number
+FROM merged WHERE track_id IN (SELECT track_id FROM lyrics)""", "merged", "lyrics"))
+def q_lookup_tracks(spark, d):
+    from tunelake.operators import lyrics as ly
+    return ly.lookup_tracks(merged(spark, d), td.lyrics(spark, d), verbose=True)
+
+
+WEAK_LABELS_SQL = """
+SELECT track_id, theme AS theme_label FROM (
+    SELECT theme, track_id, row_number() OVER (PARTITION BY theme ORDER BY score DESC, track_id) AS rn
+    FROM theme_scores) q
+WHERE rn <= 500 AND track_id IN (SELECT track_id FROM merged)"""
+
+
+@register("weak_labels", W(WEAK_LABELS_SQL, "merged", "theme_scores"))
+def q_weak_labels(spark, d):
+    from tunelake.operators import lyrics as ly
+    return ly.weak_labels(_scores(spark, d), merged(spark, d), 500)
+
+
+@register("label_union", W(WEAK_LABELS_SQL, "merged", "theme_scores"))
+def q_label_union(spark, d):
+    from tunelake.operators import lyrics as ly
+    return ly.label_union(_scores(spark, d), merged(spark, d), td.THEMES, 500)
+
+
+@register("doc_freq", W("""
+SELECT word, CAST(count(DISTINCT track_id) AS BIGINT) AS df FROM lyrics WHERE cnt > 0 GROUP BY word""", "lyrics"))
+def q_doc_freq(spark, d):
+    from tunelake.operators import lyrics as ly
+    return ly.doc_freq(td.lyrics(spark, d))
+
+
+@register("tfidf", W("""
+, n AS (SELECT count(DISTINCT track_id) AS n FROM lyrics),
+  dfs AS (SELECT word, count(*) AS df FROM lyrics GROUP BY word),
+  w AS (SELECT l.track_id, l.word, l.cnt * (ln((1.0 + n.n) / (1.0 + dfs.df)) + 1.0) AS w
+        FROM lyrics l JOIN dfs ON l.word = dfs.word CROSS JOIN n)
+SELECT track_id, word, round(w / sqrt(sum(w * w) OVER (PARTITION BY track_id)), 6) AS tfidf FROM w""", "lyrics")
+          .replace("\n, n AS", ",\nn AS", 1))
+def q_tfidf(spark, d):
+    from tunelake.operators import lyrics as ly
+    t = ly.tfidf(td.lyrics(spark, d))
+    return t.select("track_id", "word", F.round("tfidf", 6).alias("tfidf"))
+
+
+# ---------------------------------------------------------------- keyword expansion (M1, J6, J7, U2, M2, vectors)
+
+EXPAND_SQL = """
+SELECT DISTINCT x.theme, b.lemma AS term
+FROM lexicon x JOIN synsets a ON a.lemma = x.term JOIN synsets b ON b.synset_id = a.synset_id"""
+
+
+def _expanded(spark, d):
+    from tunelake.operators import keywords as kw
+    vocab = td.vocabulary(spark, d)
+    return kw.expand_theme_terms(td.lexicon(spark, d, vocab), td.synsets(spark, d, vocab))
+
+
+@register("expand_theme_terms", W(EXPAND_SQL, "lexicon", "synsets"))
+def q_expand_theme_terms(spark, d):
+    return _expanded(spark, d)
+
+
+@register("keyword_union", W(f"SELECT theme, term FROM lexicon UNION SELECT theme, term FROM ({EXPAND_SQL}) e",
+                             "lexicon", "synsets"))
+def q_keyword_union(spark, d):
+    from tunelake.operators import keywords as kw
+    return kw.keyword_union(td.lexicon(spark, d), _expanded(spark, d))
+
+
+@register("keywords_in_vocab", W(f"""
+SELECT theme, term FROM ({EXPAND_SQL}) e WHERE term IN (SELECT word FROM ({FILTERED_VOCAB_SQL}) f)""",
+                                 "lexicon", "synsets"))
+def q_keywords_in_vocab(spark, d):
+    from tunelake.operators import keywords as kw
+    from tunelake.operators import lyrics as ly
+    return kw.keywords_in_vocab(_expanded(spark, d), ly.filter_vocabulary(td.vocabulary(spark, d)))
+
+
+@register("spell_correct", W("""
+, q AS (SELECT DISTINCT word FROM (SELECT term AS word FROM lexicon
+                                   UNION ALL SELECT concat(substr(term, 1, 1), substr(term, 3)) FROM lexicon) u),
+  c AS (SELECT q.word, v.word AS cand,
+               row_number() OVER (PARTITION BY q.word ORDER BY levenshtein(q.word, v.word), v.word_id, v.word) AS rn
+        FROM q JOIN vocabulary v ON levenshtein(q.word, v.word) <= 2)
+SELECT q.word, COALESCE(c.cand, q.word) AS correction FROM q LEFT JOIN c ON c.word = q.word AND c.rn = 1""",
+                             "lexicon").replace("\n, q AS", ",\nq AS", 1))
+def q_spell_correct(spark, d):
+    from tunelake.operators import keywords as kw
+    vocab = td.vocabulary(spark, d)
+    lex = td.lexicon(spark, d, vocab)
+    misspelt = lex.select(F.concat(F.substring("term", 1, 1), F.substring("term", 3, 1 << 20)).alias("word"))
+    words = lex.select(F.col("term").alias("word")).unionByName(misspelt)
+    return kw.spell_correct(words, vocab)
+
+
+@register("fuzzy_vocab_match", None)
+def q_fuzzy_vocab_match(spark, d):
+    from tunelake.operators import keywords as kw
+    vocab = td.vocabulary(spark, d)
+    return kw.fuzzy_vocab_match(vocab, td.lexicon(spark, d, vocab))
+
+
+@register("vector_topk", """
+SELECT q.vec_id AS query_id, c.vec_id,
+       round(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])), 6) AS score,
+       CAST(row_number() OVER (ORDER BY list_cosine_similarity(CAST(q.embedding AS DOUBLE[]),
+                                   CAST(c.embedding AS DOUBLE[])) DESC, c.vec_id) AS BIGINT) AS rank
+FROM embeddings q JOIN embeddings c ON q.vec_id = 0 AND c.vec_id <> 0
+QUALIFY rank <= 10""")
+def q_vector_topk(spark, d):
+    from tunelake.operators.vectors import vector_topk
+    e = td.embeddings(spark, d)
+    q = e.where(F.col("vec_id") == 0).select(F.col("vec_id").alias("query_id"), "embedding")
+    top = vector_topk(q, "query_id", "embedding", e, "vec_id", "embedding", 10, "cosine", exclude_self=True)
+    return top.select("query_id", "vec_id", F.round("score", 6).alias("score"), "rank")
+
+
+def _w2v_vectors(spark, d):
+    from tunelake.operators import keywords as kw
+    vocab = td.vocabulary(spark, d)
+    sentences = kw.document_sentences(td.positioned_tokens(spark, d), vocab)
+    return kw.word_vectors(kw.train_word2vec(sentences)), vocab
+
+
+@register("word2vec_expand", None)
+def q_word2vec_expand(spark, d):
+    from tunelake.operators import keywords as kw
+    vectors, vocab = _w2v_vectors(spark, d)
+    return kw.word2vec_expand(vectors, td.lexicon(spark, d, vocab), 5)

@@ -74,6 +74,15 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def positioned_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, pos, w): the tokens with their position in the text."""
+    docs = table(spark, sf_dir, "documents").where(F.col("lang") == "en").select("doc_id", "text")
+    return (
+        docs.select("doc_id", F.posexplode(F.split(F.lower("text"), "[^a-z]+")).alias("pos", "w"))
+        .where(F.length("w") > 1)
+    )
+
+
 def vocabulary(spark: SparkSession, sf_dir: str, size: int = VOCABULARY_SIZE) -> DataFrame:
     """(word, word_id): the ``size`` most frequent words, 1-based ids by frequency.
 
