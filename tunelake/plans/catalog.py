@@ -448,3 +448,168 @@ def q_word2vec_expand(spark, d):
     from tunelake.operators import keywords as kw
     vectors, vocab = _w2v_vectors(spark, d)
     return kw.word2vec_expand(vectors, td.lexicon(spark, d, vocab), 5)
+
+
+# ---------------------------------------------------------------- recommendations
+
+# Model size used by the registered queries (the API defaults are the reference's
+# rank 200 / 20 iterations); ALS results are checked by row count and properties.
+QUERY_ALS = {"rank": 16, "max_iter": 5}
+
+
+def _inter(spark, d):
+    from tunelake.operators import recommend as rc
+    return rc.interactions(td.triplets(spark, d))
+
+
+def _tt(spark, d):
+    from tunelake.operators import recommend as rc
+    return rc.hash_split(_inter(spark, d), ["user_id", "song_id"])
+
+
+@register("filter_played", W("SELECT * FROM triplets WHERE play_count > 0", "triplets"))
+def q_filter_played(spark, d):
+    from tunelake.operators import recommend as rc
+    return rc.played(td.triplets(spark, d))
+
+
+@register("interactions", W("SELECT * FROM interactions", "interactions"))
+def q_interactions(spark, d):
+    return _inter(spark, d)
+
+
+@register("distinct_users_songs", W("""
+SELECT CAST(count(DISTINCT user_id) AS BIGINT) AS n_users, CAST(count(DISTINCT song_id) AS BIGINT) AS n_songs
+FROM interactions""", "interactions"))
+def q_distinct_users_songs(spark, d):
+    from tunelake.operators import recommend as rc
+    return rc.distinct_counts(_inter(spark, d))
+
+
+@register("dictionary_encode", W("""
+SELECT song_id, CAST(row_number() OVER (ORDER BY song_id) - 1 AS INTEGER) AS song_idx
+FROM (SELECT DISTINCT song_id FROM interactions) q""", "interactions"))
+def q_dictionary_encode(spark, d):
+    from tunelake.operators.ids import dense_ids
+    return dense_ids(_inter(spark, d), "song_id", "song_idx")
+
+
+@register("encode_roundtrip", W("SELECT * FROM interactions", "interactions"))
+def q_encode_roundtrip(spark, d):
+    from tunelake.operators import recommend as rc
+    inter = _inter(spark, d)
+    users, songs = rc.dictionaries(inter)
+    return rc.decode(rc.encode(inter, users, songs), users, songs)
+
+
+@register("hash_split", W("SELECT * FROM tt", "tt"))
+def q_hash_split(spark, d):
+    return _tt(spark, d)
+
+
+@register("exact_split", W("""
+SELECT track_id, CASE WHEN r <= ceil(0.2 * n) THEN 'test' ELSE 'train' END AS part
+FROM (SELECT track_id, row_number() OVER (ORDER BY md5(concat('42:', track_id)), track_id) AS r,
+             count(*) OVER () AS n
+      FROM (SELECT DISTINCT track_id FROM lyrics) q) z""", "lyrics"))
+def q_exact_split(spark, d):
+    from tunelake.operators import recommend as rc
+    return rc.exact_split(td.lyrics(spark, d), "track_id")
+
+
+@register("sample_n", W("""
+SELECT user_id, song_id, play_count, is_test FROM tt WHERE is_test = 1
+ORDER BY substr(md5(concat('42:', user_id, '|', song_id)), 1, 8), user_id, song_id LIMIT 10000""", "tt"))
+def q_sample_n(spark, d):
+    from tunelake.operators import recommend as rc
+    test = _tt(spark, d).where(F.col("is_test") == 1)
+    return rc.sample_n(test, ["user_id", "song_id"], 10000)
+
+
+POPULARITY_RECS_SQL = """
+, recs AS (
+SELECT user_id, song_id, CAST(rn AS BIGINT) AS rn
+FROM (SELECT c.user_id, c.song_id, row_number() OVER (PARTITION BY c.user_id ORDER BY c.pop DESC, c.song_id) AS rn
+      FROM (SELECT u.user_id, s.song_id, s.pop
+            FROM (SELECT DISTINCT user_id FROM tt WHERE is_test = 0) u
+            CROSS JOIN (SELECT song_id, CAST(SUM(play_count) AS BIGINT) AS pop
+                        FROM tt WHERE is_test = 0 GROUP BY song_id) s) c
+      LEFT JOIN tt x ON x.user_id = c.user_id AND x.song_id = c.song_id AND x.is_test = 0
+      WHERE x.user_id IS NULL) r
+WHERE rn <= 10)"""
+
+
+def _with_recs(body: str) -> str:
+    return W(POPULARITY_RECS_SQL + "\n" + body, "tt").replace("\n, recs AS", ",\nrecs AS", 1)
+
+
+def _pop_recs(spark, d):
+    from tunelake.operators import recommend as rc
+    train = _tt(spark, d).where(F.col("is_test") == 0)
+    return rc.popularity_recommend(train, 10)
+
+
+@register("exclude_seen", _with_recs("SELECT * FROM recs"))
+def q_exclude_seen(spark, d):
+    return _pop_recs(spark, d)
+
+
+@register("ranking_metrics", _with_recs("""
+SELECT CAST(count(r.song_id) AS BIGINT) AS hits, CAST(count(*) AS BIGINT) AS total,
+       CAST(count(DISTINCT t.user_id) AS BIGINT) AS users,
+       round(count(r.song_id) * 1e0 / count(*), 6) AS recall_at_k,
+       round(count(r.song_id) * 1e0 / (count(DISTINCT t.user_id) * 10), 6) AS precision_at_k,
+       round(count(r.song_id) * 3e0 / count(*) * 100, 6) AS reference_score
+FROM tt t JOIN (SELECT DISTINCT user_id FROM tt WHERE is_test = 0) u ON t.user_id = u.user_id
+LEFT JOIN recs r ON r.user_id = t.user_id AND r.song_id = t.song_id
+WHERE t.is_test = 1"""))
+def q_ranking_metrics(spark, d):
+    from tunelake.operators import recommend as rc
+    tt_ = _tt(spark, d)
+    train, test = tt_.where(F.col("is_test") == 0), tt_.where(F.col("is_test") == 1)
+    return rc.ranking_metrics(_pop_recs(spark, d), test, train, 10)
+
+
+def _als(spark, d):
+    from tunelake.operators import recommend as rc
+    tt_ = _tt(spark, d)
+    users, songs = rc.dictionaries(tt_)
+    coded = rc.encode(tt_.where(F.col("is_test") == 0), users, songs)
+    coded = coded.persist()
+    model = rc.fit_als(coded, **QUERY_ALS)
+    return model, users, songs, coded, tt_
+
+
+@register("als_fit", None)
+def q_als_fit(spark, d):
+    model, _, songs, _, _ = _als(spark, d)
+    return model.itemFactors.join(songs, model.itemFactors["id"] == songs["song_idx"]).select("song_id", "features")
+
+
+@register("recommend_user", None)
+def q_recommend_user(spark, d):
+    from tunelake.operators import recommend as rc
+    model, users, songs, coded, _ = _als(spark, d)
+    first_user = users.orderBy("user_id").select("user_id").first()["user_id"]
+    return rc.recommend_user(model, users, songs, coded, first_user, 10)
+
+
+@register("similar_songs", None)
+def q_similar_songs(spark, d):
+    from tunelake.operators import recommend as rc
+    model, _, songs, _, _ = _als(spark, d)
+    first_song = songs.orderBy("song_id").select("song_id").first()["song_id"]
+    return rc.similar_songs(model, songs, first_song, 10)
+
+
+@register("als_ranking_metrics", None)
+def q_als_ranking_metrics(spark, d):
+    """The reference's evaluation: ALS top-10 for the users of 10,000 sampled test rows."""
+    from tunelake.operators import recommend as rc
+    model, users, songs, coded, tt_ = _als(spark, d)
+    test = rc.sample_n(tt_.where(F.col("is_test") == 1), ["user_id", "song_id"], 10000)
+    test_users = test.select("user_id").distinct().join(users, "user_id")
+    recs = rc.recommend_users(model, test_users.select("user_idx"), coded, 10)
+    recs = rc.decode(recs, users, songs).select("user_id", "song_id")
+    train_users = tt_.where(F.col("is_test") == 0).select("user_id")
+    return rc.ranking_metrics(recs, test, train_users, 10)
