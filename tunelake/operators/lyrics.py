@@ -26,9 +26,7 @@ def stop_words_frame(spark: SparkSession, words: list[str] | None = None) -> Dat
 
 def filter_vocabulary(vocabulary: DataFrame, stop_words: list[str] | None = None) -> DataFrame:
     """Keep the original word when ``word.lower().strip()`` is alphabetic and not a stop word."""
-    from tunelake.functions.fuzzy import py_lower
-
-    clean = py_strip(py_lower("word"))
+    clean = py_strip(F.lower("word"))
     v = vocabulary.withColumn("_clean", clean).where(is_alpha("_clean"))
     stops = F.broadcast(stop_words_frame(vocabulary.sparkSession, stop_words))  # a fixed short list
     return v.join(stops, v["_clean"] == stops["stop"], "left_anti").drop("_clean")
@@ -114,20 +112,31 @@ def doc_freq(lyrics: DataFrame) -> DataFrame:
         F.countDistinct("track_id").cast("bigint").alias("df"))
 
 
-def tfidf(lyrics: DataFrame, words: DataFrame | None = None) -> DataFrame:
-    """(track_id, word, tfidf): smooth idf ln((1+n)/(1+df)) + 1, L2-normalised per track.
+def idf_table(lyrics: DataFrame) -> DataFrame:
+    """(word, idf) with smooth idf ln((1+n)/(1+df)) + 1 over the tracks in ``lyrics``.
 
-    ``words`` (one ``word`` column) restricts the features first, e.g. to the
-    filtered vocabulary. The document count is one scalar; the per-word table is
-    vocabulary-sized; the norm is a window per track (one shuffle on track_id).
+    The document count is one scalar (a count job); the result is vocabulary-sized.
     """
-    l = lyrics.where(F.col("cnt") > 0).select("track_id", "word", "cnt")
-    if words is not None:
-        l = l.join(words.select("word").distinct(), "word", "left_semi")
+    l = lyrics.where(F.col("cnt") > 0)
     n = l.select("track_id").distinct().count()
-    d = doc_freq(l)
     idf = F.log((F.lit(1.0) + F.lit(float(n))) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
-    w = l.join(d.select("word", idf.alias("idf")), "word").select(
+    return doc_freq(l).select("word", idf.alias("idf"))
+
+
+def apply_tfidf(lyrics: DataFrame, idf: DataFrame) -> DataFrame:
+    """(track_id, word, tfidf): cnt * idf, L2-normalised per track (words without
+    an idf are dropped). The norm is a window per track: one shuffle on track_id,
+    each group bounded by the vocabulary size."""
+    w = lyrics.where(F.col("cnt") > 0).select("track_id", "word", "cnt").join(idf, "word").select(
         "track_id", "word", (F.col("cnt") * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("track_id")))
     return w.select("track_id", "word", (F.col("w") / norm).alias("tfidf"))
+
+
+def tfidf(lyrics: DataFrame, words: DataFrame | None = None) -> DataFrame:
+    """TF-IDF fitted and applied on the same tracks; ``words`` (one ``word``
+    column) restricts the features first, e.g. to the filtered vocabulary."""
+    l = lyrics
+    if words is not None:
+        l = l.join(words.select("word").distinct(), "word", "left_semi")
+    return apply_tfidf(l, idf_table(l))

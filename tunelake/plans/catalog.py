@@ -24,6 +24,18 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 
+_FITTED: dict = {}
+
+
+def fitted_once(name: str, spark: SparkSession, d: str, fit: Callable[[], object]):
+    """Fit a model once per session and input, as the reference fits lazily
+    once and reuses it for every later question."""
+    key = (name, spark.sparkContext.applicationId, d)
+    if key not in _FITTED:
+        _FITTED[key] = fit()
+    return _FITTED[key]
+
+
 def register(key: str, oracle: str | None):
     def deco(fn: QueryFn) -> QueryFn:
         QUERIES[key] = fn
@@ -437,10 +449,14 @@ def q_vector_topk(spark, d):
 
 
 def _w2v_vectors(spark, d):
+    return fitted_once("word2vec", spark, d, lambda: _fit_w2v(spark, d))
+
+
+def _fit_w2v(spark, d):
     from tunelake.operators import keywords as kw
     vocab = td.vocabulary(spark, d)
     sentences = kw.document_sentences(td.positioned_tokens(spark, d), vocab)
-    return kw.word_vectors(kw.train_word2vec(sentences)), vocab
+    return kw.word_vectors(kw.train_word2vec(sentences)).persist(), vocab
 
 
 @register("word2vec_expand", None)
@@ -571,6 +587,10 @@ def q_ranking_metrics(spark, d):
 
 
 def _als(spark, d):
+    return fitted_once("als", spark, d, lambda: _fit_als(spark, d))
+
+
+def _fit_als(spark, d):
     from tunelake.operators import recommend as rc
     tt_ = _tt(spark, d)
     users, songs = rc.dictionaries(tt_)
@@ -613,3 +633,118 @@ def q_als_ranking_metrics(spark, d):
     recs = rc.decode(recs, users, songs).select("user_id", "song_id")
     train_users = tt_.where(F.col("is_test") == 0).select("user_id")
     return rc.ranking_metrics(recs, test, train_users, 10)
+
+
+# ---------------------------------------------------------------- classifier and collections
+
+def _labels_of(spark, d):
+    from tunelake.operators import lyrics as ly
+    return ly.weak_labels(_scores(spark, d), merged(spark, d), 500)
+
+
+@register("join_lyrics_labels", W(f"""
+, weak AS ({WEAK_LABELS_SQL})
+SELECT l.track_id, l.word_id, l.word, l.cnt, w.theme_label FROM lyrics l JOIN weak w ON l.track_id = w.track_id""",
+                                  "merged", "theme_scores", "lyrics").replace("\n, weak AS", ",\nweak AS", 1))
+def q_join_lyrics_labels(spark, d):
+    from tunelake.operators.classify import join_lyrics_labels
+    return join_lyrics_labels(td.lyrics(spark, d), _labels_of(spark, d))
+
+
+@register("label_encode", W(f"""
+SELECT track_id, theme_label, CAST(dense_rank() OVER (ORDER BY theme_label) - 1 AS DOUBLE) AS label
+FROM ({WEAK_LABELS_SQL}) w""", "merged", "theme_scores"))
+def q_label_encode(spark, d):
+    from tunelake.operators.classify import encode_labels
+    lab = _labels_of(spark, d)
+    return encode_labels(lab).transform(lab).select("track_id", "theme_label", "label")
+
+
+LABEL_PAIRS = "SELECT CAST(quality AS VARCHAR) AS t, CAST(1 - toxic AS VARCHAR) AS p FROM labels"
+
+
+@register("accuracy", "SELECT round(avg(CASE WHEN quality = 1 - toxic THEN 1e0 ELSE 0e0 END), 6) AS accuracy "
+                      "FROM labels")
+def q_accuracy(spark, d):
+    from tunelake.operators.metrics import accuracy
+    lab = td.labels(spark, d)
+    return accuracy(lab.select(F.col("quality").alias("label"), (1 - F.col("toxic")).alias("prediction")))
+
+
+@register("classification_report", f"""
+WITH p AS ({LABEL_PAIRS}),
+conf AS (SELECT t, p, count(*) AS c FROM p GROUP BY t, p),
+ts AS (SELECT t AS cls, sum(c) AS support, sum(CASE WHEN t = p THEN c ELSE 0 END) AS tp FROM conf GROUP BY t),
+ps AS (SELECT p AS cls, sum(c) AS predicted FROM conf GROUP BY p),
+per AS (SELECT COALESCE(ts.cls, ps.cls) AS cls, COALESCE(tp, 0) AS tp, COALESCE(support, 0) AS support,
+               COALESCE(predicted, 0) AS predicted FROM ts FULL JOIN ps ON ts.cls = ps.cls),
+m AS (SELECT cls, CASE WHEN predicted > 0 THEN tp * 1e0 / predicted ELSE 0e0 END AS pr,
+             CASE WHEN support > 0 THEN tp * 1e0 / support ELSE 0e0 END AS re, support FROM per),
+f AS (SELECT *, CASE WHEN pr + re > 0 THEN 2 * pr * re / (pr + re) ELSE 0e0 END AS f1 FROM m)
+SELECT cls AS class, round(pr, 6) AS "precision", round(re, 6) AS recall, round(f1, 6) AS f1_score,
+       CAST(support AS BIGINT) AS support FROM f
+UNION ALL
+SELECT 'macro avg', round(avg(pr), 6), round(avg(re), 6), round(avg(f1), 6), CAST(sum(support) AS BIGINT) FROM f
+UNION ALL
+SELECT 'weighted avg', round(sum(pr * support) / sum(support), 6), round(sum(re * support) / sum(support), 6),
+       round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM f""")
+def q_classification_report(spark, d):
+    from tunelake.operators.metrics import classification_report
+    lab = td.labels(spark, d)
+    return classification_report(lab.select(F.col("quality").alias("label"),
+                                            (1 - F.col("toxic")).alias("prediction")))
+
+
+def _classifier(spark, d):
+    return fitted_once("classifier", spark, d, lambda: _fit_classifier(spark, d))
+
+
+def _fit_classifier(spark, d):
+    from tunelake.operators import lyrics as ly
+    from tunelake.operators.classify import ThemeClassifier
+    vocab = td.vocabulary(spark, d).persist()
+    lyr = td.lyrics(spark, d, vocab).persist()
+    labels = ly.weak_labels(ly.theme_scores(lyr, td.lexicon(spark, d, vocab)), merged(spark, d), 500).persist()
+    clf, held_out = ThemeClassifier.fit(lyr, labels, ly.filter_vocabulary(vocab))
+    return clf, held_out, lyr, vocab
+
+
+@register("train_theme_classifier", None)
+def q_train_theme_classifier(spark, d):
+    """Held-out report of the MLP trained on weak labels (accuracy row included)."""
+    from tunelake.operators.metrics import accuracy, classification_report
+    _, held_out, _, _ = _classifier(spark, d)
+    held_out = held_out.cache()
+    acc = accuracy(held_out).select(F.lit("accuracy").alias("class"), F.lit(None).cast("double").alias("precision"),
+                                    F.lit(None).cast("double").alias("recall"),
+                                    F.col("accuracy").alias("f1_score"), F.lit(None).cast("bigint").alias("support"))
+    return classification_report(held_out).unionByName(acc)
+
+
+@register("classify_tracks", None)
+def q_classify_tracks(spark, d):
+    clf, _, lyr, _ = _classifier(spark, d)
+    return clf.predict(lyr)
+
+
+@register("collection_classifier", None)
+def q_collection_classifier(spark, d):
+    from tunelake.plans.themed import collection_classifier
+    clf, _, lyr, vocab = _classifier(spark, d)
+    return collection_classifier(lyr, None, vocab, merged(spark, d), "love", 100, classifier=clf)
+
+
+@register("collection_baseline", None)
+def q_collection_baseline(spark, d):
+    from tunelake.plans.themed import collection_baseline
+    vocab = td.vocabulary(spark, d)
+    return collection_baseline(td.lyrics(spark, d, vocab), vocab, td.lexicon(spark, d, vocab),
+                               td.synsets(spark, d, vocab), merged(spark, d), 50)
+
+
+@register("collection_word2vec", None)
+def q_collection_word2vec(spark, d):
+    from tunelake.plans.themed import collection_word2vec
+    vectors, vocab = _w2v_vectors(spark, d)
+    return collection_word2vec(td.lyrics(spark, d, vocab), vectors, vocab, td.lexicon(spark, d, vocab),
+                               td.synsets(spark, d, vocab), merged(spark, d), 50)
