@@ -1,0 +1,126 @@
+"""Fuzzy ratio, keyword expansion, TF-IDF, vectors, metrics."""
+
+import math
+import random
+from difflib import SequenceMatcher
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tunelake.functions.fuzzy import fuzzy_pairs, fuzzy_ratio
+from tunelake.functions.stopwords import ENGLISH
+from tunelake.operators import keywords as kw
+from tunelake.operators import lyrics as ly
+from tunelake.operators.metrics import accuracy, classification_report
+from tunelake.operators.vectors import vector_topk
+
+LYR = "track_id string, mxm_track_id bigint, word_id bigint, word string, cnt bigint"
+
+
+def test_ratio_equals_difflib_both_orders(spark):
+    rnd = random.Random(7)
+    words = ["".join(rnd.choice("abcde") for _ in range(rnd.randint(1, 9))) for _ in range(60)]
+    pairs = [(a, b) for a in words[:30] for b in words[30:]]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    got = df.select("a", "b", fuzzy_ratio("a", "b").alias("r1"), fuzzy_ratio("b", "a").alias("r2")).collect()
+    for r in got:
+        assert r.r1 == SequenceMatcher(None, r.a, r.b).ratio()
+        assert r.r2 == SequenceMatcher(None, r.b, r.a).ratio()
+
+
+def test_ratio_asymmetry(spark):
+    r = spark.createDataFrame([("tide", "diet")], "a string, b string").select(
+        fuzzy_ratio("a", "b").alias("x"), fuzzy_ratio("b", "a").alias("y")).first()
+    assert (r.x, r.y) == (0.25, 0.5)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.text("abcxyz", min_size=1, max_size=8), min_size=1, max_size=25),
+       st.lists(st.text("abcxyz", min_size=1, max_size=8), min_size=1, max_size=6))
+def test_length_band_loses_no_pair(spark, big, small):
+    b = spark.createDataFrame([(w,) for w in big], "w string")
+    s = spark.createDataFrame([(w,) for w in small], "k string")
+    got = {(r.w, r.k) for r in fuzzy_pairs(b, "w", s, "k", 0.8).collect()}
+    want = {(w, k) for w in set(big) for k in set(small) if SequenceMatcher(None, k, w).ratio() >= 0.8}
+    assert got == want
+
+
+def test_stop_words_are_sparks_default(spark):
+    from pyspark.ml.feature import StopWordsRemover
+
+    assert ENGLISH == StopWordsRemover.loadDefaultStopWords("english")
+
+
+def test_filter_vocabulary(spark):
+    v = spark.createDataFrame([(1, "the"), (2, "Café"), (3, "theme_label"), (4, "love"), (5, " Love ")],
+                              "word_id bigint, word string")
+    assert sorted(r.word for r in ly.filter_vocabulary(v).collect()) == [" Love ", "Café", "love"]
+
+
+def test_expand_and_union(spark):
+    lex = spark.createDataFrame([("love", "heart")], "theme string, term string")
+    syn = spark.createDataFrame([(1, "heart"), (1, "core"), (2, "core"), (2, "centre"), (3, "heart")],
+                                "synset_id bigint, lemma string")
+    got = sorted(r.term for r in kw.expand_theme_terms(lex, syn).collect())
+    assert got == ["core", "heart"]
+
+
+def test_spell_correct(spark):
+    d = spark.createDataFrame([(1, "love"), (2, "live"), (3, "glove")], "word_id bigint, word string")
+    w = spark.createDataFrame([("lve",), ("love",), ("qqqqqq",)], "word string")
+    got = {r.word: r.correction for r in kw.spell_correct(w, d).collect()}
+    assert got == {"lve": "love", "love": "love", "qqqqqq": "qqqqqq"}
+
+
+def test_empty_theme_gives_empty_result(spark):
+    lyr = spark.createDataFrame([("T1", 1, 1, "a", 3)], LYR)
+    lex = spark.createDataFrame([("x", "zzz")], "theme string, term string")
+    assert ly.theme_scores(lyr, lex).count() == 0
+
+
+def test_tfidf_rows_have_unit_norm(spark):
+    lyr = spark.createDataFrame([("T1", 1, 1, "a", 3), ("T1", 1, 2, "b", 1), ("T2", 2, 2, "b", 2),
+                                 ("T3", 3, 1, "a", 1)], LYR)
+    norms = {}
+    for r in ly.tfidf(lyr).collect():
+        norms[r.track_id] = norms.get(r.track_id, 0.0) + r.tfidf ** 2
+    assert all(abs(v - 1.0) < 1e-12 for v in norms.values())
+    # idf = ln((1+n)/(1+df)) + 1 with n = 3 tracks
+    t1 = {r.word: r.tfidf for r in ly.tfidf(lyr).collect() if r.track_id == "T1"}
+    wa, wb = 3 * (math.log(4 / 3) + 1), 1 * (math.log(4 / 3) + 1)
+    assert abs(t1["a"] - wa / math.hypot(wa, wb)) < 1e-12
+
+
+def test_vector_topk_against_brute_force(spark):
+    rnd = random.Random(3)
+    vecs = [(i, [rnd.uniform(-1, 1) for _ in range(4)]) for i in range(40)]
+    df = spark.createDataFrame(vecs, "id bigint, v array<double>")
+    q = df.where("id in (0, 5)").withColumnRenamed("id", "qid")
+    got = {(r.qid, r.rank): r.id for r in vector_topk(q, "qid", "v", df, "id", "v", 3).collect()}
+
+    def cos(a, b):
+        return sum(x * y for x, y in zip(a, b)) / math.sqrt(sum(x * x for x in a) * sum(y * y for y in b))
+
+    for qid in (0, 5):
+        ranked = sorted((i for i, _ in vecs if i != qid), key=lambda i: (-cos(vecs[qid][1], vecs[i][1]), i))
+        assert [got[(qid, k)] for k in (1, 2, 3)] == ranked[:3]
+
+
+def test_report_and_accuracy(spark):
+    df = spark.createDataFrame([(0, 0), (0, 1), (1, 1), (1, 1), (2, 0)], "label int, prediction int")
+    assert accuracy(df).first().accuracy == 0.6
+    rep = {r["class"]: r for r in classification_report(df).collect()}
+    assert rep["1"].precision == round(2 / 3, 6) and rep["1"].recall == 1.0
+    assert rep["2"].precision == 0.0 and rep["2"].support == 1
+    assert rep["macro avg"].support == 5
+
+
+def test_word2vec_default_sentence(spark):
+    v = spark.createDataFrame([(i + 1, w) for i, w in enumerate("love heart war peace money cash".split())],
+                              "word_id bigint, word string")
+    model = kw.train_word2vec(kw.vocabulary_sentence(v), vector_size=8)
+    vecs = kw.word_vectors(model)
+    assert vecs.count() == 6
+    lex = spark.createDataFrame([("love", "love"), ("love", "nothere")], "theme string, term string")
+    got = kw.word2vec_expand(vecs, lex, 2).collect()
+    assert {r.term for r in got} >= {"love"} and len(got) == 3

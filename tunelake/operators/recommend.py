@@ -130,7 +130,7 @@ def recommend_user(model, users: DataFrame, songs: DataFrame, coded_train: DataF
     corpus = model.itemFactors.join(seen, "id", "left_anti")
     top = vector_topk(q, "qid", "features", corpus, "id", "features", n, "dot", exclude_self=False)
     return top.join(songs, top["id"] == songs["song_idx"]).select(
-        "song_id", F.col("score").alias("likelihood"), "rank")
+        "song_id", F.col("score").alias("likelihood"), "rank").orderBy("rank")
 
 
 def similar_songs(model, songs: DataFrame, song_id: str, n: int = 10, include_self: bool = False) -> DataFrame:
@@ -142,7 +142,7 @@ def similar_songs(model, songs: DataFrame, song_id: str, n: int = 10, include_se
     top = vector_topk(q, "qid", "features", model.itemFactors, "id", "features", n, "cosine",
                       exclude_self=not include_self)
     return top.join(songs, top["id"] == songs["song_idx"]).select(
-        "song_id", F.col("score").alias("likelihood"), "rank")
+        "song_id", F.col("score").alias("likelihood"), "rank").orderBy("rank")
 
 
 def recommend_users(model, user_idx: DataFrame, coded_train: DataFrame, k: int = 10) -> DataFrame:

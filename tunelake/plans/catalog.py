@@ -141,7 +141,13 @@ def q_top_tracks_per_genre(spark, d):
 # ---------------------------------------------------------------- ingest (S1-S8): render tables to text, parse back
 
 def _with_comment(spark: SparkSession, lines: DataFrame) -> DataFrame:
-    return spark.range(1).select(F.lit("# comment line").alias("value")).unionByName(lines)
+    """Rendered lines plus a comment line, written as a text file and read back
+    through the text source (so the parse runs on a real scan)."""
+    from tunelake.session import scratch_path
+    from tunelake.sources import text
+    path = scratch_path(spark, "lines")
+    spark.range(1).select(F.lit("# comment line").alias("value")).unionByName(lines).write.text(path)
+    return text.read_lines(spark, path)
 
 
 @register("ingest_delimited", "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders")
