@@ -129,3 +129,22 @@ def test_lyrics_pivot(spark):
     lyr = spark.createDataFrame([("T1", 1, 1, "a", 3), ("T2", 2, 2, "b", 9)],
                                 "track_id string, mxm_track_id bigint, word_id bigint, word string, cnt bigint")
     assert sorted(rows(text.lyrics_pivot(lyr, ["a", "b"]))) == [("T1", 3, 0), ("T2", 0, 9)]
+
+
+def test_build_sources_and_merged(spark, tmp_path):
+    """The batch entry points on tiny raw files: parse four inputs, build the served table."""
+    from tunelake.plans.build import build_merged, build_sources
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "msd_tagtraum_cd2.cls").write_bytes(b"# genres\nT1\tRock\tPop\nT3\tJazz\n")
+    (raw / "train_triplets.txt").write_bytes(b"u1\tS1\t2\nu2\tS1\t3\nu1\tS2\t1\n")
+    (raw / "unique_tracks.txt").write_bytes(b"T1<SEP>S1<SEP>Ann<SEP>One\nT2<SEP>S1<SEP>Ann<SEP>One b\n"
+                                            b"T3<SEP>S3<SEP>Bob<SEP>Three\n")
+    (raw / "mxm_dataset_train.txt").write_bytes(b"# lyrics\n%love,war\nT1,11,1:3\nT3,33,2:1,1:1\n")
+    paths = build_sources(spark, [str(p) for p in sorted(raw.iterdir())], str(tmp_path / "tables"))
+    assert spark.read.parquet(paths["lyrics"]).count() == 3
+    assert spark.read.parquet(paths["vocabulary"]).count() == 2
+    m = build_merged(spark, str(tmp_path / "tables"), out_path=str(tmp_path / "merged_sorted"))
+    got = sorted((r.track_id, r.play_count, r.majority_genre, r.minority_genre) for r in m.collect())
+    assert got == [("T1", 5, "Rock", "Pop"), ("T2", 5, "", ""), ("T3", 0, "Jazz", "")]

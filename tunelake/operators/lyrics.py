@@ -41,21 +41,33 @@ def theme_scores(lyrics: DataFrame, lexicon: DataFrame) -> DataFrame:
     return scores.where(F.col("score") != 0)
 
 
-def lookup_tracks(merged: DataFrame, ids: DataFrame, verbose: bool = False, strict: bool = False) -> DataFrame:
+def lookup_tracks(merged: DataFrame, ids: DataFrame, verbose: bool = False, strict: bool = False,
+                  bounded: bool = False) -> DataFrame:
     """Rows of ``merged`` whose track_id is in ``ids``, most played first, 0-based index.
 
     ``strict`` reproduces the reference's guard: the number of rows found must
     equal the number of ids (fails on missing tracks and on genre fan-out).
+    ``bounded`` says ``ids`` is a small limited set (a top-n), so a plain window
+    may number the rows; otherwise numbering uses ``sequential_index`` (no
+    single-partition window).
     """
+    from tunelake.operators.ids import sequential_index
+
     found = merged.join(ids.select("track_id").distinct(), "track_id", "left_semi")
     if strict:
-        n_ids, n_found = ids.count(), found.count()
+        n_ids, n_found = ids.select("track_id").distinct().count(), found.count()
         if n_ids != n_found:
             raise ValueError(f"track lookup found {n_found} rows for {n_ids} ids")
     cols = ["artist_name", "title", "play_count"] + (["track_id"] if verbose else [])
-    w = Window.orderBy(*popularity())
-    return found.select("track_id", "artist_name", "title", "play_count").withColumn(
-        "index_number", (F.row_number().over(w) - 1).cast("bigint")).select(*cols, "index_number")
+    found = found.select("track_id", "artist_name", "title", "play_count")
+    if bounded:
+        w = Window.orderBy(*popularity())
+        numbered = found.withColumn("index_number", (F.row_number().over(w) - 1).cast("bigint"))
+    else:
+        # duplicate merged rows (genre fan-out) are identical here: a unique order needs a row tag
+        tagged = found.withColumn("_dup", F.monotonically_increasing_id())
+        numbered = sequential_index(tagged, [*popularity(), F.asc("_dup")], "index_number")
+    return numbered.select(*cols, "index_number")
 
 
 def top_scored(scores: DataFrame, theme: str, n: int) -> DataFrame:
@@ -69,7 +81,7 @@ def theme_top_tracks(scores: DataFrame, merged: DataFrame, theme: str, n: int =
     """Take the ``n`` highest scores of ``theme``, return them ordered by plays."""
     if n <= 0:
         raise ValueError("number of tracks must be positive")
-    return lookup_tracks(merged, top_scored(scores, theme, n), verbose, strict)
+    return lookup_tracks(merged, top_scored(scores, theme, n), verbose, strict, bounded=True)
 
 
 def top_scored_per_theme(scores: DataFrame, n: int) -> DataFrame:

@@ -36,15 +36,22 @@ def merge_song_plays(tracks: DataFrame, song_plays: DataFrame) -> DataFrame:
 
 
 def merge_track_genres(merged_songs: DataFrame, genres: DataFrame) -> DataFrame:
-    """Left join on ``track_id``; missing genres are ``""``; duplicate genre rows fan out."""
-    g = genres.select("track_id", "majority_genre", "minority_genre")
-    joined = merged_songs.join(g, "track_id", "left")
-    return joined.select(
-        "track_id", "song_id", "title", "artist_name",
-        F.coalesce(F.col("majority_genre"), F.lit("")).alias("majority_genre"),
-        F.coalesce(F.col("minority_genre"), F.lit("")).alias("minority_genre"),
-        "play_count",
-    )
+    """Left join on ``track_id``; missing genres are ``""``; duplicate genre rows fan out.
+
+    Written as inner join + anti join (same rows as a left outer join): AQE's
+    skew handling can split either side of an inner join, while a left outer
+    join cannot split its right side, where a track with very many genre rows
+    would sit. Both joins read the same two shuffles (exchange reuse).
+    """
+    # the explicit non-null filter makes both branches' inputs identical plans, so
+    # the shuffles of both sides are computed once and reused (a null key never joins)
+    g = genres.select("track_id", "majority_genre", "minority_genre").where(F.col("track_id").isNotNull())
+    merged_songs = merged_songs.where(F.col("track_id").isNotNull())
+    cols = ["track_id", "song_id", "title", "artist_name"]
+    matched = merged_songs.join(g, "track_id").select(*cols, "majority_genre", "minority_genre", "play_count")
+    unmatched = merged_songs.join(g, "track_id", "left_anti").select(
+        *cols, F.lit("").alias("majority_genre"), F.lit("").alias("minority_genre"), "play_count")
+    return matched.unionByName(unmatched)
 
 
 def build_merged(triplets: DataFrame, tracks: DataFrame, genres: DataFrame) -> DataFrame:

@@ -462,7 +462,10 @@ def _fit_w2v(spark, d):
     from tunelake.operators import keywords as kw
     vocab = td.vocabulary(spark, d)
     sentences = kw.document_sentences(td.positioned_tokens(spark, d), vocab)
-    return kw.word_vectors(kw.train_word2vec(sentences)).persist(), vocab
+    # parallel training over document sentences (the model is bounded by the vocabulary)
+    parts = max(1, spark.sparkContext.defaultParallelism)
+    model = kw.train_word2vec(sentences, num_partitions=parts)
+    return kw.word_vectors(model).persist(), vocab
 
 
 @register("word2vec_expand", None)
