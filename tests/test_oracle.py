@@ -52,3 +52,21 @@ def test_entry(spark):
     df = E.entry(spark)
     assert df.columns == ["artist_name", "title", "play_count", "index_number"]
     assert 0 < df.count() <= 20
+
+
+def test_baseline_exact_match_equals_theme_top_tracks(spark):
+    """With cutoff 1.0 the fuzzy step is exact equality, so the baseline
+    collection must equal the plain top-N per theme over the expanded keywords."""
+    from tunelake.operators import keywords as kw
+    from tunelake.operators import lyrics as ly
+    from tunelake.plans import catalog
+    from tunelake.plans.themed import collection_baseline
+    from tunelake.sources import testdata as td
+
+    vocab = td.vocabulary(spark, SF)
+    lyr, lex, syn = td.lyrics(spark, SF, vocab), td.lexicon(spark, SF, vocab), td.synsets(spark, SF, vocab)
+    merged = catalog.merged(spark, SF)
+    a = collection_baseline(lyr, vocab, lex, syn, merged, 20, cutoff=1.0)
+    b = ly.top_tracks_per_theme(ly.theme_scores(lyr, kw.expand_theme_terms(lex, syn)), merged, 20)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert a.count() > 0
