@@ -76,3 +76,15 @@ def test_top_per_genre(spark):
     m = _merged(spark, ["a", "a", "a", "b", ""])
     got = sorted((r.majority_genre, r.track_id, r.index_number) for r in tt.top_tracks_per_genre(m, 2).collect())
     assert got == [("a", "T1", 1), ("a", "T2", 0), ("b", "T3", 0)]
+
+
+def test_theme_top_tracks_with_score(spark):
+    from tunelake.operators import lyrics as ly
+
+    m = _merged(spark, ["g"] * 4)
+    scores = spark.createDataFrame([("love", "T1", 9), ("love", "T2", 1), ("love", "T3", 5), ("war", "T0", 7)],
+                                   "theme string, track_id string, score bigint")
+    got = ly.theme_top_tracks(scores, m, "love", 2, with_score=True).orderBy("index_number").collect()
+    assert [(r.play_count, r.score, r.index_number) for r in got] == [(3, 5, 0), (1, 9, 1)]
+    assert ly.theme_top_tracks(scores, m, "love", 2).columns == ["artist_name", "title", "play_count",
+                                                                  "index_number"]

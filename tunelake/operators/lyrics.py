@@ -77,11 +77,19 @@ def top_scored(scores: DataFrame, theme: str, n: int) -> DataFrame:
 
 
 def theme_top_tracks(scores: DataFrame, merged: DataFrame, theme: str, n: int = 100,
-                     verbose: bool = False, strict: bool = False) -> DataFrame:
-    """Take the ``n`` highest scores of ``theme``, return them ordered by plays."""
+                     verbose: bool = False, strict: bool = False, with_score: bool = False) -> DataFrame:
+    """Take the ``n`` highest scores of ``theme``, return them ordered by plays.
+
+    The reference drops the score; ``with_score`` keeps it as a last column.
+    """
     if n <= 0:
         raise ValueError("number of tracks must be positive")
-    return lookup_tracks(merged, top_scored(scores, theme, n), verbose, strict, bounded=True)
+    best = top_scored(scores, theme, n)
+    out = lookup_tracks(merged, best, verbose or with_score, strict, bounded=True)
+    if not with_score:
+        return out
+    cols = ["artist_name", "title", "play_count"] + (["track_id"] if verbose else [])
+    return out.join(best.select("track_id", "score"), "track_id").select(*cols, "index_number", "score")
 
 
 def top_scored_per_theme(scores: DataFrame, n: int) -> DataFrame:
