@@ -1,6 +1,5 @@
 """Every registered query against its DuckDB oracle at sf0.001 (the driver's gate, smaller)."""
 
-import math
 import os
 
 import pytest
