@@ -113,11 +113,6 @@ def fit_als(coded: DataFrame, rank: int = ALS_RANK, max_iter: int = ALS_MAX_ITER
     return als.fit(coded.withColumn("play_count", F.col("play_count").cast("float")))
 
 
-def _one_vector(factors: DataFrame, id_value) -> list[float]:
-    row = factors.where(F.col("id") == F.lit(id_value)).select("features").first()
-    return None if row is None else list(row["features"])
-
-
 def recommend_user(model, users: DataFrame, songs: DataFrame, coded_train: DataFrame, user_id: str,
                    n: int = 10) -> DataFrame:
     """(song_id, likelihood): top ``n`` songs by dot product, already played excluded."""
