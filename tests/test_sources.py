@@ -148,3 +148,33 @@ def test_build_sources_and_merged(spark, tmp_path):
     m = build_merged(spark, str(tmp_path / "tables"), out_path=str(tmp_path / "merged_sorted"))
     got = sorted((r.track_id, r.play_count, r.majority_genre, r.minority_genre) for r in m.collect())
     assert got == [("T1", 5, "Rock", "Pop"), ("T2", 5, "", ""), ("T3", 0, "Jazz", "")]
+
+
+def test_library_facades(spark, tmp_path):
+    """The user-level facades on tiny stored tables."""
+    from tunelake.plans.build import build_sources
+    from tunelake.plans.library import MusicLibrary, Recommender, ThemeCollections
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "msd_tagtraum_cd2.cls").write_bytes(b"T1\tRock\tPop\nT2\tRock\nT3\tJazz\n")
+    plays = b"".join(f"u{u}\tS{s}\t{1 + (u + s) % 4}\n".encode() for u in range(8) for s in range(6) if (u + s) % 3)
+    (raw / "train_triplets.txt").write_bytes(plays)
+    (raw / "unique_tracks.txt").write_bytes(b"".join(f"T{s}<SEP>S{s}<SEP>A{s}<SEP>t{s}\n".encode()
+                                                     for s in range(6)))
+    (raw / "mxm_dataset_train.txt").write_bytes(b"%love,heart,war,gun\nT1,1,1:3,2:1\nT2,2,3:2\nT3,3,1:1,4:5\n")
+    tables = str(tmp_path / "tables")
+    build_sources(spark, [str(p) for p in sorted(raw.iterdir())], tables)
+    spark.createDataFrame([("love", "love"), ("war", "war")], "theme string, term string") \
+        .write.parquet(f"{tables}/lexicon")
+    spark.createDataFrame([(1, "love"), (1, "heart"), (2, "war"), (2, "gun")], "synset_id bigint, lemma string") \
+        .write.parquet(f"{tables}/synsets")
+    lib = MusicLibrary(spark, tables)
+    assert lib.top_tracks(3).count() == 3
+    assert {r.title for r in lib.top_tracks_by_genre(10, "rok").collect()} <= {"t1", "t2"}
+    col = ThemeCollections(spark, tables)
+    assert {r.title for r in col.baseline("love", 5).collect()} == {"t1", "t3"}
+    rec = Recommender(spark, tables, rank=2, max_iter=2)
+    assert rec.get_similar_tracks("u0", 2).count() <= 2
+    assert rec.get_common_listened_tracks("S1", 2).count() == 2
+    assert rec.evaluate(2).count() == 1
