@@ -5,6 +5,7 @@ import random
 from difflib import SequenceMatcher
 
 from hypothesis import given, settings
+from pyspark.sql import functions as F
 from hypothesis import strategies as st
 
 from tunelake.functions.fuzzy import fuzzy_pairs, fuzzy_ratio
@@ -125,3 +126,27 @@ def test_word2vec_default_sentence(spark):
     got = kw.word2vec_expand(vecs, lex, 2).collect()
     # keywords are kept (even outside the model) plus 2 neighbours of the known one
     assert {r.term for r in got} >= {"love", "nothere"} and len(got) == 4
+
+
+def test_classifier_learns_planted_themes(spark):
+    """Tracks of theme A use words a0-a4, of theme B words b0-b4: held-out accuracy is high."""
+    import random
+
+    from tunelake.operators.classify import ThemeClassifier
+
+    rnd = random.Random(11)
+    words = [f"{t}{i}" for t in "ab" for i in range(5)]
+    vocab = spark.createDataFrame([(i + 1, w) for i, w in enumerate(words)], "word_id bigint, word string")
+    rows, labels = [], []
+    for n in range(120):
+        theme = "a" if n % 2 else "b"
+        labels.append((f"T{n}", f"theme_{theme}"))
+        for w in rnd.sample([x for x in words if x[0] == theme], 3):
+            rows.append((f"T{n}", n, words.index(w) + 1, w, rnd.randint(1, 4)))
+    lyr = spark.createDataFrame(rows, LYR)
+    lab = spark.createDataFrame(labels, "track_id string, theme_label string")
+    clf, held = ThemeClassifier.fit(lyr, lab, vocab, hidden=(8, 4), max_iter=200)
+    acc = accuracy(held.select(F.col("theme_label").alias("label"), F.col("predicted_label").alias("prediction")))
+    assert held.count() > 10 and acc.first().accuracy >= 0.9
+    pred = {r.track_id: r.theme_label for r in clf.predict(lyr).collect()}
+    assert sum(pred[t] == lab_ for t, lab_ in labels) >= 0.9 * len(labels)

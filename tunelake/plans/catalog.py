@@ -723,7 +723,7 @@ def q_train_theme_classifier(spark, d):
     """Held-out report of the MLP trained on weak labels (accuracy row included)."""
     from tunelake.operators.metrics import accuracy, classification_report
     _, held_out, _, _ = _classifier(spark, d)
-    held_out = held_out.cache()
+    held_out = held_out.select(F.col("theme_label").alias("label"), F.col("predicted_label").alias("prediction"))
     acc = accuracy(held_out).select(F.lit("accuracy").alias("class"), F.lit(None).cast("double").alias("precision"),
                                     F.lit(None).cast("double").alias("recall"),
                                     F.col("accuracy").alias("f1_score"), F.lit(None).cast("bigint").alias("support"))
