@@ -21,7 +21,3 @@ def norm(a) -> Column:
 
 def cosine(a, b) -> Column:
     return dot(a, b) / (norm(a) * norm(b))
-
-
-def literal_vector(values) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])

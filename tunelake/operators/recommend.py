@@ -108,8 +108,9 @@ def fit_als(coded: DataFrame, rank: int = ALS_RANK, max_iter: int = ALS_MAX_ITER
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, alpha=alpha, implicitPrefs=True, seed=seed,
               userCol="user_idx", itemCol="song_idx", ratingCol="play_count", coldStartStrategy="drop",
               checkpointInterval=5)
-    if num_blocks:
-        als = als.setNumBlocks(num_blocks)
+    # user/item blocks: at least one per core so every iteration uses the cluster
+    blocks = num_blocks or max(10, coded.sparkSession.sparkContext.defaultParallelism)
+    als = als.setNumBlocks(blocks)
     return als.fit(coded.withColumn("play_count", F.col("play_count").cast("float")))
 
 
@@ -145,7 +146,9 @@ def recommend_users(model, user_idx: DataFrame, coded_train: DataFrame, k: int =
 
     Users are bucketed by the size of their history; a bucket asks ALS for
     k + 2^b - 1 >= k + |seen| candidates, so removing seen songs always leaves
-    k, and a heavy user does not inflate the request of light users.
+    k, and a heavy user does not inflate the request of light users. A user's
+    candidate list is at most min(k + 2 |seen|, catalogue size) long: linear in
+    that user's own history, never in the whole table.
     """
     seen_n = coded_train.groupBy("user_idx").agg(F.count(F.lit(1)).alias("_seen"))
     users = user_idx.select("user_idx").distinct().join(seen_n, "user_idx", "left").fillna(0, ["_seen"])
