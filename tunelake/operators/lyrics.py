@@ -135,12 +135,15 @@ def doc_freq(lyrics: DataFrame) -> DataFrame:
 def idf_table(lyrics: DataFrame) -> DataFrame:
     """(word, idf) with smooth idf ln((1+n)/(1+df)) + 1 over the tracks in ``lyrics``.
 
-    The document count is one scalar (a count job); the result is vocabulary-sized.
+    One aggregate gives both the per-word document frequencies and (as the
+    rollup's grand total) the number of tracks n; n reaches every word through
+    a window over that vocabulary-sized result, so no separate count job runs.
     """
     l = lyrics.where(F.col("cnt") > 0)
-    n = l.select("track_id").distinct().count()
-    idf = F.log((F.lit(1.0) + F.lit(float(n))) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
-    return doc_freq(l).select("word", idf.alias("idf"))
+    agg = l.rollup("word").agg(F.countDistinct("track_id").alias("df"), F.grouping("word").alias("_total"))
+    n = F.max(F.when(F.col("_total") == 1, F.col("df"))).over(Window.partitionBy())
+    idf = F.log((F.lit(1.0) + F.col("_n")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
+    return agg.withColumn("_n", n.cast("double")).where(F.col("_total") == 0).select("word", idf.alias("idf"))
 
 
 def apply_tfidf(lyrics: DataFrame, idf: DataFrame) -> DataFrame:

@@ -184,11 +184,11 @@ def popularity_recommend(train: DataFrame, k: int = 10, users: DataFrame | None
     """
     pop = train.groupBy("song_id").agg(F.sum("play_count").alias("pop"))
     ranked = sequential_index(pop, [F.desc("pop"), F.asc("song_id")], "r", start=1)
-    n_songs = ranked.count()
     seen_n = train.groupBy("user_id").agg(F.count(F.lit(1)).alias("_seen"))
     if users is not None:
         seen_n = users.select("user_id").distinct().join(seen_n, "user_id", "left").fillna(0, ["_seen"])
-    need = F.least(F.col("_seen") + F.lit(k), F.lit(n_songs)).cast("bigint")
+    # ranks past the catalogue simply find no song in the join below
+    need = (F.col("_seen") + F.lit(k)).cast("bigint")
     chunks = seen_n.select("user_id", need.alias("_need")).where(F.col("_need") > 0).select(
         "user_id", "_need",
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_need") - 1) / CANDIDATE_CHUNK)
