@@ -373,8 +373,7 @@ def q_doc_freq(spark, d):
   dfs AS (SELECT word, count(*) AS df FROM lyrics GROUP BY word),
   w AS (SELECT l.track_id, l.word, l.cnt * (ln((1.0 + n.n) / (1.0 + dfs.df)) + 1.0) AS w
         FROM lyrics l JOIN dfs ON l.word = dfs.word CROSS JOIN n)
-SELECT track_id, word, round(w / sqrt(sum(w * w) OVER (PARTITION BY track_id)), 6) AS tfidf FROM w""", "lyrics")
-          .replace("\n, n AS", ",\nn AS", 1))
+SELECT track_id, word, round(w / sqrt(sum(w * w) OVER (PARTITION BY track_id)), 6) AS tfidf FROM w""", "lyrics"))
 def q_tfidf(spark, d):
     from tunelake.operators import lyrics as ly
     t = ly.tfidf(td.lyrics(spark, d))
@@ -422,7 +421,7 @@ def q_keywords_in_vocab(spark, d):
                row_number() OVER (PARTITION BY q.word ORDER BY levenshtein(q.word, v.word), v.word_id, v.word) AS rn
         FROM q JOIN vocabulary v ON levenshtein(q.word, v.word) <= 2)
 SELECT q.word, COALESCE(c.cand, q.word) AS correction FROM q LEFT JOIN c ON c.word = q.word AND c.rn = 1""",
-                             "lexicon").replace("\n, q AS", ",\nq AS", 1))
+                             "lexicon"))
 def q_spell_correct(spark, d):
     from tunelake.operators import keywords as kw
     vocab = td.vocabulary(spark, d)
@@ -565,7 +564,7 @@ WHERE rn <= 10)"""
 
 
 def _with_recs(body: str) -> str:
-    return W(POPULARITY_RECS_SQL + "\n" + body, "tt").replace("\n, recs AS", ",\nrecs AS", 1)
+    return W(POPULARITY_RECS_SQL + "\n" + body, "tt")
 
 
 def _pop_recs(spark, d):
@@ -654,7 +653,7 @@ def _labels_of(spark, d):
 @register("join_lyrics_labels", W(f"""
 , weak AS ({WEAK_LABELS_SQL})
 SELECT l.track_id, l.word_id, l.word, l.cnt, w.theme_label FROM lyrics l JOIN weak w ON l.track_id = w.track_id""",
-                                  "merged", "theme_scores", "lyrics").replace("\n, weak AS", ",\nweak AS", 1))
+                                  "merged", "theme_scores", "lyrics"))
 def q_join_lyrics_labels(spark, d):
     from tunelake.operators.classify import join_lyrics_labels
     return join_lyrics_labels(td.lyrics(spark, d), _labels_of(spark, d))

@@ -65,7 +65,10 @@ FROM interactions""", ("interactions",)),
 
 
 def with_adapters(body: str, *names: str) -> str:
-    """``WITH`` the named adapters (and what they need, in order) + ``body``."""
+    """``WITH`` the named adapters (and what they need, in order) + ``body``.
+
+    A body starting with ``, name AS (...)`` adds its own CTEs after the adapters.
+    """
     order: list[str] = []
 
     def visit(n: str) -> None:
