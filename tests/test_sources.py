@@ -174,6 +174,8 @@ def test_library_facades(spark, tmp_path):
     assert {r.title for r in lib.top_tracks_by_genre(10, "rok").collect()} <= {"t1", "t2"}
     col = ThemeCollections(spark, tables)
     assert {r.title for r in col.baseline("love", 5).collect()} == {"t1", "t3"}
+    assert col.word2vec("love", 5).count() >= 1
+    assert col.classification("war", 5, verbose=True).columns[-2:] == ["track_id", "index_number"]
     rec = Recommender(spark, tables, rank=2, max_iter=2)
     assert rec.get_similar_tracks("u0", 2).count() <= 2
     assert rec.get_common_listened_tracks("S1", 2).count() == 2
