@@ -146,22 +146,29 @@ def recommend_users(model, user_idx: DataFrame, coded_train: DataFrame, k: int =
 
     Users are bucketed by the size of their history; a bucket asks ALS for
     k + 2^b - 1 >= k + |seen| candidates, so removing seen songs always leaves
-    k, and a heavy user does not inflate the request of light users. A user's
-    candidate list is at most min(k + 2 |seen|, catalogue size) long: linear in
-    that user's own history, never in the whole table.
+    k, and a heavy user does not inflate the request of light users. Buckets
+    whose request would reach a quarter of the catalogue are scored against
+    every song instead, distributed over the song factors, with seen songs
+    removed by an anti join before a partial top-k: at most four times the
+    request, and no user's candidates are ever gathered into one row.
     """
     seen_n = coded_train.groupBy("user_idx").agg(F.count(F.lit(1)).alias("_seen"))
     users = user_idx.select("user_idx").distinct().join(seen_n, "user_idx", "left").fillna(0, ["_seen"])
     users = users.withColumn("_b", F.ceil(F.log2(F.col("_seen") + 1)).cast("int"))
     buckets = sorted(r["_b"] for r in users.select("_b").distinct().collect())  # at most ~40 values
+    n_items = model.itemFactors.count()
     parts = []
     for b in buckets:
         subset = users.where(F.col("_b") == b).select(F.col("user_idx"))
-        recs = model.recommendForUserSubset(subset, k + (1 << b) - 1)
+        request = k + (1 << b) - 1
+        if 4 * request >= n_items:
+            parts.append(_score_all_items(model, subset, coded_train, k))
+            continue
+        recs = model.recommendForUserSubset(subset, request)
         parts.append(recs.select("user_idx", F.explode("recommendations").alias("r")).select(
-            "user_idx", F.col("r.song_idx").alias("song_idx"), F.col("r.rating").alias("score")))
+            "user_idx", F.col("r.song_idx").alias("song_idx"), F.col("r.rating").cast("double").alias("score")))
     if not parts:
-        return user_idx.sparkSession.createDataFrame([], "user_idx int, song_idx int, score float, rank bigint")
+        return user_idx.sparkSession.createDataFrame([], "user_idx int, song_idx int, score double, rank bigint")
     cand = parts[0]
     for p in parts[1:]:
         cand = cand.unionByName(p)
@@ -171,6 +178,26 @@ def recommend_users(model, user_idx: DataFrame, coded_train: DataFrame, k: int =
         "rank", F.col("rank").cast("bigint"))
 
 
+def _score_all_items(model, users: DataFrame, coded_train: DataFrame, k: int, batch: int = 1000) -> DataFrame:
+    """(user_idx, song_idx, score): each user's top ``k`` unseen songs by dot
+    product over all song factors, ``batch`` users per scan."""
+    from tunelake.operators.vectors import vector_topk
+
+    ids = sorted(r["user_idx"] for r in users.collect())  # heavy users only: each has >= catalogue/4 - k plays
+    out = []
+    for i in range(0, len(ids), batch):
+        chunk = ids[i:i + batch]
+        q = model.userFactors.where(F.col("id").isin(chunk)).select(F.col("id").alias("user_idx"), "features")
+        seen = coded_train.where(F.col("user_idx").isin(chunk)).select("user_idx", F.col("song_idx").alias("id"))
+        top = vector_topk(q, "user_idx", "features", model.itemFactors, "id", "features", k, "dot",
+                          exclude_self=False, exclude=seen)
+        out.append(top.select("user_idx", F.col("id").alias("song_idx"), "score"))
+    res = out[0]
+    for o in out[1:]:
+        res = res.unionByName(o)
+    return res
+
+
 # ------------------------------------------------------------------ popularity baseline
 
 def popularity_recommend(train: DataFrame, k: int = 10, users: DataFrame | None = None) -> DataFrame:
