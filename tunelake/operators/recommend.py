@@ -22,7 +22,7 @@ from tunelake.operators.ids import dense_ids, sequential_index
 from tunelake.operators.vectors import vector_topk
 from tunelake.session import checkpoint_dir
 
-# The reference's model settings.
+# The reference's model settings, seed and held-out share.
 ALS_RANK, ALS_MAX_ITER, ALS_REG, ALS_ALPHA = 200, 20, 0.05, 50.0
 SEED = 42
 TEST_FRACTION = 0.2

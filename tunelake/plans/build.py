@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tunelake.operators import merge
 from tunelake.sources import parquet, text
 
-# File-name markers of the four raw inputs.
+# File-name markers that pick the four raw inputs.
 INPUT_MARKERS = {"genres": "msd", "triplets": "triplets", "tracks": "unique", "lyrics": "mxm"}
 
 
