@@ -180,3 +180,10 @@ def test_library_facades(spark, tmp_path):
     assert rec.get_similar_tracks("u0", 2).count() <= 2
     assert rec.get_common_listened_tracks("S1", 2).count() == 2
     assert rec.evaluate(2).count() == 1
+
+
+def test_malformed_lyrics_item_fails(lines):
+    with pytest.raises(Exception, match="malformed"):
+        text.parse_lyrics(lines(b"%i,the\nT1,7,1:x\n")).collect()
+    with pytest.raises(Exception, match="malformed"):
+        text.parse_lyrics(lines(b"%i,the\nT1,7,1:2,\n")).collect()
