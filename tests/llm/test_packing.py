@@ -1,0 +1,59 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+tokenizers = pytest.importorskip("tokenizers")
+pytest.importorskip("public_tokenizers")
+
+from tunelake.llm import packing as P  # noqa: E402
+
+TEXTS = ["", None, "Hello  World\n don't\tstop 123", "naïve Ångström e\u0301 \u0301x 한국어 中文 🙂🙂", "a<|endoftext|>b <|startoftext|>",
+         "\x1f\x00 x\u00a0y\u2003z\u0085w", "x" * 9000, "ΑΣ Σ İ ǅ", " \n ", "'s 're''ll it's", "words and more " * 4000]
+
+
+def test_pieces_give_back_the_tokenizers_ids(spark, docs):
+    rng = random.Random(4)
+    texts = TEXTS + ["".join(rng.choice("ab c\n'é1!s\u0301<|>T") for _ in range(rng.randrange(300))) for _ in range(200)]
+    rows = P.pack(docs(list(enumerate(texts))).repartition(3)).collect()
+    tok = tokenizers.Tokenizer.from_file(P.tokenizer_path())
+    by = {}
+    for r in rows:
+        by.setdefault(r["doc_id"], []).append(r)
+    assert set(by) == set(range(len(texts)))
+    for i, t in enumerate(texts):
+        want = np.array(tok.encode(t or "", add_special_tokens=False).ids + [P.EOS], dtype="<u4")
+        ps = sorted(by[i], key=lambda r: r["start"])
+        assert b"".join(r["ids"] for r in ps) == want.tobytes()
+        at = 0
+        for r in ps:
+            assert r["start"] == at and r["doc_tokens"] == len(want) and r["offset"] == 0
+            assert r["ids_crc32"] == zlib.crc32(r["ids"]) and len(r["ids"]) == 4 * r["length"]
+            assert r["length"] & (r["length"] - 1) == 0 and r["length"] <= P.MAX_LEN
+            at += r["length"]
+        assert at == len(want)
+
+
+def test_sequences_are_numbered_in_buckets_of_equal_length(spark, docs):
+    rows = P.pack(docs([(i, "w " * (i * 37 % 6000)) for i in range(120)]).repartition(4), keep_ids=False).collect()
+    rows.sort(key=lambda r: r["sequence_id"])
+    assert [r["sequence_id"] for r in rows] == list(range(len(rows)))
+    lengths = [r["length"] for r in rows]
+    assert lengths == sorted(lengths, reverse=True)
+
+
+def test_cache_limit_changes_nothing(spark):
+    a, b = P.Encoder(P.tokenizer_path()), P.Encoder(P.tokenizer_path(), cache=3)
+    ts = [t or "" for t in TEXTS]
+    assert all(np.array_equal(x, y) for t in ts for x, y in zip(a([t]), b([t]), strict=True))
+
+
+def test_lengths_empty_table_repeats_and_nulls(spark, docs):
+    for n in range(1, 20000, 77):
+        assert sum(P.piece_lengths(n)) == n
+    assert P.pack(docs([])).count() == 0
+    d = docs([(1, "a b"), (1, "a b"), (None, "c")]).withColumn("start", F.lit("clash")).withColumn("length", F.lit(0))
+    rows = P.pack(d, keep_ids=False).collect()
+    assert sum(r["length"] for r in rows) == 3 + 3 + 2 and len({r["sequence_id"] for r in rows}) == len(rows)

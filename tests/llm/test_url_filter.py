@@ -1,0 +1,72 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tunelake.llm import url_filter as U
+
+P = "page_id long, url string, html string"
+
+
+def brute(url, block, allow):
+    if url is None or "://" not in url:
+        return "", "", None, "allow"
+    rest = url.split("://", 1)[1]
+    i = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
+    host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in rest[:i])
+    path = rest[i:]
+    path = path[:min([path.find(c) for c in "?#" if c in path], default=len(path))]
+    fit = []
+    for k in {*block, *allow}:
+        h, p = (k.split("/", 1)[0], k[len(k.split("/", 1)[0]):])
+        if (host == h or host.endswith("." + h)) and path.startswith(p):
+            fit.append((-len(k), -len(h), k))
+    rule = min(fit)[2] if fit else None
+    return host, path, rule, "allow" if rule is None or rule in allow else "block"
+
+
+URLS = [None, "", "no scheme", "http://", "http://NET/", "https://a.Example.NET/en/x?q#z", "http://example.net/en",
+        "http://example.com/de/", "ftp://x.org/fr/1", "http://xorg/fr/", "http://net", "a://b://net/", "http://net?x=/",
+        "http://.net/", "http://é.net/en/", "http://EXAMPLE.net//en/", "x" * 50000 + "://org/fr/" + "y" * 50000]
+
+
+def check(spark, pages, block, allow, **kw):
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id long, url string")
+    got = U.judge(df, U.keys(spark, block), U.keys(spark, allow), **kw).collect()
+    assert len(got) == len(pages)
+    for r in got:
+        assert tuple(r)[1:] == brute(pages[r["_row"]["page_id"]], block, allow)
+
+
+def test_rules_of_the_query(spark):
+    check(spark, URLS, U.BLOCK, U.ALLOW)
+
+
+@pytest.mark.parametrize("kw", [{}, {"max_bits": 64}])
+def test_long_lists_are_exact_by_cascade_and_by_join(spark, kw, monkeypatch):
+    monkeypatch.setattr(U, "MIN_BITS", 64)
+    monkeypatch.setattr(U, "BITS_PER_KEY", 2)  # many false positives, so many levels
+    rng = random.Random(2)
+    hosts = [f"{'ab'[i % 2]}{i}.t{i % 7}.org" for i in range(400)]
+    block = [rng.choice(hosts) + rng.choice(["/", "/p", "/p/q/", ""]) for _ in range(150)] + ["t3.org/", "both.org/"]
+    allow = [rng.choice(hosts) + rng.choice(["/p/", "/p/q", "/"]) for _ in range(60)] + ["both.org/"]
+    urls = [f"http://{rng.choice(['', 'www.'])}{rng.choice(hosts)}{rng.choice(['/', '/p', '/p/', '/p/q/z', ''])}"
+            for _ in range(2000)] + ["http://both.org/", "http://www.both.org/x"] * 5
+    both = set(block) & set(allow)
+    block_ = [k for k in block if k not in both]
+    check(spark, urls, block, allow, **kw)
+    if not kw:
+        u = spark.createDataFrame([(k,) for k in {*block, *[h + "/" for h in hosts]}], "key string")
+        c = U.Cascade(U.keys(spark, block_), u)
+        assert len(c.levels) > 2
+        assert {r[0] for r in u.where(c.has(F.col("key"))).collect()} == set(block_)
+
+
+def test_empty_lists_tables_and_clashing_columns(spark):
+    check(spark, URLS, [], [])
+    df = spark.createDataFrame([], "page_id long, url string")
+    assert U.judge(df, U.keys(spark, U.BLOCK), U.keys(spark, [])).count() == 0
+    d = spark.createDataFrame([(1, "http://net/", "x", "y"), (1, "http://net/", "x", "y"), (None, None, None, None)],
+                              "page_id long, url string, host string, _keys string")
+    out = U.judge(d, U.keys(spark, U.BLOCK), U.keys(spark, U.ALLOW)).collect()
+    assert sorted(r["verdict"] for r in out) == ["allow", "block", "block"]

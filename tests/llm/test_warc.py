@@ -1,0 +1,58 @@
+import hashlib
+import io
+
+import pytest
+from pyspark.sql import functions as F
+
+from tunelake.llm import warc as W
+
+P = "page_id long, url string, html string"
+BIG = "<p>é\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\n\r\n" + "x" * 200
+
+
+def roundtrip(spark, tmp_path, df, name="a"):
+    W.write_archives(df, str(tmp_path / name))
+    return W.assemble(W.read_records(spark, str(tmp_path / name))).collect()
+
+
+def test_round_trip_and_revisits(spark, tmp_path):
+    pages = [(5, "http://a/", BIG), (3, "http://b/?q=1", BIG), (9, None, BIG), (1, "http://c/", "short"),
+             (2, "http://d/\r\nX: y", "short"), (4, "", None), (6, "u", ""), (7, "http://long/", "\r\n" * 200000),
+             (None, "http://n/", BIG)]
+    caps = roundtrip(spark, tmp_path, spark.createDataFrame(pages, P).repartition(3))
+    assert len(caps) == len(pages)
+    by = {c["metadata"]["page_id"]: c for c in caps}
+    for pid, url, html in pages:
+        c = by[None if pid is None else str(pid)]
+        data = (html or "").encode()
+        again = html == BIG and pid != 3
+        assert c["response"]["type"] == ("revisit" if again else "response")
+        assert c["metadata"]["refers_to_page"] == ("3" if again else None)
+        assert int(c["metadata"]["payload_bytes"]) == len(data)
+        assert c["response"]["payload_header"] == "sha256:" + hashlib.sha256(data).hexdigest()
+        assert c["response"]["payload"] == (None if again else data)
+        assert (c["n_requests"], c["n_metadata"]) == (1, 1)
+        if again:
+            assert c["response"]["refers_to"] == by["3"]["record_id"]
+
+
+def test_repeated_rows_clashing_columns_and_empty_table(spark, tmp_path):
+    df = spark.createDataFrame([(1, "u", BIG), (1, "u", BIG), (2, "u", BIG)], P).withColumn("digest", F.lit("x")).withColumn("n", F.lit(1))
+    caps = roundtrip(spark, tmp_path, df)
+    assert sorted(c["response"]["type"] for c in caps) == ["response", "response", "revisit"]
+    assert roundtrip(spark, tmp_path, spark.createDataFrame([], P), "b") == []
+
+
+def test_hot_payload(spark, tmp_path):
+    df = spark.range(3000).select(F.col("id").alias("page_id"), F.lit("http://x/").alias("url"),
+                                  F.when(F.col("id") % 3 == 0, F.lit("h" * 150)).otherwise(F.repeat(F.col("id").cast("string"), 50)).alias("html"))
+    caps = roundtrip(spark, tmp_path, df)
+    assert len(caps) == 3000
+    assert sum(c["response"]["type"] == "revisit" for c in caps) == 999
+
+
+def test_cut_archive_fails(spark):
+    with pytest.raises(ValueError):
+        list(W.parse(io.BytesIO(b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 10\r\n\r\nabc")))
+    with pytest.raises(ValueError):
+        list(W.parse(io.BytesIO(b"junk\r\n")))

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from tunelake.llm import mixing, order_minhash, quality_rules
+from tunelake.llm import mixing, order_minhash, packing, quality_rules, url_filter, warc
 
 QUERIES = {
+    "op2_url_filter": url_filter.op2_url_filter,
+    "op3_packing": packing.op3_packing,
     "op4_mixing": mixing.op4_mixing,
+    "op8_warc": warc.op8_warc,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_order_minhash": order_minhash.op10_order_minhash,
 }
 ORACLE = {
+    "op2_url_filter": url_filter.ORACLE,
+    "op8_warc": warc.ORACLE,
     "op9_quality_rules": quality_rules.ORACLE,
 }
