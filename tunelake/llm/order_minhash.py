@@ -8,9 +8,9 @@ bin (one-permutation form: one pass and two sorts a text, n log n, instead of
 BINS passes). Moved passages keep their k-mers but change the order inside
 tuples, so likeness falls with edits and not only with vocabulary.
 
-The fingerprint is per row, without shuffle. ``with_next`` deals whole rows once
-by quantile ranges of doc_id; the row after a range's last is added to it as
-a marked extra row, one a range.
+The fingerprint is per row, without shuffle. ``with_next`` takes whole rows once
+by quantile ranges of doc_id (``dealt``); the row after a range's last is added
+to it as a marked extra row, one a range.
 
 Defined cases: null text is empty; empty and blank texts have the all-empty
 fingerprint and are alike (1.0) only with each other; texts with fewer than K
@@ -91,55 +91,56 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, 1.0).otherwise(same / F.greatest(filled, F.lit(1)))
 
 
-def with_next(df: DataFrame, key: str, carry: list[str], tie: Column) -> DataFrame:
-    """``df`` plus ``next_<c>`` for c in ``carry``: the row after it by descending ``key``
-    (then ``tie``), the first row after the last."""
-    spark = df.sparkSession
-    n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+def dealt(df: DataFrame, key: str, tie: Column) -> DataFrame:
+    """``df`` in ranges of descending ``key`` (``_part``), each with the row that follows it (``_extra`` = 1)."""
+    n = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     at = [i / n for i in range(1, n)]
-    bounds = df.agg(F.percentile_approx(key, at, 100 * n)).first()[0] or []
-    bounds = sorted(set(bounds))
-    # two short searches instead of one long one
-    step = max(1, math.isqrt(len(bounds)))
-    coarse, fine = F.lit(bounds[::-1][::step]).cast("array<long>"), F.lit(bounds[::-1]).cast("array<long>")
-    if bounds:
-        c = F.size(F.filter(coarse, lambda b: b > F.col(key)))
-        piece = F.slice(fine, F.greatest(c - 1, F.lit(0)) * step + 1, step)
-        where = F.greatest(c - 1, F.lit(0)) * step + F.size(F.filter(piece, lambda b: b > F.col(key)))
+    bounds = sorted(set(df.agg(F.percentile_approx(key, at, 100 * n)).first()[0] or []))
+    if bounds:  # two short searches instead of one long one
+        step = max(1, math.isqrt(len(bounds)))
+        coarse, fine = F.lit(bounds[::-1][::step]).cast("array<long>"), F.lit(bounds[::-1]).cast("array<long>")
+        c = F.greatest(F.size(F.filter(coarse, lambda b: b > F.col(key))) - 1, F.lit(0)) * step
+        where = c + F.size(F.filter(F.slice(fine, c + 1, step), lambda b: b > F.col(key)))
     else:
         where = F.lit(0)
     part = F.when(F.col(key).isNull(), len(bounds) + 1).otherwise(where).cast("int")
     df = df.withColumn("_part", part).withColumn("_extra", F.lit(0)).withColumn("_tie", tie)
 
-    # the first row of every range; one a range, n of them at most
-    lead_keys = df.groupBy("_part").agg(F.max(key).alias("_key"))
+    # the first row of every range, from the keys alone: n + 1 rows of numbers at most
     order = Window.orderBy("_part")
-    ring = lead_keys.withColumn("_before", F.coalesce(
+    ring = df.groupBy("_part").agg(F.max(key).alias("_key")).withColumn("_before", F.coalesce(
         F.lag("_part").over(order), F.max("_part").over(Window.partitionBy())))
-    # a hint would be safe (n rows of numbers), the planner finds it by itself
-    firsts = df.join(ring.select(F.col("_part").alias("_p"), "_key", "_before"),
+    firsts = df.join(F.broadcast(ring.select(F.col("_part").alias("_p"), "_key", "_before")),
                      (F.col("_part") == F.col("_p")) & F.col(key).eqNullSafe(F.col("_key")))
     top = Window.partitionBy("_p").orderBy("_tie")
     firsts = firsts.withColumn("_n", F.row_number().over(top)).where(F.col("_n") == 1)
-    marked = firsts.drop("_part", "_extra", "_p", "_key", "_n").withColumnRenamed("_before", "_part") \
-        .withColumn("_extra", F.lit(1))
+    marked = firsts.drop("_part", "_extra").withColumn("_extra", F.lit(1)).withColumnRenamed("_before", "_part")
+    return df.unionByName(marked.select(*df.columns))
+
+
+def with_next(ranges: DataFrame, key: str, carry: list[str]) -> DataFrame:
+    """``dealt`` rows plus ``next_<c>`` for c in ``carry``: the row after it by descending ``key``,
+    then tie, and the first row after the last. One shuffle."""
     w = Window.partitionBy("_part").orderBy("_extra", F.desc_nulls_last(key), "_tie")
-    both = df.unionByName(marked.select(*df.columns))
-    out = both.select("*", *[F.lead(c).over(w).alias(f"next_{c}") for c in carry])
+    out = ranges.select("*", *[F.lead(c).over(w).alias(f"next_{c}") for c in carry])
     return out.where(F.col("_extra") == 0).drop("_part", "_extra", "_tie")
 
 
+def bodies(docs: DataFrame) -> DataFrame:
+    """doc_id and text, null as empty."""
+    return T.as_row(docs).select(F.col("_row.doc_id").alias("doc_id"),
+                                 F.coalesce("_row.text", F.lit("")).alias("text"))
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, text (null as empty) and ``fingerprint`` of every document."""
-    df = T.as_row(docs).select(F.col("_row.doc_id").alias("doc_id"),
-                               F.coalesce("_row.text", F.lit("")).alias("text"))
-    return add_fingerprint(df, "text", "fingerprint")
+    return add_fingerprint(bodies(docs), "text", "fingerprint")
 
 
 def op10_order_minhash(spark, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts, and how alike they are."""
-    docs = fingerprints(T.table(spark, sf_dir, "documents"))
-    df = with_next(docs, "doc_id", ["text", "fingerprint"], F.xxhash64("text"))
+    ranges = dealt(bodies(T.table(spark, sf_dir, "documents")), "doc_id", F.xxhash64("text"))
+    df = with_next(add_fingerprint(ranges, "text", "fingerprint"), "doc_id", ["text", "fingerprint"])
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
