@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tunelake.llm import mixing, order_minhash, packing, quality_rules, url_filter, warc
+from tunelake.llm import mixing, order_minhash, packing, pii, quality_rules, url_filter, warc
 
 QUERIES = {
     "op2_url_filter": url_filter.op2_url_filter,
     "op3_packing": packing.op3_packing,
     "op4_mixing": mixing.op4_mixing,
+    "op5_pii": pii.op5_pii,
     "op8_warc": warc.op8_warc,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_order_minhash": order_minhash.op10_order_minhash,
