@@ -64,9 +64,11 @@ def captures(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
         .where(F.col("_n") > 1).select("digest", "_first")
     # digests of a group of copies meet their group's one row; AQE splits a hot digest
     revisits = large.join(first, "digest").where(~F.col("page_id").eqNullSafe(F.col("_first"))).distinct()
-    r = revisits.select(F.col("page_id").alias("_p"), F.col("digest").alias("_d"), "_first")
-    df = df.join(r, F.col("page_id").eqNullSafe(F.col("_p")) & (F.col("digest") == F.col("_d")), "left")
-    same = Window.partitionBy("page_id", "digest").orderBy("url")
+    # a key without nulls, so that the join and the numbering below share one shuffle of payloads
+    page = F.coalesce(F.col("page_id").cast("string"), F.lit("none"))
+    r = revisits.select(page.alias("_page"), "digest", "_first")
+    df = df.withColumn("_page", page).join(r, ["_page", "digest"], "left")
+    same = Window.partitionBy("_page", "digest").orderBy("url")
     return df.select("page_id", "url", "html", "digest", "bytes", F.col("_first").alias("first"),
                      F.row_number().over(same).alias("n"))
 
