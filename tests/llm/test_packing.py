@@ -44,10 +44,17 @@ def test_sequences_are_numbered_in_buckets_of_equal_length(spark, docs):
     assert lengths == sorted(lengths, reverse=True)
 
 
-def test_cache_limit_changes_nothing(spark):
-    a, b = P.Encoder(P.tokenizer_path()), P.Encoder(P.tokenizer_path(), cache=3)
-    ts = [t or "" for t in TEXTS]
-    assert all(np.array_equal(x, y) for t in ts for x, y in zip(a([t]), b([t]), strict=True))
+def test_plain_characters_and_cache_limit(spark):
+    tok = tokenizers.Tokenizer.from_file(P.tokenizer_path())
+    a, b = P.Encoder(P.tokenizer_path()), P.Encoder(P.tokenizer_path(), most=3)
+    rng = random.Random(9)
+    plain = [chr(c) for c in (*range(9, 14), *range(32, 127), *range(0xA1, 0x100))]
+    texts = [t or "" for t in TEXTS] + ["".join(plain), "!'s a'S it'LL x'd'd don'Ts"]
+    texts += ["".join(rng.choices(plain + [" "] * 30 + list("'sStTdDlLmMrReEvV") * 3, k=400)) for _ in range(300)]
+    texts += ["".join(rng.choices(plain + list("\u0130\u0301\u03a3\x1f\x85 ") * 2, k=60)) for _ in range(300)]
+    for t in texts:
+        want = np.array(tok.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        assert a(t) == b(t) == want
 
 
 def test_lengths_empty_table_repeats_and_nulls(spark, docs):

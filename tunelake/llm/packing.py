@@ -6,9 +6,8 @@ piece is a sequence; sequences are numbered within buckets of equal length, so
 batches draw from one bucket, nothing is padded and no sequence crosses
 documents.
 
-Tokens come from a public tokenizer inside Arrow batches. The tokenizer works
-on words between ASCII white space by itself (its pattern never spans white
-space), so the ids of a word are kept in a bounded cache per task. Pieces are
+Tokens come from a public tokenizer inside Arrow batches, with a bounded cache of
+the ids of words or word parts in each worker. Pieces are
 written once to the shared scratch folder with their place in (task, length);
 the numbers follow from one small count table, without a sort or a global
 window.
@@ -34,7 +33,7 @@ from tunelake.session import scratch_path
 
 MAX_LEN = 4096
 EOS = 2
-CACHE_WORDS = 400_000  # words whose ids a task remembers
+CACHE_PARTS = 400_000  # parts, and words, whose ids a worker remembers
 
 
 def tokenizer_path() -> str:
@@ -49,49 +48,77 @@ def piece_lengths(n: int, longest: int = MAX_LEN) -> list[int]:
     return [longest] * (n // longest) + [1 << b for b in range(longest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
+# Texts of these characters only (Latin letters, common signs, ASCII white space) are cut
+# here as the tokenizer cuts them: case folds letter by letter and nothing composes.
+PLAIN = re.compile(r"[\t-\r\x20-\x7e\xa1-\xff]*")
+LETTER, NUMBER = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
+PART = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{LETTER}]+|[{NUMBER}]|[^\s{LETTER}{NUMBER}]+")
+WORD = re.compile(r"[^ \t\n\r\x0b\x0c]+")
+
+
 class Encoder:
-    """Ids of texts by one tokenizer file, words cached."""
-
-    def __init__(self, path: str, cache: int = CACHE_WORDS):
-        from tokenizers import Tokenizer
-
-        self.tok, self.cache, self.most = Tokenizer.from_file(path), {}, cache
-        self.gap = re.compile(r"[ \t\n\r\x0b\x0c]+")
-
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        split = [[w for w in self.gap.split(t) if w] for t in texts]
-        new = list({w for ws in split for w in ws}.difference(self.cache))
-        if len(self.cache) + len(new) > self.most:
-            self.cache, new = {}, list({w for ws in split for w in ws})
-        for i in range(0, len(new), 50_000):
-            part = new[i:i + 50_000]
-            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.cache[w] = e.ids
-        get, out = self.cache.__getitem__, []
-        for ws in split:
-            ids: list[int] = []
-            for x in map(get, ws):
-                ids += x
-            ids.append(EOS)
-            out.append(np.array(ids, dtype="<u4"))
-        return out
+    """Ids (as little-endian bytes) of whole texts by one tokenizer file, parts cached.
+
+    Plain texts are cut into the tokenizer's own parts, others into words between
+    ASCII white space, which its parts never span; either way the tokenizer gives the ids.
+    """
+
+    def __init__(self, path: str, most: int = CACHE_PARTS):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tok, self.most = Tokenizer.from_file(path), most
+        self.byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.parts: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def _part(self, part: str) -> bytes:
+        text = part if part.isascii() else self.byte_level.pre_tokenize_str(part)[0][0]
+        return np.array([t.id for t in self.tok.model.tokenize(text)], dtype="<u4").tobytes()
+
+    def _word(self, word: str) -> bytes:
+        return np.array(self.tok.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def __call__(self, text: str) -> bytes:
+        if PLAIN.fullmatch(text) and "<|" not in text:
+            found, known, make = PART.findall(text.lower()), self.parts, self._part
+        else:
+            found, known, make = WORD.findall(text), self.words, self._word
+        try:
+            return b"".join(map(known.__getitem__, found))
+        except KeyError:
+            for x in set(found).difference(known):
+                known[x] = make(x)
+            ids = b"".join(map(known.__getitem__, found))
+            if len(known) > self.most:
+                known.clear()
+            return ids
+
+
+_encoders: dict[str, Encoder] = {}  # one a worker process and file
+
+
+def encoder(path: str) -> Encoder:
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 def _pieces(path: str, longest: int, keep_ids: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        encode, count, task = Encoder(path), {}, TaskContext.get().partitionId()
+        encode, count, task = encoder(path), {}, TaskContext.get().partitionId()
+        end = np.array([EOS], dtype="<u4").tobytes()
         for batch in batches:
-            texts = batch["text"].fillna("").tolist()
-            ids_of = batch["doc_id"].tolist()
-            for a in range(0, len(texts), 512):
+            texts, docs = batch["text"].fillna(""), batch["doc_id"]
+            for a in range(0, len(batch), 256):
                 rows = []
-                for doc, ids in zip(ids_of[a:a + 512], encode(texts[a:a + 512]), strict=True):
-                    start = 0
-                    for n in piece_lengths(len(ids), longest):
-                        raw, k = ids[start:start + n].tobytes(), count.get(n, 0)
-                        rows.append((doc, start, n, zlib.crc32(raw), len(ids), task, k, raw if keep_ids else None))
+                for doc, text in zip(docs.iloc[a:a + 256], texts.iloc[a:a + 256], strict=True):
+                    raw, start = memoryview(encode(text) + end), 0
+                    total = len(raw) // 4
+                    for n in piece_lengths(total, longest):
+                        ids, k = raw[4 * start:4 * (start + n)], count.get(n, 0)
+                        rows.append((doc, start, n, zlib.crc32(ids), total, task, k, bytes(ids) if keep_ids else None))
                         count[n], start = k + 1, start + n
                 out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "_p", "_k", "ids"])
                 out["doc_id"] = out["doc_id"].astype("Int64")
