@@ -61,6 +61,6 @@ def test_lengths_empty_table_repeats_and_nulls(spark, docs):
     for n in range(1, 20000, 77):
         assert sum(P.piece_lengths(n)) == n
     assert P.pack(docs([])).count() == 0
-    d = docs([(1, "a b"), (1, "a b"), (None, "c")]).withColumn("start", F.lit("clash")).withColumn("length", F.lit(0))
+    d = docs([(2**60 + 1, "a b"), (2**60 + 1, "a b"), (None, "c")]).withColumn("start", F.lit("clash")).withColumn("length", F.lit(0))
     rows = P.pack(d, keep_ids=False).collect()
-    assert sum(r["length"] for r in rows) == 3 + 3 + 2 and len({r["sequence_id"] for r in rows}) == len(rows)
+    assert sum(r["length"] for r in rows) == 3 + 3 + 2 and {r["doc_id"] for r in rows} == {2**60 + 1, None} and len({r["sequence_id"] for r in rows}) == len(rows)

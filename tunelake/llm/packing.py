@@ -110,7 +110,7 @@ def _pieces(path: str, longest: int, keep_ids: bool):
         encode, count, task = encoder(path), {}, TaskContext.get().partitionId()
         end = np.array([EOS], dtype="<u4").tobytes()
         for batch in batches:
-            texts, docs = batch["text"].fillna(""), batch["doc_id"]
+            texts, docs = batch["text"].fillna(""), batch["id"]
             for a in range(0, len(batch), 256):
                 rows = []
                 for doc, text in zip(docs.iloc[a:a + 256], texts.iloc[a:a + 256], strict=True):
@@ -120,8 +120,7 @@ def _pieces(path: str, longest: int, keep_ids: bool):
                         ids, k = raw[4 * start:4 * (start + n)], count.get(n, 0)
                         rows.append((doc, start, n, zlib.crc32(ids), total, task, k, bytes(ids) if keep_ids else None))
                         count[n], start = k + 1, start + n
-                out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "_p", "_k", "ids"])
-                out["doc_id"] = out["doc_id"].astype("Int64")
+                out = pd.DataFrame(rows, columns=["id", "start", "length", "ids_crc32", "doc_tokens", "_p", "_k", "ids"])
                 yield out if keep_ids else out.drop(columns="ids")
     return run
 
@@ -130,8 +129,9 @@ def pack(docs: DataFrame, path: str | None = None, longest: int = MAX_LEN, keep_
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset
     and, if asked for, ``ids`` (little-endian unsigned 32-bit)."""
     spark = docs.sparkSession
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, _p int, _k long"
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    schema = "id string, start long, length long, ids_crc32 long, doc_tokens long, _p int, _k long"
+    # ids travel as text: pandas would make floats of a nullable column
+    rows = docs.select(F.col("doc_id").cast("string").alias("id"), F.col("text").cast("string").alias("text"))
     made = rows.mapInPandas(_pieces(path or tokenizer_path(), longest, keep_ids), schema + (", ids binary" if keep_ids else ""))
     at = scratch_path(spark, "pieces")
     made.write.parquet(at)
@@ -142,7 +142,7 @@ def pack(docs: DataFrame, path: str | None = None, longest: int = MAX_LEN, keep_
     first = n.select(F.col("length").alias("_l"), F.col("_p").alias("_t"),
                      F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_first"))
     out = made.join(F.broadcast(first), (F.col("length") == F.col("_l")) & (F.col("_p") == F.col("_t")))
-    cols = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("_first") + F.col("_k")).alias("sequence_id"),
+    cols = [F.col("id").cast("long").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", (F.col("_first") + F.col("_k")).alias("sequence_id"),
             F.lit(0).cast("long").alias("offset")]
     return out.select(*cols, *(["ids"] if keep_ids else []))
 

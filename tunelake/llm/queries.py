@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tunelake.llm import mixing, order_minhash, packing, pii, quality_rules, url_filter, warc
+from tunelake.llm import mixing, ngram_join, order_minhash, packing, pii, quality_rules, url_filter, warc
 
 QUERIES = {
+    "op1_ngram_jaccard": ngram_join.op1_ngram_jaccard,
     "op2_url_filter": url_filter.op2_url_filter,
     "op3_packing": packing.op3_packing,
     "op4_mixing": mixing.op4_mixing,
@@ -14,6 +15,7 @@ QUERIES = {
     "op10_order_minhash": order_minhash.op10_order_minhash,
 }
 ORACLE = {
+    "op1_ngram_jaccard": ngram_join.ORACLE,
     "op2_url_filter": url_filter.ORACLE,
     "op8_warc": warc.ORACLE,
     "op9_quality_rules": quality_rules.ORACLE,
