@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tunelake.llm import mixing, ngram_join, order_minhash, packing, pii, quality_rules, url_filter, warc
+from tunelake.llm import (line_crf, mixing, ngram_join, order_minhash, packing, pii, quality_rules, toxicity,
+                          url_filter, warc)
 
 QUERIES = {
     "op1_ngram_jaccard": ngram_join.op1_ngram_jaccard,
@@ -10,6 +11,8 @@ QUERIES = {
     "op3_packing": packing.op3_packing,
     "op4_mixing": mixing.op4_mixing,
     "op5_pii": pii.op5_pii,
+    "op6_quality": line_crf.op6_quality,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op8_warc": warc.op8_warc,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_order_minhash": order_minhash.op10_order_minhash,
