@@ -68,7 +68,8 @@ def allocate(low: int, high: int, h: int, sets: int) -> tuple[int, int]:
         one = h + 1 - 2 * two
         t = (low + high) / 2 / (one + two)
         empty = math.exp(-t)
-        return one + two * (1 + t) + CANDIDATE_COST * sets * (one * empty + two * empty * (1 + t))
+        # both sets of a pair must be empty (weight 2: nearly empty) in the segment
+        return one + two * (1 + t) + CANDIDATE_COST * sets * (one * empty ** 2 + two * (empty * (1 + t)) ** 2)
     two = min(range(0, (h + 1) // 2 + 1), key=cost)
     return h + 1 - 2 * two, two
 
