@@ -18,8 +18,7 @@ from tunelake.session import scratch_path
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass every rule of the current policy."""
-    rows = quality_rules.apply_policy(quality_rules.ledger(docs))
-    return rows.where("kept").select("_row.*")
+    return quality_rules.kept_rows(quality_rules.ledger(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

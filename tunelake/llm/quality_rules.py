@@ -111,6 +111,16 @@ def apply_policy(ledger_rows: DataFrame, policy: str = CURRENT) -> DataFrame:
     return ledger_rows.withColumn("kept", passes(policy)).withColumn("policy", F.lit(policy))
 
 
+def kept_rows(ledger_rows: DataFrame, policy: str = CURRENT) -> DataFrame:
+    """Input rows that a policy keeps.
+
+    The row number is a barrier: without it the optimizer would push the filter below the
+    measuring steps and compute them anew inside each other.
+    """
+    rows = apply_policy(ledger_rows, policy).withColumn("_at", F.monotonically_increasing_id())
+    return rows.where(F.col("kept") & (F.col("_at") >= 0)).select("_row.*")
+
+
 def ablation(ledger_rows: DataFrame, policy: str = CURRENT, rules: list[Rule] = RULES) -> DataFrame:
     """Per rule of the policy: documents that fail it, that only it rejects, and
     that would be kept without it. One row per rule, from one aggregate."""
