@@ -64,14 +64,11 @@ def fuzzy_pairs(big: DataFrame, big_col: str, small: DataFrame, small_col: str,
     ``small_is_a`` says which side is ``a`` (the candidate) in ratio(a, b). An
     equi-join on length against the small side's exploded length band replaces
     the cross product, so only length-compatible pairs reach the Python UDF.
-    The small side (keywords, a few names) is broadcast after a size check.
     """
-    from tunelake.functions.joins import broadcast_if_small
-
     s = small.select(F.col(small_col).alias("_s")).distinct()
     s = s.select("_s", F.explode(length_band(F.length("_s"), cutoff)).alias("_len"))
     b = big.select(F.col(big_col).alias("_b")).distinct().withColumn("_len", F.length("_b"))
-    pairs = b.join(broadcast_if_small(s), "_len").drop("_len")
+    pairs = b.join(s, "_len").drop("_len")
     a, bb = ("_s", "_b") if small_is_a else ("_b", "_s")
     scored = pairs.withColumn("ratio", fuzzy_ratio(F.col(a), F.col(bb)))
     return scored.where(F.col("ratio") >= F.lit(cutoff)).select(

@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tunelake.functions.joins import broadcast_if_small
 from tunelake.functions.strings import is_alpha, py_strip
 from tunelake.functions.stopwords import ENGLISH
 from tunelake.operators.toptracks import popularity
@@ -35,7 +34,7 @@ def filter_vocabulary(vocabulary: DataFrame, stop_words: list[str] | None = None
 def theme_scores(lyrics: DataFrame, lexicon: DataFrame) -> DataFrame:
     """(theme, track_id, score): per track, the summed counts of the theme's words;
     zero scores dropped. All themes in one aggregate."""
-    words = broadcast_if_small(lexicon.select("theme", F.col("term").alias("word")).distinct())
+    words = lexicon.select("theme", F.col("term").alias("word")).distinct()
     joined = lyrics.select("track_id", "word", "cnt").join(words, "word")
     scores = joined.groupBy("theme", "track_id").agg(F.sum("cnt").cast("bigint").alias("score"))
     return scores.where(F.col("score") != 0)
@@ -127,31 +126,34 @@ def label_union(scores: DataFrame, merged: DataFrame, themes: list[str], n: int
 
 
 def doc_freq(lyrics: DataFrame) -> DataFrame:
-    """(word, df): tracks in which the word occurs (count > 0)."""
-    return lyrics.where(F.col("cnt") > 0).groupBy("word").agg(
-        F.countDistinct("track_id").cast("bigint").alias("df"))
+    """(word, df): tracks in which the word occurs (count > 0). A (track, word) pair is one
+    row of ``lyrics``, so rows are counted, combined before the shuffle."""
+    return lyrics.where(F.col("cnt") > 0).groupBy("word").agg(F.count(F.lit(1)).cast("bigint").alias("df"))
 
 
-def idf_table(lyrics: DataFrame) -> DataFrame:
-    """(word, idf) with smooth idf ln((1+n)/(1+df)) + 1 over the tracks in ``lyrics``.
+def idf_table(lyrics: DataFrame, tracks: DataFrame | None = None) -> DataFrame:
+    """(word, idf) with smooth idf ln((1+n)/(1+df)) + 1.
 
-    One aggregate gives both the per-word document frequencies and (as the
-    rollup's grand total) the number of tracks n; n reaches every word through
-    a window over that vocabulary-sized result, so no separate count job runs.
+    n counts the rows of ``tracks``; without it, the tracks of ``lyrics`` that
+    have a word. It reaches every word as a scalar subquery.
     """
-    l = lyrics.where(F.col("cnt") > 0)
-    agg = l.rollup("word").agg(F.countDistinct("track_id").alias("df"), F.grouping("word").alias("_total"))
-    n = F.max(F.when(F.col("_total") == 1, F.col("df"))).over(Window.partitionBy())
-    idf = F.log((F.lit(1.0) + F.col("_n")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
-    return agg.withColumn("_n", n.cast("double")).where(F.col("_total") == 0).select("word", idf.alias("idf"))
-
-
-def apply_tfidf(lyrics: DataFrame, idf: DataFrame) -> DataFrame:
-    """(track_id, word, tfidf): cnt * idf, L2-normalised per track (words without
-    an idf are dropped). The norm is a window per track: one shuffle on track_id,
-    each group bounded by the vocabulary size."""
-    w = lyrics.where(F.col("cnt") > 0).select("track_id", "word", "cnt").join(idf, "word").select(
-        "track_id", "word", (F.col("cnt") * F.col("idf")).alias("w"))
+    if tracks is None:
+        tracks = lyrics.where(F.col("cnt") > 0).select("track_id").distinct()
+    n = tracks.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
+    idf = F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
+    return doc_freq(lyrics).select("word", idf.alias("idf"))
+
+
+def apply_tfidf(lyrics: DataFrame, idf: DataFrame, unseen: float | None = None) -> DataFrame:
+    """(track_id, word, tfidf): cnt * idf, L2-normalised per track.
+
+    A word without an idf weighs ``unseen`` (ln(1+n) + 1 for a fit over n
+    tracks); with None such words are left out. The norm is a window per track:
+    one shuffle on track_id, each group bounded by the track's distinct words.
+    """
+    l = lyrics.where(F.col("cnt") > 0).select("track_id", "word", "cnt")
+    j = l.join(idf, "word") if unseen is None else l.join(idf, "word", "left").fillna(unseen, ["idf"])
+    w = j.select("track_id", "word", (F.col("cnt") * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("track_id")))
     return w.select("track_id", "word", (F.col("w") / norm).alias("tfidf"))
 

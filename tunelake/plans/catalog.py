@@ -453,6 +453,9 @@ def q_vector_topk(spark, d):
     return top.select("query_id", "vec_id", F.round("score", 6).alias("score"), "rank")
 
 
+W2V_PARTITIONS = 8
+
+
 def _w2v_vectors(spark, d):
     return fitted_once("word2vec", spark, d, lambda: _fit_w2v(spark, d))
 
@@ -462,8 +465,8 @@ def _fit_w2v(spark, d):
     vocab = td.vocabulary(spark, d)
     sentences = kw.document_sentences(td.positioned_tokens(spark, d), vocab)
     # parallel training over document sentences (the model is bounded by the vocabulary)
-    parts = max(1, spark.sparkContext.defaultParallelism)
-    model = kw.train_word2vec(sentences, num_partitions=parts)
+    # in a fixed number of parts, so the vectors do not follow the core count
+    model = kw.train_word2vec(sentences, num_partitions=W2V_PARTITIONS)
     return kw.word_vectors(model).persist(), vocab
 
 
@@ -710,7 +713,7 @@ def _classifier(spark, d):
 def _fit_classifier(spark, d):
     from tunelake.operators import lyrics as ly
     from tunelake.operators.classify import ThemeClassifier
-    vocab = td.vocabulary(spark, d).persist()
+    vocab = td.vocabulary(spark, d)
     lyr = td.lyrics(spark, d, vocab).persist()
     labels = ly.weak_labels(ly.theme_scores(lyr, td.lexicon(spark, d, vocab)), merged(spark, d), 500).persist()
     clf, held_out = ThemeClassifier.fit(lyr, labels, ly.filter_vocabulary(vocab))
@@ -732,7 +735,16 @@ def q_train_theme_classifier(spark, d):
 @register("classify_tracks", None)
 def q_classify_tracks(spark, d):
     clf, _, lyr, _ = _classifier(spark, d)
-    return clf.predict(lyr)
+    return clf.predict(lyr, td.lyric_tracks(spark, d))
+
+
+@register("classify_tracks_complete", """
+SELECT concat('TR', CAST(doc_id AS VARCHAR)) AS track_id, TRUE AS has_theme FROM documents""")
+def q_classify_tracks_complete(spark, d):
+    """Every track, also without a known word, gets one of the themes."""
+    clf, _, lyr, _ = _classifier(spark, d)
+    out = clf.predict(lyr, td.lyric_tracks(spark, d))
+    return out.select("track_id", F.col("theme_label").isin(td.THEMES).alias("has_theme"))
 
 
 @register("collection_classifier", None)

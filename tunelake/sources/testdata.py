@@ -3,19 +3,33 @@
 ``/root/testdata/sf*/`` holds TPC-H-like tables plus ``documents``. These
 functions turn them into triplets, tracks, genres, a bag-of-words lyrics table
 and the theme lexicon, so every operator runs over data whose size grows with
-the scale factor. The modulus conditions plant the interesting cases (unplayed
-tracks, plays without a track, songs with two tracks, tracks without a genre);
-they keep most rows and do not cap the work.
+the scale factor. Every row and every text is read. The interesting cases
+(unplayed tracks, plays without a track, songs with two tracks, tracks without
+a genre) are planted by giving some rows other ids, never by leaving rows out.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Size of the bag-of-words vocabulary (most frequent words), like the fixed
-# vocabulary of a published bag-of-words lyrics dataset.
-VOCABULARY_SIZE = 500
+from tunelake.operators.ids import sequential_index
+from tunelake.session import scratch_path
+
+# Words are runs of letters of any script.
+NOT_LETTERS = r"[^\p{L}]+"
+
+_STORED: dict = {}
+
+
+def _stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A derived table written once per session and input, then read from Parquet."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        path = scratch_path(spark, name)
+        build().write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,86 +41,87 @@ def _id(prefix: str, col: str):
 
 
 def triplets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(user_id, song_id, play_count): one listening record per line item."""
+    """(user_id, song_id, play_count): one listening record per line item; the plays of
+    every seventh part go to a song without a track."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return (
-        li.where(F.col("l_partkey") % 7 != 0)
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             _id("U", "o_custkey").alias("user_id"),
-            _id("SO", "l_partkey").alias("song_id"),
+            F.when(F.col("l_partkey") % 7 == 0, _id("SOX", "l_partkey")).otherwise(_id("SO", "l_partkey"))
+            .alias("song_id"),
             F.col("l_quantity").cast("bigint").alias("play_count"),
         )
     )
 
 
 def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(track_id, song_id, artist_name, title); some songs have two tracks."""
-    part = table(spark, sf_dir, "part").where(F.col("p_partkey") % 11 != 0)
+    """(track_id, song_id, artist_name, title); some songs have two tracks, the track of
+    every eleventh part is of a song nobody plays."""
+    part = table(spark, sf_dir, "part")
+    song = (F.when(F.col("p_partkey") % 11 == 0, _id("SOY", "p_partkey")).otherwise(_id("SO", "p_partkey"))
+            .alias("song_id"))
     first = part.select(
-        _id("TR", "p_partkey").alias("track_id"), _id("SO", "p_partkey").alias("song_id"),
+        _id("TR", "p_partkey").alias("track_id"), song,
         F.col("p_brand").alias("artist_name"), F.col("p_name").alias("title"),
     )
     second = part.where(F.col("p_size") % 5 == 0).select(
-        _id("TRB", "p_partkey").alias("track_id"), _id("SO", "p_partkey").alias("song_id"),
+        _id("TRB", "p_partkey").alias("track_id"), song,
         F.col("p_brand").alias("artist_name"), F.col("p_name").alias("title"),
     )
     return first.unionByName(second)
 
 
 def genres(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(track_id, majority_genre, minority_genre); minority may be empty."""
-    part = table(spark, sf_dir, "part").where(F.col("p_size") <= 40)
+    """(track_id, majority_genre, minority_genre); minority may be empty; the rows
+    of the largest parts name tracks that are not in ``tracks``."""
+    part = table(spark, sf_dir, "part")
     return part.select(
-        _id("TR", "p_partkey").alias("track_id"),
+        F.when(F.col("p_size") <= 40, _id("TR", "p_partkey")).otherwise(_id("TRX", "p_partkey")).alias("track_id"),
         F.col("p_type").alias("majority_genre"),
         F.when(F.col("p_size") % 3 == 0, F.lit("")).otherwise(F.col("p_brand")).alias("minority_genre"),
     )
 
 
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, w): every word (2+ letters) of every English document, whole texts."""
-    docs = table(spark, sf_dir, "documents").where(F.col("lang") == "en").select("doc_id", "text")
-    return (
-        docs.select("doc_id", F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("w"))
-        .where(F.length("w") > 1)
-    )
+    """(doc_id, w): every word of every document, whole texts, all languages."""
+    return positioned_tokens(spark, sf_dir).select("doc_id", "w")
 
 
 def positioned_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, pos, w): the tokens with their position in the text."""
-    docs = table(spark, sf_dir, "documents").where(F.col("lang") == "en").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return (
-        docs.select("doc_id", F.posexplode(F.split(F.lower("text"), "[^a-z]+")).alias("pos", "w"))
-        .where(F.length("w") > 1)
+        docs.select("doc_id", F.posexplode(F.split(F.lower("text"), NOT_LETTERS)).alias("pos", "w"))
+        .where(F.col("w") != "")
     )
 
 
-def vocabulary(spark: SparkSession, sf_dir: str, size: int = VOCABULARY_SIZE) -> DataFrame:
-    """(word, word_id): the ``size`` most frequent words, 1-based ids by frequency.
+def lyric_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(track_id): every track with a text, also those without a word."""
+    return table(spark, sf_dir, "documents").select(_id("TR", "doc_id").alias("track_id"))
+
 
-    The global ranking is a top-k (TakeOrderedAndProject), so only ``size`` rows
-    ever reach the single-partition window that numbers them.
+def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(word, word_id): every distinct word, 1-based ids by frequency, then spelling.
+
+    The words are numbered by range partition and offset (no single-partition
+    window) and stored once per session and input.
     """
-    counts = tokens(spark, sf_dir).groupBy("w").agg(F.count(F.lit(1)).alias("c"))
-    top = counts.orderBy(F.desc("c"), F.asc("w")).limit(size)
-    rank = Window.orderBy(F.desc("c"), F.asc("w"))
-    return top.select(F.col("w").alias("word"), F.row_number().over(rank).cast("bigint").alias("word_id"))
+    def build() -> DataFrame:
+        counts = tokens(spark, sf_dir).groupBy(F.col("w").alias("word")).agg(F.count(F.lit(1)).alias("c"))
+        return sequential_index(counts, [F.desc("c"), F.asc("word")], "word_id", start=1).select("word", "word_id")
+
+    return _stored(spark, sf_dir, "vocabulary", build)
 
 
 def lyrics(spark: SparkSession, sf_dir: str, vocab: DataFrame | None = None) -> DataFrame:
     """Long bag-of-words: (track_id, mxm_track_id, word_id, word, cnt)."""
     vocab = vocab if vocab is not None else vocabulary(spark, sf_dir)
-    # the vocabulary is bounded by its size parameter: safe to broadcast
-    joined = tokens(spark, sf_dir).join(F.broadcast(vocab), F.col("w") == F.col("word"))
-    return (
-        joined.groupBy("doc_id", "word_id", "word").agg(F.count(F.lit(1)).alias("cnt"))
-        .select(
-            _id("TR", "doc_id").alias("track_id"), F.col("doc_id").alias("mxm_track_id"),
-            "word_id", "word", "cnt",
-        )
-    )
+    counts = tokens(spark, sf_dir).groupBy("doc_id", F.col("w").alias("word")).agg(F.count(F.lit(1)).alias("cnt"))
+    return counts.join(vocab, "word").select(
+        _id("TR", "doc_id").alias("track_id"), F.col("doc_id").alias("mxm_track_id"), "word_id", "word", "cnt")
 
 
 # The five themes of the demo notebook, assigned to vocabulary ranks.
@@ -114,19 +129,19 @@ THEMES = ["love", "war", "happiness", "loneliness", "money"]
 
 
 def lexicon(spark: SparkSession, sf_dir: str, vocab: DataFrame | None = None) -> DataFrame:
-    """(theme, term): 5 themes x 4 terms taken from the vocabulary by rank."""
+    """(theme, term): 5 themes x 4 terms, a user's short keyword lists, named by vocabulary rank."""
     vocab = vocab if vocab is not None else vocabulary(spark, sf_dir)
     r = F.col("word_id") % 100
     theme = (F.when(r == 0, "love").when(r == 1, "war").when(r == 2, "happiness")
              .when(r == 3, "loneliness").otherwise("money"))
-    return vocab.where((F.col("word_id") > 100) & (r < 5)).select(theme.alias("theme"), F.col("word").alias("term"))
+    return vocab.where(F.col("word_id").between(101, 500) & (r < 5)).select(theme.alias("theme"), F.col("word").alias("term"))
 
 
 def synsets(spark: SparkSession, sf_dir: str, vocab: DataFrame | None = None) -> DataFrame:
-    """(synset_id, lemma): every vocabulary word in two synonym groups."""
+    """(synset_id, lemma): every vocabulary word in two small synonym groups."""
     vocab = vocab if vocab is not None else vocabulary(spark, sf_dir)
-    a = vocab.select((F.col("word_id") % 50).alias("synset_id"), F.col("word").alias("lemma"))
-    b = vocab.select((F.col("word_id") % 37 + 100).alias("synset_id"), F.col("word").alias("lemma"))
+    a = vocab.select(F.floor(F.col("word_id") / 10).alias("synset_id"), F.col("word").alias("lemma"))
+    b = vocab.select((-1 - F.floor(F.col("word_id") / 7)).alias("synset_id"), F.col("word").alias("lemma"))
     return a.unionByName(b)
 
 
