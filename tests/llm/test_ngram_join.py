@@ -103,3 +103,16 @@ def test_near_copy_group_and_one_of_each(spark, docs):
 def test_empty_table(spark, docs):
     assert J.ngram_components(docs([])).count() == 0
     assert J.one_of_each(docs([])).count() == 0
+
+
+@pytest.mark.parametrize("crowd", [1, 4])
+def test_crowded_buckets_lose_no_link(spark, docs, monkeypatch, crowd):
+    monkeypatch.setattr(J, "CROWD", crowd)
+    rng = random.Random(crowd)
+    passage = [f"p{i}" for i in range(80)]
+    texts = corpus(crowd + 10)
+    for _ in range(40):  # most of the text is shared; some of them also have a near copy
+        w = passage + [f"o{rng.randrange(10**6)}" for _ in range(rng.choice([8, 12, 20]))]
+        texts += [" ".join(w)] + [" ".join(w[:-1])] * rng.choice([0, 1])
+    rows = list(enumerate(texts))
+    assert got(spark, docs, rows) == brute(rows)

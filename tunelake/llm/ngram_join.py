@@ -16,7 +16,12 @@ bucket every node is first compared with the bucket's least node only, so a grou
 of near copies costs its size, not its square; components then tell which nodes
 of a bucket are still apart, and only pairs of different components are compared
 (those outside the bucket's largest component against the others). No link between
-components is lost, and links inside a component don't change it.
+components is lost, and links inside a component don't change it. A crowded bucket
+(more than CROWD nodes) is split again first: texts that share a frequent passage
+share whole segments without being similar, but similar sets also share one of their
+rarest n-grams (the first |x| - ceil(T |x|) + 1 in any fixed order), so nodes of such
+a bucket are compared only where they share one. The order is by counts of n-grams
+in CELLS hashed cells over the crowded nodes; it changes the cost, never the links.
 
 Scale: buckets are counted with map-side combine before any join, the buckets
 that hold one node are gone after the first join, joins by bucket can be split
@@ -47,6 +52,8 @@ PERCENT = 90           # similarity at which sets link
 BAND = 1.4             # ratio of the sizes in a band
 CANDIDATE_COST = 20.0  # of one expected candidate, in signatures
 CACHE_WORDS = 300_000
+CROWD = 16             # nodes of a bucket that are compared directly
+CELLS = 1 << 14        # counters behind the order of rarity: bounds the driver's and the tasks' copy
 BROADCAST_NODES = 1_000_000  # ids of 16 bytes
 
 
@@ -176,6 +183,56 @@ def _linked(percent: int):
     return run
 
 
+def _cell(tokens: np.ndarray) -> np.ndarray:
+    return ((tokens >> np.uint64(37)) % np.uint64(CELLS)).astype(np.int64)
+
+
+def _count_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    counts = np.zeros(CELLS, np.int64)
+    for batch in batches:
+        for t in batch["tokens"]:
+            counts += np.bincount(_cell(np.frombuffer(t, np.uint64)), minlength=CELLS)
+    at = np.flatnonzero(counts)
+    yield pd.DataFrame({"cell": at, "c": counts[at]})
+
+
+def _rarest(counts: np.ndarray, percent: int):
+    """The rarest n-grams of each set, as many as two similar sets can't both miss."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for node, t in zip(batch["node"], batch["tokens"], strict=True):
+                t = np.frombuffer(t, np.uint64)
+                first = len(t) - (percent * len(t) + 99) // 100 + 1
+                rare = t[np.lexsort((t, counts[_cell(t)]))[:first]]
+                yield pd.DataFrame({"node": np.full(len(rare), node, np.int64), "rare": rare.view(np.int64)})
+    return run
+
+
+def _mixed(b: DataFrame) -> DataFrame:
+    """Members (key, node, label) of the buckets with two labels or more, with the bucket's
+    largest label and number of members."""
+    sums = b.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
+        F.max(F.struct("c", "label")).alias("m"), F.sum("c").alias("members"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    return b.join(sums.select("key", F.col("m.label").alias("main"), "members"), "key")
+
+
+def _apart(b: DataFrame) -> DataFrame:
+    """Pairs (u, v) of nodes of one bucket under different labels."""
+    few = b.where("label <> main").select("key", F.col("node").alias("u"), F.col("label").alias("lu"))
+    pairs = few.join(b, "key").where((F.col("label") != F.col("lu")) & ((F.col("label") == F.col("main")) | (F.col("label") < F.col("lu"))))
+    return pairs.select(F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v"))
+
+
+def _split_crowds(b: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Members of crowded buckets dealt by bucket and each of their rarest n-grams."""
+    own = sets.join(b.select("node").distinct(), "node", "left_semi")
+    counts = np.zeros(CELLS, np.int64)
+    for r in own.select("tokens").mapInPandas(_count_cells, "cell long, c long").groupBy("cell").agg(F.sum("c").alias("c")).collect():
+        counts[r["cell"]] = r["c"]  # CELLS rows at most
+    rare = own.mapInPandas(_rarest(counts, percent), "node long, rare long")
+    return b.join(rare, "node").select(F.xxhash64("key", "rare").alias("key"), "node", "label")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the least node reachable, for nodes with an edge. Alternating large and small stars."""
     e = cut_lineage(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
@@ -236,18 +293,19 @@ def ngram_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Dat
     chosen = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
     at = scratch_path(spark, "sets")
     chosen.mapInPandas(_tokens(n), "node long, tokens binary").write.parquet(at)
-    sets = spark.read.parquet(at).join(ids.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    unpacked = spark.read.parquet(at)
+    sets = unpacked.join(ids.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
     stars = buckets.where("node <> lead").select(F.col("lead").alias("u"), F.col("node").alias("v")).distinct()
     links = _verify(stars, sets, percent)
     labels = cut_lineage(components(links))
     b = buckets.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    sums = b.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
-        F.max(F.struct("c", "label")).alias("m"), F.count(F.lit(1)).alias("k")).where("k > 1").select("key", F.col("m.label").alias("main"))
-    b = cut_lineage(b.join(sums, "key"))
-    few = b.where("label <> main").select("key", F.col("node").alias("u"), F.col("label").alias("lu"))
-    apart = few.join(b, "key").where((F.col("label") != F.col("lu")) & ((F.col("label") == F.col("main")) | (F.col("label") < F.col("lu"))))
-    rest = apart.select(F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v")).distinct().join(
+    b = cut_lineage(_mixed(b))
+    crowded = b.where(F.col("members") > CROWD).select("key", "node", "label")
+    apart = _apart(b.where(F.col("members") <= CROWD))
+    if crowded.limit(1).count():
+        apart = apart.union(_apart(cut_lineage(_mixed(_split_crowds(crowded, unpacked, percent)))))
+    rest = apart.distinct().join(
         stars.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), ["u", "v"], "left_anti")
     more = _verify(rest, sets, percent)
     # equal label pairs are edges of the first links, the new ones join labels
