@@ -12,8 +12,8 @@ per band by cost: signatures to write against the candidates expected from
 empty and nearly empty segments among the band's sets (a count over the corpus).
 
 Candidates are verified exactly on whole sets. Equal sets are one node. In a
-bucket every node is first compared with the bucket's least node only, so a group
-of near copies costs its size, not its square; components then tell which nodes
+bucket the least node leads; every node is first compared with one leader only, that
+of most of its buckets, so a group of near copies costs its size, not its square; components then tell which nodes
 of a bucket are still apart, and only pairs of different components are compared
 (those outside the bucket's largest component against the others). No link between
 components is lost, and links inside a component don't change it. A crowded bucket
@@ -253,6 +253,11 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("label")).union(top).groupBy("node").agg(F.min("label").alias("label"))
 
 
+def _if_few(ids: DataFrame) -> DataFrame:
+    """Ids broadcast when there are at most BROADCAST_NODES of them; longer lists shuffle."""
+    return F.broadcast(ids) if ids.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES else ids
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     x = sets.select(F.col("node").alias("u"), F.col("tokens").alias("x"))
     y = sets.select(F.col("node").alias("v"), F.col("tokens").alias("y"))
@@ -287,16 +292,16 @@ def ngram_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Dat
 
     nodes = buckets.select("node").distinct()
     ids = cut_lineage(signed.join(nodes, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")))
-    wanted = ids.select(F.col("doc_id").alias("_id")).distinct()
-    if wanted.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES:
-        wanted = F.broadcast(wanted)  # counted above; longer lists shuffle
+    wanted = _if_few(ids.select(F.col("doc_id").alias("_id")).distinct())
     chosen = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
     at = scratch_path(spark, "sets")
     chosen.mapInPandas(_tokens(n), "node long, tokens binary").write.parquet(at)
     unpacked = spark.read.parquet(at)
     sets = unpacked.join(ids.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
-    stars = buckets.where("node <> lead").select(F.col("lead").alias("u"), F.col("node").alias("v")).distinct()
+    led = buckets.where("node <> lead").groupBy("node", "lead").agg(F.count(F.lit(1)).alias("c"))
+    stars = cut_lineage(led.groupBy("node").agg(F.max_by("lead", F.struct("c", "lead")).alias("lead")).select(
+        F.col("lead").alias("u"), F.col("node").alias("v")))
     links = _verify(stars, sets, percent)
     labels = cut_lineage(components(links))
     b = buckets.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
@@ -307,7 +312,10 @@ def ngram_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Dat
         apart = apart.union(_apart(cut_lineage(_mixed(_split_crowds(crowded, unpacked, percent)))))
     rest = apart.distinct().join(
         stars.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), ["u", "v"], "left_anti")
-    more = _verify(rest, sets, percent)
+    rest = cut_lineage(rest)
+    met = rest.select(F.col("u").alias("node")).union(rest.select(F.col("v").alias("node"))).distinct()
+    again = unpacked.join(_if_few(met), "node", "left_semi").dropDuplicates(["node"])
+    more = _verify(rest, again, percent)
     # equal label pairs are edges of the first links, the new ones join labels
     final = components(links.union(more)) if more.limit(1).count() else labels
     named = signed.join(final, "node", "left").select("doc_id", "n", "node", F.coalesce("label", "node").alias("label"))
