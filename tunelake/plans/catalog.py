@@ -414,12 +414,18 @@ def q_keywords_in_vocab(spark, d):
     return kw.keywords_in_vocab(_expanded(spark, d), ly.filter_vocabulary(td.vocabulary(spark, d)))
 
 
-@register("spell_correct", W("""
+# DuckDB's levenshtein counts bytes: the two-byte letters ß to ÿ become one byte that no word holds
+_TWO_BYTES = "".join(map(chr, range(0xDF, 0x100)))
+_ONE_BYTE = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456"
+_LEVENSHTEIN = f"levenshtein(translate(q.word, '{_TWO_BYTES}', '{_ONE_BYTE}'), translate(v.word, '{_TWO_BYTES}', '{_ONE_BYTE}'))"
+
+
+@register("spell_correct", W(f"""
 , q AS (SELECT DISTINCT word FROM (SELECT term AS word FROM lexicon
                                    UNION ALL SELECT concat(substr(term, 1, 1), substr(term, 3)) FROM lexicon) u),
   c AS (SELECT q.word, v.word AS cand,
-               row_number() OVER (PARTITION BY q.word ORDER BY levenshtein(q.word, v.word), v.word_id, v.word) AS rn
-        FROM q JOIN vocabulary v ON levenshtein(q.word, v.word) <= 2)
+               row_number() OVER (PARTITION BY q.word ORDER BY {_LEVENSHTEIN}, v.word_id, v.word) AS rn
+        FROM q JOIN vocabulary v ON {_LEVENSHTEIN} <= 2)
 SELECT q.word, COALESCE(c.cand, q.word) AS correction FROM q LEFT JOIN c ON c.word = q.word AND c.rn = 1""",
                              "lexicon"))
 def q_spell_correct(spark, d):
