@@ -16,15 +16,21 @@ bucket the least node leads; every node is first compared with one leader only,
 of most of its buckets, so a group of near copies costs its size, not its square; components then tell which nodes
 of a bucket are still apart, and only pairs of different components are compared
 (those outside the bucket's largest component against the others). No link between
-components is lost, and links inside a component don't change it. A crowded bucket
-(more than CROWD nodes) is split again first: texts that share a frequent passage
-share whole segments without being similar, but similar sets also share one of their
-rarest n-grams (the first |x| - ceil(T |x|) + 1 in any fixed order), so nodes of such
-a bucket are compared only where they share one. The order is by counts of n-grams
-in CELLS hashed cells over the crowded nodes; it changes the cost, never the links.
-
-Scale: buckets are counted with map-side combine before any join, the buckets
-that hold one node are gone after the first join, joins by bucket can be split
+components is lost, and links inside a component don't change it.
+
+A crowded bucket (more than CROWD nodes) first has ROUNDS in which its nodes are dealt
+into cells of about ROOM and compared there: a large group of near copies, few pairs of
+which are similar, grows together at a cost linear in its size. What is apart after that
+is compared by rarity: texts that share a frequent passage share whole segments without
+being similar, but similar sets also share one of their rarest n-grams (the first
+|x| - ceil(T |x|) + 1 in any fixed order), the first of these so early that enough n-grams
+for a link can still follow in both. Nodes of crowded buckets are compared only where they
+share such a one. The order is by counts of n-grams in CELLS hashed cells over the crowded
+nodes; it changes the cost, never the links.
+
+Scale: rows with the set of another row sign once; keys are counted, a number a key,
+with map-side combine before any join, those
+that one row has are gone after the first join, joins by bucket can be split
 when skewed, sets travel only for nodes in candidates. Tables between passes go
 to the shared scratch folder. Sets and nodes are identified by 64-bit hashes.
 
@@ -53,6 +59,8 @@ BAND = 1.4             # ratio of the sizes in a band
 CANDIDATE_COST = 20.0  # of one expected candidate, in signatures
 CACHE_WORDS = 300_000
 CROWD = 16             # nodes of a bucket that are compared directly
+ROOM = 8               # nodes of a crowded bucket that meet in a round
+ROUNDS = 3             # at most; the last is the one that links less than a tenth of its pairs
 CELLS = 1 << 14        # counters behind the order of rarity: bounds the driver's and the tasks' copy
 BROADCAST_NODES = 1_000_000  # ids of 16 bytes
 
@@ -204,7 +212,8 @@ def _rarest(counts: np.ndarray, percent: int):
                 t = np.frombuffer(t, np.uint64)
                 first = len(t) - (percent * len(t) + 99) // 100 + 1
                 rare = t[np.lexsort((t, counts[_cell(t)]))[:first]]
-                yield pd.DataFrame({"node": np.full(len(rare), node, np.int64), "rare": rare.view(np.int64)})
+                yield pd.DataFrame({"node": np.full(len(rare), node, np.int64), "rare": rare.view(np.int64),
+                                    "after": np.arange(len(t), len(t) - len(rare), -1), "n": np.full(len(rare), len(t))})
     return run
 
 
@@ -216,21 +225,31 @@ def _mixed(b: DataFrame) -> DataFrame:
     return b.join(sums.select("key", F.col("m.label").alias("main"), "members"), "key")
 
 
-def _apart(b: DataFrame) -> DataFrame:
-    """Pairs (u, v) of nodes of one bucket under different labels."""
-    few = b.where("label <> main").select("key", F.col("node").alias("u"), F.col("label").alias("lu"))
-    pairs = few.join(b, "key").where((F.col("label") != F.col("lu")) & ((F.col("label") == F.col("main")) | (F.col("label") < F.col("lu"))))
-    return pairs.select(F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v"))
+def _apart(b: DataFrame, percent: int | None = None) -> DataFrame:
+    """Pairs (u, v) of nodes of one bucket under different labels; with ``percent``, those whose
+    n-grams from the shared one on (``after``) can still be enough for a link of sets of sizes n."""
+    few = b.where("label <> main").select("key", *[F.col(c).alias(f"_{c}") for c in b.columns if c != "key"])
+    differ = (F.col("label") != F.col("_label")) & ((F.col("label") == F.col("main")) | (F.col("label") < F.col("_label")))
+    if percent is not None:
+        differ &= F.least("after", "_after") * (100 + percent) >= percent * (F.col("n") + F.col("_n"))
+    return few.join(b, "key").where(differ).select(F.least("_node", "node").alias("u"), F.greatest("_node", "node").alias("v"))
 
 
-def _split_crowds(b: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Members of crowded buckets dealt by bucket and each of their rarest n-grams."""
-    own = sets.join(b.select("node").distinct(), "node", "left_semi")
+def _dealt(b: DataFrame, salt: int) -> DataFrame:
+    """Members of crowded buckets dealt into cells of about ROOM nodes."""
+    cell = F.pmod(F.xxhash64("node", F.lit(salt)), F.ceil(F.col("members") / ROOM))
+    return b.select(F.xxhash64("key", cell).alias("key"), "node", "label")
+
+
+def _by_rarity(b: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Nodes of crowded buckets by each of their rarest n-grams."""
+    nodes = b.select("node", "label").distinct()
+    own = cut_lineage(sets.join(_if_few(nodes), "node").dropDuplicates(["node"]))
     counts = np.zeros(CELLS, np.int64)
     for r in own.select("tokens").mapInPandas(_count_cells, "cell long, c long").groupBy("cell").agg(F.sum("c").alias("c")).collect():
         counts[r["cell"]] = r["c"]  # CELLS rows at most
-    rare = own.mapInPandas(_rarest(counts, percent), "node long, rare long")
-    return b.join(rare, "node").select(F.xxhash64("key", "rare").alias("key"), "node", "label")
+    rare = own.select("node", "tokens").mapInPandas(_rarest(counts, percent), "node long, rare long, after long, n long")
+    return rare.join(nodes, "node").withColumnRenamed("rare", "key")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -258,6 +277,11 @@ def _if_few(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES else ids
 
 
+def _sets_of(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    nodes = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
+    return sets.join(_if_few(nodes), "node", "left_semi").dropDuplicates(["node"])
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     x = sets.select(F.col("node").alias("u"), F.col("tokens").alias("x"))
     y = sets.select(F.col("node").alias("v"), F.col("tokens").alias("y"))
@@ -284,11 +308,15 @@ def ngram_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Dat
     told.mapInPandas(_sign(n, schemes, percent), "id string, n int, node long, keys array<long>").select(
         F.col("id").cast("long").alias("doc_id"), "n", F.when(F.col("n") > 0, F.col("node")).alias("node"), "keys").write.parquet(at)
     signed = spark.read.parquet(at)
-    s = signed.where(F.size("keys") > 0).select(F.explode("keys").alias("key"), "node")
-    shared = s.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("_last")).where("lead < _last").drop("_last")
-    at = scratch_path(spark, "buckets")
-    s.join(shared, "key").distinct().write.parquet(at)
-    buckets = spark.read.parquet(at)
+    # rows whose set another row has: the one with the smallest doc_id signs for them
+    same = signed.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("_first"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    copies = signed.select("doc_id", "node").join(same, "node").where("doc_id <> _first").select("doc_id", "node").distinct()
+    s = signed.where(F.size("keys") > 0).join(_if_few(cut_lineage(copies)), ["doc_id", "node"], "left_anti").select(
+        F.explode("keys").alias("key"), "node")
+    often = s.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
+    met = cut_lineage(s.join(often, "key").distinct())
+    shared = met.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("_last")).where("lead < _last").drop("_last")
+    buckets = cut_lineage(met.join(shared, "key"))
 
     nodes = buckets.select("node").distinct()
     ids = cut_lineage(signed.join(nodes, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")))
@@ -304,20 +332,30 @@ def ngram_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Dat
         F.col("lead").alias("u"), F.col("node").alias("v")))
     links = _verify(stars, sets, percent)
     labels = cut_lineage(components(links))
-    b = buckets.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    b = cut_lineage(_mixed(b))
-    crowded = b.where(F.col("members") > CROWD).select("key", "node", "label")
+    of = lambda b, labels: b.select("key", "node").join(labels, "node", "left").select(
+        "key", "node", F.coalesce("label", "node").alias("label"))
+    b = cut_lineage(_mixed(of(buckets, labels)))
+    for salt in range(ROUNDS):
+        pairs = cut_lineage(_apart(_mixed(_dealt(b.where(F.col("members") > CROWD), salt))).distinct())
+        more = _verify(pairs, _sets_of(unpacked, pairs), percent)
+        linked = more.count()
+        if not linked:
+            break
+        links = links.union(more)
+        labels = cut_lineage(components(links))
+        b = cut_lineage(_mixed(of(b, labels)))
+        if 10 * linked < pairs.count():
+            break
     apart = _apart(b.where(F.col("members") <= CROWD))
-    if crowded.limit(1).count():
-        apart = apart.union(_apart(cut_lineage(_mixed(_split_crowds(crowded, unpacked, percent)))))
+    crowded = b.where(F.col("members") > CROWD)
+    if not crowded.isEmpty():
+        apart = apart.union(_apart(cut_lineage(_mixed(_by_rarity(crowded, unpacked, percent))), percent))
     rest = apart.distinct().join(
         stars.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), ["u", "v"], "left_anti")
     rest = cut_lineage(rest)
-    met = rest.select(F.col("u").alias("node")).union(rest.select(F.col("v").alias("node"))).distinct()
-    again = unpacked.join(_if_few(met), "node", "left_semi").dropDuplicates(["node"])
-    more = _verify(rest, again, percent)
+    more = _verify(rest, _sets_of(unpacked, rest), percent)
     # equal label pairs are edges of the first links, the new ones join labels
-    final = components(links.union(more)) if more.limit(1).count() else labels
+    final = labels if more.isEmpty() else components(links.union(more))
     named = signed.join(final, "node", "left").select("doc_id", "n", "node", F.coalesce("label", "node").alias("label"))
     named = cut_lineage(named)
     # every label's smallest doc_id; a label with one row needs no join, the planner splits hot ones
