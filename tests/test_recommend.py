@@ -99,9 +99,14 @@ def test_sample_n(spark):
     assert rc.sample_n(df, ["k"], 500).count() == 50
 
 
-def test_recommend_users_matches_brute_force_on_both_paths(spark):
-    """Light users go through ALS candidates, heavy ones through a full scan;
-    both must equal brute force over the factors with seen songs removed."""
+@pytest.mark.parametrize("blocks", [(500, 10_000), (7, 9)])
+def test_recommend_users_matches_brute_force(spark, monkeypatch, blocks):
+    """Light and heavy users equal brute force over the factors with seen songs
+    removed, in one block pair and in many."""
+    from tunelake.operators import vectors
+
+    monkeypatch.setattr(vectors, "Q_BLOCK", blocks[0])
+    monkeypatch.setattr(vectors, "C_BLOCK", blocks[1])
     import random
 
     import numpy as np

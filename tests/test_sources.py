@@ -97,6 +97,16 @@ def test_one_row_written(spark, tmp_path, lines):
     assert parquet.row_count(spark, p) == 1
 
 
+def test_row_count_of_absent_and_broken_tables(spark, tmp_path):
+    assert parquet.row_count(spark, str(tmp_path / "absent")) == 0
+    broken = tmp_path / "broken"
+    broken.mkdir()
+    (broken / "part-0.parquet").write_bytes(b"not a parquet file at all")
+    assert parquet.row_count(spark, str(broken)) == 0
+    with pytest.raises(Exception, match="(?i)scheme"):
+        parquet.row_count(spark, "nosuchstore://x/y")
+
+
 def test_materialise_skips_complete_table(spark, tmp_path):
     p = str(tmp_path / "m")
     built = []

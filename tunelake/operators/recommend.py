@@ -24,6 +24,7 @@ from tunelake.session import checkpoint_dir
 
 # The reference's model settings, seed and held-out share.
 ALS_RANK, ALS_MAX_ITER, ALS_REG, ALS_ALPHA = 200, 20, 0.05, 50.0
+BLOCK_ROWS = 1_000_000  # interactions of an ALS block
 SEED = 42
 TEST_FRACTION = 0.2
 CANDIDATE_CHUNK = 4096
@@ -108,9 +109,8 @@ def fit_als(coded: DataFrame, rank: int = ALS_RANK, max_iter: int = ALS_MAX_ITER
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, alpha=alpha, implicitPrefs=True, seed=seed,
               userCol="user_idx", itemCol="song_idx", ratingCol="play_count", coldStartStrategy="drop",
               checkpointInterval=5)
-    # user/item blocks: at least one per core so every iteration uses the cluster
-    blocks = num_blocks or max(10, coded.sparkSession.sparkContext.defaultParallelism)
-    als = als.setNumBlocks(blocks)
+    # blocks follow the data, not the cores: the same input gives the same factors on any cluster
+    als = als.setNumBlocks(num_blocks or max(10, -(-coded.count() // BLOCK_ROWS)))
     return als.fit(coded.withColumn("play_count", F.col("play_count").cast("float")))
 
 
@@ -142,60 +142,18 @@ def similar_songs(model, songs: DataFrame, song_id: str, n: int = 10, include_se
 
 
 def recommend_users(model, user_idx: DataFrame, coded_train: DataFrame, k: int = 10) -> DataFrame:
-    """(user_idx, song_idx, score, rank): top ``k`` unseen songs for many users.
-
-    Users are bucketed by the size of their history; a bucket asks ALS for
-    k + 2^b - 1 >= k + |seen| candidates, so removing seen songs always leaves
-    k, and a heavy user does not inflate the request of light users. Buckets
-    whose request would reach a quarter of the catalogue are scored against
-    every song instead, distributed over the song factors, with seen songs
-    removed by an anti join before a partial top-k: at most four times the
-    request, and no user's candidates are ever gathered into one row.
+    """(user_idx, song_idx, score, rank): top ``k`` unseen songs for many users, by dot product.
+
+    Users and songs meet in blocks (``vector_topk``); a user's seen songs are masked
+    before the partial top-k, whatever the length of the history. Users without
+    factors get no rows.
     """
-    seen_n = coded_train.groupBy("user_idx").agg(F.count(F.lit(1)).alias("_seen"))
-    users = user_idx.select("user_idx").distinct().join(seen_n, "user_idx", "left").fillna(0, ["_seen"])
-    users = users.withColumn("_b", F.ceil(F.log2(F.col("_seen") + 1)).cast("int"))
-    buckets = sorted(r["_b"] for r in users.select("_b").distinct().collect())  # at most ~40 values
-    n_items = model.itemFactors.count()
-    parts = []
-    for b in buckets:
-        subset = users.where(F.col("_b") == b).select(F.col("user_idx"))
-        request = k + (1 << b) - 1
-        if 4 * request >= n_items:
-            parts.append(_score_all_items(model, subset, coded_train, k))
-            continue
-        recs = model.recommendForUserSubset(subset, request)
-        parts.append(recs.select("user_idx", F.explode("recommendations").alias("r")).select(
-            "user_idx", F.col("r.song_idx").alias("song_idx"), F.col("r.rating").cast("double").alias("score")))
-    if not parts:
-        return user_idx.sparkSession.createDataFrame([], "user_idx int, song_idx int, score double, rank bigint")
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    cand = cand.join(coded_train.select("user_idx", "song_idx"), ["user_idx", "song_idx"], "left_anti")
-    w = Window.partitionBy("user_idx").orderBy(F.desc("score"), F.asc("song_idx"))
-    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).withColumn(
-        "rank", F.col("rank").cast("bigint"))
-
-
-def _score_all_items(model, users: DataFrame, coded_train: DataFrame, k: int, batch: int = 1000) -> DataFrame:
-    """(user_idx, song_idx, score): each user's top ``k`` unseen songs by dot
-    product over all song factors, ``batch`` users per scan."""
-    from tunelake.operators.vectors import vector_topk
-
-    ids = sorted(r["user_idx"] for r in users.collect())  # heavy users only: each has >= catalogue/4 - k plays
-    out = []
-    for i in range(0, len(ids), batch):
-        chunk = ids[i:i + batch]
-        q = model.userFactors.where(F.col("id").isin(chunk)).select(F.col("id").alias("user_idx"), "features")
-        seen = coded_train.where(F.col("user_idx").isin(chunk)).select("user_idx", F.col("song_idx").alias("id"))
-        top = vector_topk(q, "user_idx", "features", model.itemFactors, "id", "features", k, "dot",
-                          exclude_self=False, exclude=seen)
-        out.append(top.select("user_idx", F.col("id").alias("song_idx"), "score"))
-    res = out[0]
-    for o in out[1:]:
-        res = res.unionByName(o)
-    return res
+    users = user_idx.select("user_idx").distinct()
+    q = model.userFactors.withColumnRenamed("id", "user_idx").join(users, "user_idx", "left_semi")
+    seen = coded_train.select("user_idx", F.col("song_idx").alias("id"))
+    top = vector_topk(q, "user_idx", "features", model.itemFactors, "id", "features", k, "dot",
+                      exclude_self=False, exclude=seen)
+    return top.withColumnRenamed("id", "song_idx")
 
 
 # ------------------------------------------------------------------ popularity baseline

@@ -7,6 +7,10 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Error classes and messages of an absent or unfinished table.
+INCOMPLETE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "CANNOT_READ_FILE_FOOTER", "is not a Parquet file")
+
+
 def scan(spark: SparkSession, path: str, columns: Iterable[str] | None = None) -> DataFrame:
     """Full scan, or a pruned one: only ``columns`` reach the ReadSchema."""
     df = spark.read.parquet(path)
@@ -19,14 +23,18 @@ def write(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def row_count(spark: SparkSession, path: str) -> int:
-    """Rows in a stored table (0 when absent or unreadable).
+    """Rows in a stored table; 0 when the path is absent, holds no data files or a
+    file has no valid footer (a write that did not end). Any other error, such as
+    a refused or failing read, is raised.
 
     ``count()`` on Parquet reads no column data (empty ReadSchema).
     """
     try:
         return spark.read.parquet(path).count()
-    except Exception:  # noqa: BLE001 - absent or unreadable counts as empty
-        return 0
+    except Exception as e:  # noqa: BLE001 - sorted out by INCOMPLETE
+        if any(mark in str(e) for mark in INCOMPLETE):
+            return 0
+        raise
 
 
 def materialise(spark: SparkSession, path: str, build: Callable[[], DataFrame], min_rows: int = 1) -> DataFrame:
