@@ -49,6 +49,14 @@ def planted(n=300):
     return rows, labels
 
 
+def test_long_documents_of_one_class_are_trained_on():
+    """Over 60,000 lines, the longer documents all of one class."""
+    bad, good = "\n".join(["BUY NOW!!! $$$"] * 40), "\n".join(["a plain line of quiet words to read."] * 60)
+    m = C.train([bad] * 1_500 + [good] * 60, [0] * 1_500 + [1] * 60, epochs=3)
+    low, high = C.score([bad, good], m)
+    assert low < 0.3 and high > 0.7
+
+
 def test_planted_classes_edges_and_reruns(spark, docs):
     rows, labels = planted()
     extra = [(1000, ""), (1001, None), (1002, "\n" * 5000), (1003, "stupidity " * 30000), (1004, "an sturdy idiotic"), (None, "x"), (5, "again")]

@@ -4,12 +4,13 @@ Every line has two states, bad and good. Node scores are linear in features of
 the line and of its neighbours, edge scores a 2 x 2 table. Lines of a training
 document carry its label; the field is fitted by gradient steps on the
 conditional likelihood, gradients from forward-backward, in numpy, on a bounded
-sample (at most TRAIN_ROWS documents a class). Scoring runs forward-backward on
+sample (at most TRAIN_ROWS documents a class, each whole, however long). Scoring runs forward-backward on
 all lines of all documents in Arrow batches; a document's score is the mean of
 its lines' marginal of "good", weighted by line length.
 
 Scale: the model is a few hundred numbers; scoring is one pass without shuffle.
-Only the bounded sample reaches the driver.
+Only the bounded sample reaches the driver, where its lines take 128 bytes each
+besides the text.
 
 Defined cases: null and empty texts are one empty line and get a score; repeated
 rows and null doc_ids are scored each; texts of any length are scored whole;
@@ -30,7 +31,6 @@ from tunelake.llm import labelled
 from tunelake.llm import text as T
 
 TRAIN_ROWS = 1_500   # documents a class
-TRAIN_LINES = 60_000  # lines in a gradient step's pool; longer samples take fewer documents
 EPOCHS = 60
 THRESHOLD = 0.3
 UPPER = bytes(range(65, 91))
@@ -41,8 +41,8 @@ LETTER = bytes([*range(65, 91), *range(97, 123), *range(128, 256)])
 N_OWN = 16
 
 
-def line_features(lines: list[str]) -> np.ndarray:
-    """(lines, 3 * N_OWN + 1): a line's own features, those of the line before and after, and a bias."""
+def own_features(lines: list[str]) -> np.ndarray:
+    """(lines, N_OWN): features of each line by itself and of its repeats."""
     own = np.zeros((len(lines), N_OWN))
     seen: set[str] = set()
     for i, line in enumerate(lines):
@@ -60,8 +60,17 @@ def line_features(lines: list[str]) -> np.ndarray:
                   float(raw.rstrip()[-1:] in b".!?\"')"), min(1.0, 3 * raw.count(b"@") / w + raw.count(b"://") / w),
                   min(1.0, count(b",;:") / w), min(1.0, raw.count(b"|") / w))
         seen.add(line)
+    return own
+
+
+def with_neighbours(own: np.ndarray) -> np.ndarray:
+    """(lines, 3 * N_OWN + 1): a line's own features, those of the line before and after, and a bias."""
     pad = np.zeros((1, N_OWN))
-    return np.hstack([own, np.vstack([pad, own[:-1]]), np.vstack([own[1:], pad]), np.ones((len(lines), 1))])
+    return np.hstack([own, np.vstack([pad, own[:-1]]), np.vstack([own[1:], pad]), np.ones((len(own), 1))])
+
+
+def line_features(lines: list[str]) -> np.ndarray:
+    return with_neighbours(own_features(lines))
 
 
 def marginals(nodes: np.ndarray, edges: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -108,26 +117,19 @@ def _groups(lengths: list[int], cells: int = 20_000, most: int = 256) -> Iterato
         yield part
 
 
-def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, most_lines: int = TRAIN_LINES) -> dict:
-    """Node weights (features,) for good against bad and edge scores (2, 2)."""
-    split = [t.split("\n") for t in texts]
-    # shorter documents first into the pool, of both classes alike
-    order, total, pool = sorted(range(len(split)), key=lambda i: len(split[i])), 0, []
-    for i in order:
-        total += len(split[i])
-        if total > most_lines and pool:
-            break
-        pool.append(i)
-    feats = [line_features(split[i]) for i in pool]
-    y = np.array([labels[i] for i in pool])
+def train(texts: list[str], labels: list[int], epochs: int = EPOCHS) -> dict:
+    """Node weights (features,) for good against bad and edge scores (2, 2), from every document."""
+    own = [own_features(t.split("\n")) for t in texts]  # 128 bytes a line; neighbours are added a batch at a time
+    y = np.array(labels)
     weight = np.where(y == 1, 0.5 / max((y == 1).mean(), 1e-9), 0.5 / max((y == 0).mean(), 1e-9))
-    w, e = np.zeros(feats[0].shape[1]), np.zeros((2, 2))
+    w, e = np.zeros(3 * N_OWN + 1), np.zeros((2, 2))
     moments = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(e), np.zeros_like(e)]
-    batches = [(g, *_padded([feats[i] for i in g])) for g in _groups([len(f) for f in feats], 4_000, 64)]
+    batches = list(_groups([len(f) for f in own], 4_000, 64))
     rng, step = np.random.default_rng(11), 0
     for epoch in range(epochs):
         for k in rng.permutation(len(batches)):
-            g, x, length = batches[k]
+            g = batches[k]
+            x, length = _padded([with_neighbours(own[i]) for i in g])
             s = x @ w
             node, pair, _ = marginals(np.stack([-s / 2, s / 2], -1), e, length)
             inside = np.arange(x.shape[1])[None] < length[:, None]
