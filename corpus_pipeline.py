@@ -22,8 +22,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group linked by 3-word shingle sets (0.9)."""
-    return ngram_join.one_of_each(docs)
+    """The document with the smallest doc_id of each group linked by 5-word shingle sets (0.8)."""
+    return ngram_join.one_of_each(docs, n=5, percent=80)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,4 +1,6 @@
+import itertools
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,6 +44,46 @@ def test_stages_in_order(spark, tmp_path):
     assert s.agg(F.sum("length")).first()[0] == want
 
 
+def test_near_copies_of_five_words_at_eight_tenths_go(spark):
+    """Copies that 3-word shingles at 0.9 keep apart: scattered edits, words appended, and one just below 0.8."""
+    w = [f"a{i}" for i in range(400)]
+    edited = [f"e{i}" if i % 50 == 25 else x for i, x in enumerate(w)]
+    far = [f"f{i}" if i % 40 == 20 else x for i, x in enumerate(w)]
+    rows = [(1, w), (2, edited), (3, w + [f"n{i}" for i in range(60)]), (4, far), (5, far + ["x"]), (6, w[:4])]
+    rows = [(i, " ".join(t), "en", "s", len(" ".join(t))) for i, t in rows]
+    sets = {i: {tuple(t.split()[k:k + 5]) for k in range(len(t.split()) - 4)} for i, t, *_ in rows[:5]}
+    near = lambda a, b: 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])
+    assert near(1, 2) and near(1, 3) and near(4, 5) and not any(near(a, b) for a in (1, 2, 3) for b in (4, 5))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r["doc_id"] for r in P.near_duplicates(spark, docs, SF).collect()) == [1, 4, 6]
+
+
+def test_near_duplicate_stage_matches_brute_force(spark):
+    """The quality-filtered table at 5 words and 0.8, and the stages after it."""
+    docs = P.quality(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF).persist()
+    texts = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
+    sets = {}
+    for d, t in texts.items():
+        w = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c.isascii() else c for c in t or ""))
+        sets[d] = {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    group = {d: d for d in sets}
+    for a, b in itertools.combinations(sorted(sets), 2):
+        x, y = sets[a], sets[b]
+        if x and y and 100 * len(x & y) >= 80 * len(x | y) and group[a] != group[b]:
+            lo, hi = sorted((group[a], group[b]))
+            group = {d: lo if g == hi else g for d, g in group.items()}
+    one = P.near_duplicates(spark, docs, SF).persist()
+    assert one.columns == docs.columns
+    assert sorted(r["doc_id"] for r in one.select("doc_id").collect()) == sorted(set(group.values()))
+    p = P.personal_data(spark, one, SF).persist()
+    assert p.count() == one.count() and p.where(F.col("text").rlike(r"[A-Za-z0-9]@[A-Za-z0-9-]+\.[A-Za-z]")).count() == 0
+    m = P.mix(spark, p, SF).persist()
+    assert m.groupBy("doc_id").count().agg(F.max("count")).first()[0] <= 2 and m.join(p, p.columns, "left_anti").count() == 0
+    tok = packing.Encoder(packing.tokenizer_path())
+    want = sum(len(tok(r["text"] or "")) // 4 + 1 for r in m.select("text").collect())
+    assert P.pack(spark, m, SF).agg(F.sum("length")).first()[0] == want
+
+
 def test_registered():
     assert E.queries()["pipeline"] is P.run and len(P.STAGES) == 5 and P.ORACLE_SQL is None
 
