@@ -129,3 +129,15 @@ def test_recommend_users_matches_brute_force(spark, monkeypatch, blocks):
         seen = {s for uu, s in rows if uu == u}
         scores = sorted(((float(uf[u] @ itf[i]), i) for i in itf if i not in seen), key=lambda t: (-t[0], t[1]))
         assert got[u] == {i for _, i in scores[:3]}, u
+
+
+def test_registered_als_queries_fit_the_reference_model(spark, monkeypatch):
+    """Rank, iterations, regularisation and alpha are the operator's defaults."""
+    from tunelake.plans import catalog
+
+    seen = {}
+    monkeypatch.setattr(catalog, "_tt", lambda s, d: s.createDataFrame(
+        [("u", "s", 1, 0), ("v", "s", 2, 0)], "user_id string, song_id string, play_count long, is_test int"))
+    monkeypatch.setattr(rc, "fit_als", lambda coded, *a, **k: seen.update(a=a, k=k))
+    catalog._fit_als(spark, "unused")
+    assert seen == {"a": (), "k": {}} and (rc.ALS_RANK, rc.ALS_MAX_ITER) == (200, 20)

@@ -485,11 +485,6 @@ def q_word2vec_expand(spark, d):
 
 # ---------------------------------------------------------------- recommendations
 
-# Model size used by the registered queries (the API defaults are the reference's
-# rank 200 / 20 iterations); ALS results are checked by row count and properties.
-QUERY_ALS = {"rank": 16, "max_iter": 5}
-
-
 def _inter(spark, d):
     from tunelake.operators import recommend as rc
     return rc.interactions(td.triplets(spark, d))
@@ -613,7 +608,7 @@ def _fit_als(spark, d):
     users, songs = rc.dictionaries(tt_)
     coded = rc.encode(tt_.where(F.col("is_test") == 0), users, songs)
     coded = coded.persist()
-    model = rc.fit_als(coded, **QUERY_ALS)
+    model = rc.fit_als(coded)  # the reference's rank and iterations; checked by row count and properties
     return model, users, songs, coded, tt_
 
 
