@@ -100,6 +100,19 @@ def test_near_copy_group_and_one_of_each(spark, docs):
     assert sorted(str(r["doc_id"]) for r in out.collect()) == ["0", "2000", "900", "None"]
 
 
+def test_one_of_each_decides_by_row(spark, docs):
+    """Null ids are copies too, and a repeated id keeps only its row that is no copy."""
+    base = [f"w{i}" for i in range(100)]
+    near, other = " ".join(base[:-1] + ["x"]), " ".join(f"o{i}" for i in range(30))
+    rows = [(1, " ".join(base)), (None, " ".join(base)), (None, near), (7, other), (7, near), (9, other)]
+    rows += [(None, "twice without id"), (None, "Twice  without id"), (None, None), (None, ""), (3, "")]
+    got = [(r["doc_id"], r["text"]) for r in J.one_of_each(docs(rows)).collect()]
+    twice = [t for d, t in got if t and t.lower().startswith("twice")]
+    assert len(twice) == 1
+    rest = sorted(((d, t) for d, t in got if t not in twice), key=str)
+    assert rest == sorted([(1, " ".join(base)), (7, other), (None, None), (None, ""), (3, "")], key=str)
+
+
 def test_empty_table(spark, docs):
     assert J.ngram_components(docs([])).count() == 0
     assert J.one_of_each(docs([])).count() == 0

@@ -47,7 +47,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunelake.llm import text as T
@@ -153,7 +153,7 @@ def _sign(n: int, schemes: list[tuple[int, int, int, int, int]], percent: int):
         for batch in batches:
             for a in range(0, len(batch), 500):
                 part, rows = batch.iloc[a:a + 500], []
-                for doc, text in zip(part["id"], part["text"], strict=True):
+                for doc, text, tag in zip(part["id"], part["text"], part["tag"], strict=True):
                     t = sets(text)
                     b = int(np.searchsorted(lows, len(t), side="right")) - 1
                     keys = []
@@ -162,8 +162,8 @@ def _sign(n: int, schemes: list[tuple[int, int, int, int, int]], percent: int):
                         if b and percent * len(t) <= 100 * schemes[b - 1][1]:
                             keys.append(signatures(t, b - 1, *schemes[b - 1][3:]))
                     keys = np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
-                    rows.append((doc, len(t), _node(t) if len(t) else 0, keys))
-                yield pd.DataFrame(rows, columns=["id", "n", "node", "keys"])
+                    rows.append((doc, tag, len(t), _node(t) if len(t) else 0, keys))
+                yield pd.DataFrame(rows, columns=["id", "tag", "n", "node", "keys"])
     return run
 
 
@@ -288,8 +288,8 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return cut_lineage(pairs.join(x, "u").join(y, "v").select("u", "v", "x", "y").mapInPandas(_linked(percent), "u long, v long"))
 
 
-def ngram_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row."""
+def _labelled(docs: DataFrame, n: int, percent: int, tag: Column) -> DataFrame:
+    """doc_id, ``tag`` (a long from doc_id and text), n (distinct n-grams), node and label, the component's, of every row."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # words bound n-grams: the bands that exist and about how many sets each has
@@ -304,9 +304,9 @@ def ngram_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Dat
 
     at = scratch_path(spark, "signed")
     # ids travel as text: pandas would make floats of a nullable column
-    told = rows.select(F.col("doc_id").cast("string").alias("id"), "text")
-    told.mapInPandas(_sign(n, schemes, percent), "id string, n int, node long, keys array<long>").select(
-        F.col("id").cast("long").alias("doc_id"), "n", F.when(F.col("n") > 0, F.col("node")).alias("node"), "keys").write.parquet(at)
+    told = rows.select(F.col("doc_id").cast("string").alias("id"), "text", tag.alias("tag"))
+    told.mapInPandas(_sign(n, schemes, percent), "id string, tag long, n int, node long, keys array<long>").select(
+        F.col("id").cast("long").alias("doc_id"), "tag", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"), "keys").write.parquet(at)
     signed = spark.read.parquet(at)
     # rows whose set another row has: the one with the smallest doc_id signs for them
     same = signed.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("_first"), F.count(F.lit(1)).alias("c")).where("c > 1")
@@ -356,8 +356,13 @@ def ngram_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Dat
     more = _verify(rest, _sets_of(unpacked, rest), percent)
     # equal label pairs are edges of the first links, the new ones join labels
     final = labels if more.isEmpty() else components(links.union(more))
-    named = signed.join(final, "node", "left").select("doc_id", "n", "node", F.coalesce("label", "node").alias("label"))
-    named = cut_lineage(named)
+    named = signed.join(final, "node", "left").select("doc_id", "tag", "n", "node", F.coalesce("label", "node").alias("label"))
+    return cut_lineage(named)
+
+
+def ngram_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row."""
+    named = _labelled(docs, n, percent, F.lit(0).cast("long"))
     # every label's smallest doc_id; a label with one row needs no join, the planner splits hot ones
     least = named.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     out = named.join(least, "label", "left")
@@ -366,11 +371,16 @@ def ngram_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Dat
 
 
 def one_of_each(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """Input rows whose doc_id names their component (and rows without doc_id), equal rows once."""
-    c = ngram_components(docs, n, percent)
-    keep = cut_lineage(c.where("doc_id = component_id").select(F.col("doc_id").alias("_k")).distinct())
-    named = T.as_row(docs).join(keep, F.col("_row.doc_id") == F.col("_k"), "left")
-    kept = named.where(F.col("_k").isNotNull() | F.col("_row.doc_id").isNull()).select("_row.*")
+    """One input row of each component: the one with the smallest doc_id (rows without doc_id come
+    last), of its texts that with the least hash. Rows without words are no copies; equal rows once."""
+    mark = F.xxhash64(F.col("text").cast("string"))
+    c = _labelled(docs, n, percent, mark)
+    first = c.where("n > 0").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")).alias("f"))
+    keep = first.select("f.doc_id", "f.tag").union(c.where("n = 0").select("doc_id", "tag").distinct())
+    keep = cut_lineage(keep.select(F.col("doc_id").alias("_k"), F.col("tag").alias("_t")))
+    named = T.as_row(docs)
+    mine = F.xxhash64(F.col("_row.text").cast("string")) == F.col("_t")
+    kept = named.join(keep, F.col("_row.doc_id").cast("long").eqNullSafe(F.col("_k")) & mine, "left_semi").select("_row.*")
     return kept.dropDuplicates(["doc_id", "text"])
 
 
