@@ -59,6 +59,17 @@ def test_contexts_discover_unseen_identifiers(spark, docs):
     assert [s[0] for s in got[102]] == [3]
 
 
+def test_accepted_identifiers_are_spans_wherever_they_stand(spark, docs):
+    """At the text's start, right after another slot and under a context that is no trusted pattern."""
+    rows = [(i, f"alpha beta call me at +1 (319) 555-{1000 + i} thanks") for i in range(20)]
+    rows += [(50 + i, f"gamma you dial +1 (319) 555-{2000 + i} then") for i in range(20)] + [(105, "so you dial 555-0199-22")]
+    rows += [(100, "please call me at 555-0199-22. bye"), (101, "555-0199-22 stands first"), (102, "old 12345 555-0199-22"),
+             (103, "please write 555-0199-22 down"), (104, "please call me at 555-0199-22")]
+    got = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in P.find_pii(docs(rows)).collect()}
+    assert got[100] == [(3, 18, 29)] and got[101] == [(3, 0, 11)] and got[102] == [(3, 10, 21)] and got[103] == [(3, 13, 24)]
+    assert "555-0199-22" not in " ".join(r["text"] for r in P.redact(docs(rows)).collect())
+
+
 def test_op_columns(spark, docs, tmp_path):
     ts = texts()[:40]
     docs(list(enumerate(ts))).write.parquet(str(tmp_path / "documents.parquet"))

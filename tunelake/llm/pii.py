@@ -6,8 +6,8 @@ identifiers in their slots form a bipartite graph. Rounds of two joins score it:
 a pattern by the share of known instances among all it extracts, an instance by
 the mean score of its patterns. Patterns above MIN_PRECISION with MIN_SUPPORT
 known instances are trusted; instances they score at MIN_SCORE or more join the
-known ones of the next round, and in the end are spans of their kind, next to the
-base spans, which always stay.
+known ones of the next round, and in the end are spans of their kind wherever they
+stand, next to the base spans, which always stay.
 
 Everything is DataFrame expressions. Positions are code points: ``split`` by the
 same pattern gives the gaps between matches, and a two-level running sum the
@@ -118,7 +118,7 @@ def base_spans(df: DataFrame) -> DataFrame:
 
 
 def _slots(df: DataFrame) -> DataFrame:
-    """``df`` plus ``_slots``: tokens with a digit or an at sign, and the words before them."""
+    """``df`` plus ``_slots``: tokens with a digit or an at sign, and the words before them ("|" without any)."""
     keep = df.columns
     df = _located(df, SLOT, "", "_tokens")
 
@@ -132,7 +132,7 @@ def _slots(df: DataFrame) -> DataFrame:
         a = t["start"] + F.length(lead)
         return F.struct(t["start"].alias("at"), a.alias("start"), (a + F.length(core)).alias("end"),
                         F.lower(core).alias("inst"), context.alias("ctx"))
-    slots = F.filter(F.transform("_tokens", slot), lambda s: (s["ctx"] != "|") & (s["end"] > s["start"]))
+    slots = F.filter(F.transform("_tokens", slot), lambda s: s["end"] > s["start"])
     return df.select(*keep, slots.alias("_slots"))
 
 
@@ -170,7 +170,8 @@ def _free_slots(found: DataFrame) -> DataFrame:
 
 def score_graph(slots: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Trusted patterns (ctx, kind, conf) and discovered instances (inst, kind, score) after ROUNDS."""
-    edges = cut_lineage(slots.groupBy("ctx", "inst").agg(F.max("kind").alias("seed")))
+    # a slot without words before it says nothing about its instance, but may hold an accepted one
+    edges = cut_lineage(slots.where(F.col("ctx") != "|").groupBy("ctx", "inst").agg(F.max("kind").alias("seed")))
     size = edges.groupBy("ctx").agg(F.count(F.lit(1)).alias("n"))
     links = edges.groupBy("inst").agg(F.count(F.lit(1)).alias("n_ctx"))
     seeds = edges.where(F.col("seed").isNotNull()).groupBy("inst").agg(F.max("seed").alias("kind")).withColumn("score", F.lit(1.0))
@@ -201,9 +202,9 @@ def find_pii(docs: DataFrame, keep_row: bool = False) -> DataFrame:
     df.write.parquet(at)  # fixes rid
     found = spark.read.parquet(at)
     slots = cut_lineage(_free_slots(found))
-    patterns, new = score_graph(slots)
-    hits = slots.where(F.col("kind").isNull()).drop("kind").join(new.drop("score"), "inst").join(
-        patterns.drop("conf"), ["ctx", "kind"])
+    _, new = score_graph(slots)
+    # every free slot of an accepted instance, whatever its context
+    hits = slots.where(F.col("kind").isNull()).drop("kind").join(new.drop("score"), "inst")
     mine = hits.groupBy("rid").agg(F.collect_set(F.struct(F.col("kind").alias("k"), "start", "end")).alias("_new"))
     bare = F.transform("_base", lambda s: F.struct(s["k"].alias("k"), s["start"].alias("start"), s["end"].alias("end")))
     spans = F.sort_array(F.concat(bare, F.coalesce("_new", F.array().cast("array<struct<k:int,start:bigint,end:bigint>>"))))
