@@ -51,47 +51,51 @@ class Grammar:
     def __init__(self, x: np.ndarray, starts: np.ndarray):
         n = len(x)
         self.terminals = int(x.max()) + 1 if n else 0
-        self.left, self.right, self.size, self.first = [], [], [np.ones(self.terminals, np.int64)], []
+        self.left, self.right, self.first = [], [], []
+        size = np.ones(self.terminals + n, np.int64)
         sym, pos = x.astype(np.int64), np.arange(n)
         last = np.zeros(n, bool)
         last[starts[1:] - 1] = True
         last[n - 1:] = True
+        # pairs that may recur: one that doesn't can't later, unless a symbol of it is new
+        open_ = ~last
         total = self.terminals
-        while len(sym) > 1:
-            key = sym[:-1] * total + sym[1:]
-            ok = ~last[:-1]
-            names, which, count = np.unique(key[ok], return_inverse=True, return_counts=True)
-            if not len(names) or count.max() < 2:
+        while True:
+            at = np.flatnonzero(open_)
+            names, which, count = np.unique(sym[at] * total + sym[np.minimum(at + 1, len(sym) - 1)], return_inverse=True, return_counts=True)
+            many = count > 1
+            if not many.any():
                 break
-            # rank of a pair: its count, then an arbitrary fixed order; 0 where none may be replaced
+            # rank of a pair: its count, then an arbitrary fixed order
             order = np.lexsort(((names.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32), count))
             rank = np.empty(len(names), np.int64)
             rank[order] = np.arange(1, len(names) + 1)
-            rank[count < 2] = 0
-            r = np.zeros(len(key) + 2, np.int64)
-            r[1:-1][ok] = rank[which]
+            open_[at[~many[which]]] = False
+            at, rank = at[many[which]], rank[which[many[which]]]
             # blocks of equal neighbours (a pair overlapping itself) are taken or left as one
-            begins = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
-            block = r[begins]
-            peak = np.r_[False, (block[1:-1] > block[:-2]) & (block[1:-1] > block[2:]), False]
-            lengths = np.diff(np.r_[begins, len(r)])
-            at = np.repeat(begins[peak], (lengths[peak] + 1) // 2)
-            within = np.arange(len(at)) - np.repeat(np.cumsum((lengths[peak] + 1) // 2) - (lengths[peak] + 1) // 2,
-                                                    (lengths[peak] + 1) // 2)
-            at = at + 2 * within - 1
-            made, seen, new = np.unique(key[at], return_index=True, return_inverse=True)
-            self.left.append(made // total)
-            self.right.append(made % total)
-            size = np.concatenate(self.size)
-            self.size.append(size[made // total] + size[made % total])
+            near = np.r_[False, at[1:] == at[:-1] + 1]
+            begins = np.flatnonzero(~near | np.r_[True, rank[1:] != rank[:-1]])
+            block, joined = rank[begins], near[begins]
+            peak = ~(joined & (np.r_[0, block[:-1]] > block)) & ~(np.r_[joined[1:], False] & (np.r_[block[1:], 0] > block))
+            take = (np.diff(np.r_[begins, len(at)])[peak] + 1) // 2
+            within = np.arange(take.sum()) - np.repeat(np.cumsum(take) - take, take)
+            at = np.repeat(at[begins[peak]], take) + 2 * within
+            made, seen, new = np.unique(sym[at] * total + sym[at + 1], return_index=True, return_inverse=True)
+            left, right = made // total, made % total
+            self.left.append(left)
+            self.right.append(right)
+            size[total:total + len(made)] = size[left] + size[right]
             self.first.append(pos[at[seen]])
-            gone = np.zeros(len(sym), bool)
-            gone[at + 1] = True
+            stay = np.ones(len(sym), bool)
+            stay[at + 1] = False
             sym[at] = total + new
             last[at] = last[at + 1]
-            sym, pos, last = sym[~gone], pos[~gone], last[~gone]
+            open_[at] = True
+            open_[np.maximum(at - 1, 0)] = True
+            sym, pos, last, open_ = sym[stay], pos[stay], last[stay], open_[stay]
+            open_ &= ~last
             total += len(made)
-        self.size = np.concatenate(self.size)
+        self.size = size[:total]
         cat = lambda a: np.concatenate(a) if a else np.empty(0, np.int64)
         self.left, self.right, self.first = cat(self.left), cat(self.right), cat(self.first)
         self.top, self.top_at, self.top_last = sym, pos, last

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tunelake.llm import (line_crf, mixing, ngram_join, order_minhash, packing, pii, quality_rules, toxicity,
-                          url_filter, warc)
+from tunelake.llm import (line_crf, mixing, ngram_join, order_minhash, packing, periodic_runs, pii, quality_rules,
+                          toxicity, url_filter, warc)
 
 QUERIES = {
     "op1_ngram_jaccard": ngram_join.op1_ngram_jaccard,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_order_minhash": order_minhash.op10_order_minhash,
+    "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 ORACLE = {
     "op1_ngram_jaccard": ngram_join.ORACLE,
