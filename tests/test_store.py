@@ -1,0 +1,159 @@
+"""Versioned tables, incremental loads, the served table's pushed play counts."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tunelake.operators import merge as mg
+from tunelake.operators import toptracks as tt
+from tunelake.operators.ids import extend_ids
+from tunelake.plans import increments
+from tunelake.plans.build import build_sources
+from tunelake.plans.served import ServedTable, store_served
+from tunelake.sources.store import TableStore, fingerprint, table_path
+
+
+def plays(spark, seed, n):
+    rng = random.Random(seed)
+    return spark.createDataFrame([(f"u{rng.randrange(9)}", f"S{rng.randrange(12)}", rng.randrange(1, 5)) for _ in range(n)],
+                                 "user_id string, song_id string, play_count bigint")
+
+
+@pytest.fixture
+def catalogue(spark):
+    tracks = spark.createDataFrame([(f"T{i}", f"S{i % 14}", f"A{i}", f"t{i}") for i in range(20)],
+                                   "track_id string, song_id string, artist_name string, title string")
+    genres = spark.createDataFrame([(f"T{i}", "Rock" if i % 3 else "Jazz", "") for i in range(0, 20, 2)],
+                                   "track_id string, majority_genre string, minority_genre string")
+    return tracks, genres
+
+
+def test_second_load_equals_a_full_rebuild(spark, tmp_path, catalogue):
+    tracks, genres = catalogue
+    store = TableStore(spark, str(tmp_path / "s"))
+    with pytest.raises(ValueError):
+        increments.total_plays(store)
+    a, b = plays(spark, 1, 80), plays(spark, 2, 50)
+    assert increments.add_listening(store, "monday", a)
+    first = increments.rebuild_merged(store, tracks, genres).table()
+    kept = sorted(map(tuple, first.collect()))
+    assert kept == sorted(map(tuple, mg.build_merged(a, tracks, genres).select(first.columns).collect()))
+    assert increments.add_listening(store, "tuesday", b) and not increments.add_listening(store, "tuesday", b)
+    second = increments.rebuild_merged(store, tracks, genres).table()
+    whole = mg.build_merged(a.union(b), tracks, genres).select(second.columns)
+    assert sorted(map(tuple, second.collect())) == sorted(map(tuple, whole.collect()))
+    assert sorted(map(tuple, first.collect())) == kept  # readers of the version before are not disturbed
+    assert store.latest("merged")["version"] == 2
+
+
+def test_failed_build_keeps_the_old_table(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "s"))
+    store.publish("t", spark.range(5), "v1")
+    broken = spark.range(9).select(F.when(F.col("id") == 7, F.raise_error(F.lit("stop"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        store.ensure("t", "v2", lambda: broken)
+    with pytest.raises(ValueError, match="fewer"):
+        store.ensure("t", "v2", lambda: spark.range(2), min_rows=5)
+    assert store.read("t").count() == 5 and store.is_current("t", "v1") and not store.is_current("t", "v2")
+    with pytest.raises(ValueError):
+        store.path("absent")
+    assert table_path(spark, str(tmp_path), "plain") == f"{tmp_path}/plain"
+
+
+def raw_files(folder, extra=b""):
+    folder.mkdir(exist_ok=True)
+    (folder / "msd.cls").write_bytes(b"T1\tRock\tPop\n")
+    (folder / "triplets.txt").write_bytes(b"u1\tS1\t2\nu2\tS1\t3\n" + extra)
+    (folder / "unique.txt").write_bytes(b"T1<SEP>S1<SEP>A<SEP>One\n")
+    (folder / "mxm.txt").write_bytes(b"%love,war\nT1,1,1:3\n")
+    return [str(p) for p in sorted(folder.iterdir())]
+
+
+def test_sources_that_are_whole_are_skipped(spark, tmp_path, monkeypatch):
+    raw, out = raw_files(tmp_path / "raw"), str(tmp_path / "tables")
+    first = build_sources(spark, raw, out)
+    made = []
+    whole = TableStore.publish
+    monkeypatch.setattr(TableStore, "publish", lambda self, name, *a, **k: made.append(name) or whole(self, name, *a, **k))
+    assert build_sources(spark, raw, out) == first and made == []
+    again = build_sources(spark, raw_files(tmp_path / "raw", b"u3\tS2\t1\n"), out)
+    assert "triplets" in made and spark.read.parquet(again["triplets"]).count() == 3
+    assert spark.read.parquet(first["triplets"]).count() == 2 and table_path(spark, out, "triplets") == again["triplets"]
+    with pytest.raises(ValueError):
+        build_sources(spark, raw_files(tmp_path / "raw", b"u3\tS2\t1\nu4\tS2\t1\n"), out, {"triplets": 100})
+    assert table_path(spark, out, "triplets") == again["triplets"]
+
+
+def test_fingerprint_follows_files(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x").write_text("1")
+    before = fingerprint(spark, [str(tmp_path / "a")])
+    assert before == fingerprint(spark, [str(tmp_path / "a")])
+    (tmp_path / "a" / "y").write_text("22")
+    assert fingerprint(spark, [str(tmp_path / "a")]) != before
+    with pytest.raises(ValueError):
+        fingerprint(spark, [str(tmp_path / "none")])
+
+
+def test_ids_stay_and_new_keys_follow(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "s"))
+    frame = lambda keys: spark.createDataFrame([(k,) for k in keys], "k string").repartition(3)
+    first = {r.k: r.i for r in increments.update_dictionary(store, "d", frame(["m", "c", "x", "c", None]), "k", "i").collect()}
+    assert first == {"c": 0, "m": 1, "x": 2}
+    second = {r.k: r.i for r in increments.update_dictionary(store, "d", frame(["a", "x", "z", "b"] * 2), "k", "i").collect()}
+    assert {k: second[k] for k in first} == first and sorted(second.values()) == list(range(6))
+    assert [second[k] for k in ("a", "b", "z")] == [3, 4, 5]
+    assert extend_ids(store.read("d"), frame([]), "k", "i").count() == 6
+    empty = spark.createDataFrame([], "k string, i bigint")
+    assert {r.k: r.i for r in extend_ids(empty, frame(["q"]), "k", "i").collect()} == {"q": 0}
+
+
+@pytest.fixture
+def served(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(f"T{i:04d}", f"S{i}", f"t{i}", "A", rng.choice(["Rock", "Jazz", "Folk", ""]), "", rng.randrange(300)) for i in range(4000)]
+    merged = spark.createDataFrame(rows, "track_id string, song_id string, title string, artist_name string, majority_genre string, "
+                                         "minority_genre string, play_count bigint").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several files
+    store_served(merged, str(tmp_path / "m"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    return merged, ServedTable(spark, str(tmp_path / "m"))
+
+
+def scanned(df):
+    """Rows that came out of the scan of a finished query."""
+    df.collect()
+    out, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        p = todo.pop()
+        if p.nodeName() == "AdaptiveSparkPlan":
+            todo.append(p.executedPlan())
+            continue
+        if p.nodeName().startswith("Scan parquet"):
+            out += p.metrics().apply("numOutputRows").value()
+        kids = p.children() if not p.nodeName().endswith("QueryStage") else None
+        todo += [p.plan()] if kids is None else [kids.apply(i) for i in range(kids.size())]
+    return out
+
+
+def test_top_n_skips_row_groups(served):
+    merged, table = served
+    assert table.top_tracks(25, index=True).collect() == tt.top_tracks(merged, 25, index=True).collect()
+    got = table.top_tracks_by_genre(10, "rok", drop_genre=False)
+    assert got.collect() == tt.top_tracks_by_genre(merged, 10, "Rock", drop_genre=False).collect()
+    assert "GreaterThanOrEqual(play_count" in table.top_tracks(25)._jdf.queryExecution().executedPlan().toString()
+    assert scanned(table.top_tracks(25)) < 4000 / 2
+    assert table.reached(5000) is None and table.top_tracks(5000).count() == 4000
+    assert table.top_tracks_by_genre(3000, "Folk").count() == merged.where("majority_genre = 'Folk'").count()
+    with pytest.raises(ValueError):
+        table.top_tracks_by_genre(5, "nothing like it")
+    with pytest.raises(ValueError):
+        table.top_tracks(0)
+
+
+def test_stored_order(served):
+    merged, table = served
+    at = {r.track_id: r.position for r in table.positions().collect()}
+    want = sorted(merged.collect(), key=lambda r: (-r.play_count, r.track_id))
+    assert [at[r.track_id] for r in want] == list(range(4000))

@@ -150,29 +150,3 @@ def test_classifier_learns_planted_themes(spark):
     assert held.count() > 10 and acc.first().accuracy >= 0.9
     pred = {r.track_id: r.theme_label for r in clf.predict(lyr).collect()}
     assert sum(pred[t] == lab_ for t, lab_ in labels) >= 0.9 * len(labels)
-
-
-def test_every_feature_word_has_its_own_position(spark):
-    """5,000 words, more than the 4,096 positions they once shared: one column a word, weights unmixed."""
-    from tunelake.operators import classify as cf
-    from tunelake.operators.ids import dense_ids
-
-    words = [f"w{i:04d}" for i in range(5_000)]
-    weights = spark.createDataFrame([("T1", w, 1.0 + i) for i, w in enumerate(words)] + [("T2", words[7], 0.5)],
-                                    "track_id string, word string, tfidf double")
-    tracks = spark.createDataFrame([("T1",), ("T2",), ("T3",)], "track_id string")
-    numbered = dense_ids(weights, "word", "i")
-    got = {r.track_id: r.features for r in cf.feature_vectors(weights, tracks, numbered, numbered.count()).collect()}
-    assert got["T1"].size == 5_000 and got["T1"].toArray().tolist() == [1.0 + i for i in range(5_000)]
-    assert got["T2"].indices.tolist() == [7] and got["T2"].values.tolist() == [0.5]
-    assert got["T3"].size == 5_000 and got["T3"].numNonzeros() == 0
-
-
-def test_classifier_network_has_an_input_a_word(spark):
-    from tunelake.operators.classify import ThemeClassifier
-
-    vocab = spark.createDataFrame([(i + 1, w) for i, w in enumerate("a b c d e".split())], "word_id bigint, word string")
-    lyr = spark.createDataFrame([(f"T{n}", n, n % 4 + 1, "abcd"[n % 4], 1) for n in range(40)], LYR)
-    lab = spark.createDataFrame([(f"T{n}", "xy"[n % 2]) for n in range(40)], "track_id string, theme_label string")
-    clf, _ = ThemeClassifier.fit(lyr, lab, vocab, hidden=(3, 2), max_iter=3)
-    assert clf.model.getLayers()[0] == 5

@@ -37,3 +37,18 @@ def dense_ids(values: DataFrame, key: str, id_col: str, as_int: bool = True) ->
     if as_int:
         ids = ids.withColumn(id_col, F.col(id_col).cast("int"))
     return ids
+
+
+def extend_ids(known: DataFrame | None, values: DataFrame, key: str, id_col: str) -> DataFrame:
+    """``known`` (key, id_col) with the next free ids for keys of ``values`` it lacks, in key order.
+
+    Old ids never change, so what was encoded with them stays valid. Only new keys are sorted and
+    numbered, by range partition and offset. Null keys get no id.
+    """
+    new = values.select(key).where(F.col(key).isNotNull()).distinct()
+    if known is None:
+        return sequential_index(new, [F.asc(key)], id_col)
+    top = known.agg(F.max(id_col)).first()[0]
+    new = new.join(known.select(key), key, "left_anti")
+    numbered = sequential_index(new, [F.asc(key)], id_col, start=0 if top is None else top + 1)
+    return known.select(key, F.col(id_col).cast("bigint").alias(id_col)).unionByName(numbered)

@@ -9,6 +9,8 @@ small word table, and makes all themes one grouped job.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,7 +18,8 @@ from tunelake.functions.strings import is_alpha, py_strip
 from tunelake.functions.stopwords import ENGLISH
 from tunelake.operators.toptracks import popularity
 
-
+HEAVY_SHARE = 0.01       # of the tracks: words in more are joined by broadcast
+HEAVY_WORDS = 1_000_000  # of 16 bytes, the most that are broadcast
 
 def stop_words_frame(spark: SparkSession, words: list[str] | None = None) -> DataFrame:
     words = ENGLISH if words is None else words
@@ -131,8 +134,8 @@ def doc_freq(lyrics: DataFrame) -> DataFrame:
     return lyrics.where(F.col("cnt") > 0).groupBy("word").agg(F.count(F.lit(1)).cast("bigint").alias("df"))
 
 
-def idf_table(lyrics: DataFrame, tracks: DataFrame | None = None) -> DataFrame:
-    """(word, idf) with smooth idf ln((1+n)/(1+df)) + 1.
+def idf_table(lyrics: DataFrame, tracks: DataFrame | None = None, key: str = "word") -> DataFrame:
+    """(key, idf) with smooth idf ln((1+n)/(1+df)) + 1; ``key`` is ``word`` or ``word_id``.
 
     n counts the rows of ``tracks``; without it, the tracks of ``lyrics`` that
     have a word. It reaches every word as a scalar subquery.
@@ -141,27 +144,48 @@ def idf_table(lyrics: DataFrame, tracks: DataFrame | None = None) -> DataFrame:
         tracks = lyrics.where(F.col("cnt") > 0).select("track_id").distinct()
     n = tracks.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
     idf = F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
-    return doc_freq(lyrics).select("word", idf.alias("idf"))
+    df = lyrics.where(F.col("cnt") > 0).groupBy(key).agg(F.count(F.lit(1)).alias("df"))
+    return df.select(key, idf.alias("idf"))
+
+
+def with_idf(cells: DataFrame, idf: DataFrame, key: str, unseen: float | None = None, share: float = HEAVY_SHARE) -> DataFrame:
+    """``cells`` with the idf of their word, words in many texts joined apart from the others.
+
+    A word in ``share`` of the fitted tracks or more has an idf of 1 + ln(1 / share) at most. There are no
+    more such words than 1 / share times the distinct words of an average track, whatever the corpus: they
+    are broadcast (counted first; more than HEAVY_WORDS, from an idf fitted on other tracks, stay in the
+    shuffle) and their cells don't move. Only the cells of the other words are shuffled, by a key of which
+    none has more than ``share`` of the tracks.
+    """
+    often = idf.where(F.col("idf") <= 1.0 + math.log(1.0 / share))
+    keep_rest = "inner" if unseen is None else "left"
+    rest = lambda rows, table: rows.join(table, key, keep_rest).fillna(unseen or 0.0, ["idf"])
+    if often.limit(HEAVY_WORDS + 1).count() > HEAVY_WORDS:
+        return rest(cells, idf)
+    often = F.broadcast(often)
+    other = idf.where(F.col("idf") > 1.0 + math.log(1.0 / share))
+    return cells.join(often, key).unionByName(rest(cells.join(often, key, "left_anti"), other))
 
 
-def apply_tfidf(lyrics: DataFrame, idf: DataFrame, unseen: float | None = None) -> DataFrame:
+def apply_tfidf(lyrics: DataFrame, idf: DataFrame, unseen: float | None = None, share: float = HEAVY_SHARE) -> DataFrame:
     """(track_id, word, tfidf): cnt * idf, L2-normalised per track.
 
-    A word without an idf weighs ``unseen`` (ln(1+n) + 1 for a fit over n
-    tracks); with None such words are left out. The norm is a window per track:
-    one shuffle on track_id, each group bounded by the track's distinct words.
+    ``idf`` is by ``word``, or by ``word_id`` (an integer key in the shuffle). A word without an idf weighs
+    ``unseen`` (ln(1+n) + 1 for a fit over n tracks); with None such words are left out. The norm is a window
+    per track: one shuffle on track_id, each group bounded by the track's distinct words.
     """
-    l = lyrics.where(F.col("cnt") > 0).select("track_id", "word", "cnt")
-    j = l.join(idf, "word") if unseen is None else l.join(idf, "word", "left").fillna(unseen, ["idf"])
+    key = "word_id" if "word_id" in idf.columns else "word"
+    cells = lyrics.where(F.col("cnt") > 0).select("track_id", *dict.fromkeys([key, "word"]), "cnt")
+    j = with_idf(cells, idf, key, unseen, share)
     w = j.select("track_id", "word", (F.col("cnt") * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("track_id")))
     return w.select("track_id", "word", (F.col("w") / norm).alias("tfidf"))
 
 
-def tfidf(lyrics: DataFrame, words: DataFrame | None = None) -> DataFrame:
-    """TF-IDF fitted and applied on the same tracks; ``words`` (one ``word``
-    column) restricts the features first, e.g. to the filtered vocabulary."""
-    l = lyrics
+def tfidf(lyrics: DataFrame, words: DataFrame | None = None, word_filter=None) -> DataFrame:
+    """TF-IDF fitted and applied on the same tracks; ``words`` (one ``word`` column) restricts the features
+    first, e.g. to the filtered vocabulary, or ``word_filter``, a function of the rows that keeps some words'."""
+    l = lyrics if word_filter is None else word_filter(lyrics)
     if words is not None:
         l = l.join(words.select("word").distinct(), "word", "left_semi")
-    return apply_tfidf(l, idf_table(l))
+    return apply_tfidf(l, idf_table(l, key="word_id" if "word_id" in l.columns else "word"))

@@ -5,29 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tunelake.operators import merge
+from tunelake.plans import served
 from tunelake.sources import parquet, text
+from tunelake.sources.store import TableStore, fingerprint, table_path
 
 # File-name markers that pick the four raw inputs.
 INPUT_MARKERS = {"genres": "msd", "triplets": "triplets", "tracks": "unique", "lyrics": "mxm"}
 
 
-def build_sources(spark: SparkSession, raw_paths: list[str], out_dir: str) -> dict[str, str]:
-    """Parse the raw files (picked by name marker) into Parquet tables under ``out_dir``."""
-    out = out_dir.rstrip("/")
-    g = text.read_genres(spark, text.pick_source(raw_paths, INPUT_MARKERS["genres"]))
-    t = text.read_triplets(spark, text.pick_source(raw_paths, INPUT_MARKERS["triplets"]))
-    k = text.read_tracks(spark, text.pick_source(raw_paths, INPUT_MARKERS["tracks"]))
-    lines = text.read_lines(spark, text.pick_source(raw_paths, INPUT_MARKERS["lyrics"]))
-    vocab_path = parquet.write(text.parse_vocabulary(lines), f"{out}/vocabulary")
-    vocab = spark.read.parquet(vocab_path)
+def build_sources(spark: SparkSession, raw_paths: list[str], out_dir: str, min_rows: dict[str, int] | None = None) -> dict[str, str]:
+    """Parse the raw files (picked by name marker) into tables of the store ``out_dir``; returns their paths.
+
+    A table whose raw file is unchanged since its last finished build is skipped. ``min_rows`` gives the
+    least rows of a table, by name: a shorter result raises and leaves the table as it was.
+    """
+    store, least = TableStore(spark, out_dir), min_rows or {}
+    raw = {k: text.pick_source(raw_paths, mark) for k, mark in INPUT_MARKERS.items()}
+    mark = {k: fingerprint(spark, [path]) for k, path in raw.items()}
+
+    def ensure(name: str, source: str, build) -> str:
+        return store.ensure(name, mark[source], build, least.get(name, 0))
+
     paths = {
-        "genres": parquet.write(g, f"{out}/genres"),
-        "triplets": parquet.write(t, f"{out}/triplets"),
-        "tracks": parquet.write(k, f"{out}/tracks"),
-        "vocabulary": vocab_path,
-        "lyrics": parquet.write(text.parse_lyrics(lines, vocab), f"{out}/lyrics"),
-        "lyric_tracks": parquet.write(text.parse_lyric_tracks(lines), f"{out}/lyric_tracks"),
+        "genres": ensure("genres", "genres", lambda: text.read_genres(spark, raw["genres"])),
+        "triplets": ensure("triplets", "triplets", lambda: text.read_triplets(spark, raw["triplets"])),
+        "tracks": ensure("tracks", "tracks", lambda: text.read_tracks(spark, raw["tracks"])),
     }
+    lines = text.read_lines(spark, raw["lyrics"])
+    paths["vocabulary"] = ensure("vocabulary", "lyrics", lambda: text.parse_vocabulary(lines))
+    vocab = spark.read.parquet(paths["vocabulary"])
+    paths["lyrics"] = ensure("lyrics", "lyrics", lambda: text.parse_lyrics(lines, vocab))
+    paths["lyric_tracks"] = ensure("lyric_tracks", "lyrics", lambda: text.parse_lyric_tracks(lines))
     return paths
 
 
@@ -35,16 +43,14 @@ def build_merged(spark: SparkSession, table_dir: str, out_path: str | None = Non
     """Merged table from the typed tables; optionally stored sorted by popularity."""
     base = table_dir.rstrip("/")
     parquet.require_tables(spark, base, ["triplets", "tracks", "genres"])
-    m = merge.build_merged(spark.read.parquet(f"{base}/triplets"), spark.read.parquet(f"{base}/tracks"),
-                           spark.read.parquet(f"{base}/genres"))
+    m = merge.build_merged(*[spark.read.parquet(table_path(spark, base, n)) for n in ("triplets", "tracks", "genres")])
     return store_sorted(m, out_path) if out_path else m
 
 
 def store_sorted(merged: DataFrame, path: str) -> DataFrame:
-    """Write the table globally sorted by popularity (range-partitioned sort), so
-    row-group min/max statistics on ``play_count`` prune scans; read it back.
+    """Write the table globally sorted by popularity (range-partitioned sort), with the contents of its files
+    beside it (``plans.served``), so that scans skip row groups by ``play_count``; read it back.
 
     Spark cannot overwrite a path it is reading, so ``path`` must be new.
     """
-    parquet.write(merge.sort_by_popularity(merged), path)
-    return merged.sparkSession.read.parquet(path)
+    return served.store_served(merged, path)

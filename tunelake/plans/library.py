@@ -14,10 +14,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tunelake.operators import keywords as kw
 from tunelake.operators import lyrics as ly
 from tunelake.operators import recommend as rc
-from tunelake.operators import toptracks as tt
 from tunelake.plans import build, themed
+from tunelake.plans.served import ServedTable
+from tunelake.sources.store import table_path
 
 
 class MusicLibrary:
@@ -26,55 +28,68 @@ class MusicLibrary:
         self.merged_path = merged_path or f"{self.dir}/merged_sorted"
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}")
+        return self.spark.read.parquet(table_path(self.spark, self.dir, name))
 
-    def merged(self) -> DataFrame:
-        """The served table, built and stored sorted once (materialised)."""
+    def served(self) -> ServedTable:
+        """The served table, built and stored sorted once (rebuilt if its file list is missing)."""
         from tunelake.sources.parquet import row_count
 
-        if row_count(self.spark, self.merged_path) == 0:
+        if row_count(self.spark, f"{self.merged_path}_files") == 0:
             build.build_merged(self.spark, self.dir, out_path=self.merged_path)
-        return self.spark.read.parquet(self.merged_path)
+        return ServedTable(self.spark, self.merged_path)
+
+    def merged(self) -> DataFrame:
+        return self.served().table()
 
     def top_tracks(self, n: int = 100) -> DataFrame:
-        return tt.top_tracks(self.merged(), n)
+        return self.served().top_tracks(n)
 
     def top_tracks_by_genre(self, n: int, genre: str, drop_genre: bool = True) -> DataFrame:
-        return tt.top_tracks_by_genre(self.merged(), n, genre, drop_genre)
+        return self.served().top_tracks_by_genre(n, genre, drop_genre)
 
 
 class ThemeCollections(MusicLibrary):
     def __init__(self, spark: SparkSession, table_dir: str, labels: list[str] | None = None, **kw):
         super().__init__(spark, table_dir, **kw)
         self.labels = labels
-        self._classifier = None
+        self._classifier = self._vectors = None
 
     def baseline(self, theme: str, n: int = 100) -> DataFrame:
-        out = themed.collection_baseline(self.table("lyrics"), self.table("vocabulary"), self.table("lexicon"),
+        lexicon = kw.require_keywords(self.table("lexicon"), theme)
+        out = themed.collection_baseline(self.table("lyrics"), self.table("vocabulary"), lexicon.where(F.col("theme") == theme),
                                          self.table("synsets"), self.merged(), n)
         return out.where(F.col("theme") == theme).drop("theme")
 
-    def word2vec(self, theme: str, n: int = 100, vectors: DataFrame | None = None) -> DataFrame:
-        from tunelake.operators import keywords as kw
+    def vectors(self) -> DataFrame:
+        """Word vectors of the reference's input, the filtered vocabulary as one sentence; trained once."""
+        if self._vectors is None:
+            sentence = kw.vocabulary_sentence(ly.filter_vocabulary(self.table("vocabulary")))
+            self._vectors = kw.word_vectors(kw.train_word2vec(sentence))
+        return self._vectors
 
-        vocab = self.table("vocabulary")
-        if vectors is None:  # the reference's input: the filtered vocabulary as one sentence
-            vectors = kw.word_vectors(kw.train_word2vec(kw.vocabulary_sentence(ly.filter_vocabulary(vocab))))
-        out = themed.collection_word2vec(self.table("lyrics"), vectors, vocab, self.table("lexicon"),
-                                         self.table("synsets"), self.merged(), n)
+    def word2vec(self, theme: str, n: int = 100, vectors: DataFrame | None = None) -> DataFrame:
+        vectors = self.vectors() if vectors is None else vectors
+        vocab, synsets = self.table("vocabulary"), self.table("synsets")
+        lexicon = self.table("lexicon").where(F.col("theme") == theme)
+        # the reference's error: no expanded keyword is a word of the lyrics
+        kw.require_keywords(themed.word2vec_words(vectors, vocab, lexicon, synsets), theme)
+        out = themed.collection_word2vec(self.table("lyrics"), vectors, vocab, lexicon, synsets, self.merged(), n)
         return out.where(F.col("theme") == theme).drop("theme")
 
-    def classification(self, theme: str, n: int = 100, verbose: bool = False) -> DataFrame:
+    def classification(self, theme: str, n: int = 100, verbose: bool = False, scorer=None, word_filter=None,
+                       rank_by: str = "track_id") -> DataFrame:
+        """Tracks predicted as ``theme``. The classifier is fitted once, on the 500 best tracks a label of
+        ``scorer`` (default: the Word2Vec collection's scores) over the words that ``word_filter`` keeps."""
         from tunelake.operators.classify import ThemeClassifier
 
         lyr, vocab = self.table("lyrics"), self.table("vocabulary")
-        if self._classifier is None:  # weak labels, features and model: fitted once
-            scores = ly.theme_scores(lyr, self.table("lexicon"))
-            if self.labels:
-                scores = scores.where(F.col("theme").isin(self.labels))
-            labels = ly.weak_labels(scores, self.merged(), 500)
-            self._classifier, _ = ThemeClassifier.fit(lyr, labels, ly.filter_vocabulary(vocab))
-        return themed.collection_classifier(lyr, None, vocab, self.merged(), theme, n, verbose, self._classifier)
+        if self._classifier is None:
+            if scorer is None:
+                scorer = themed.embedding_scorer(self.vectors(), vocab, self.table("lexicon"), self.table("synsets"))
+            chosen = scorer if not self.labels else lambda rows: scorer(rows).where(F.col("theme").isin(self.labels))
+            self._classifier, _ = ThemeClassifier.fit(lyr, scorer=chosen, merged=self.merged(), word_filter=word_filter)
+        return themed.collection_classifier(lyr, None, vocab, self.merged(), theme, n, verbose, self._classifier,
+                                            self.table("lyric_tracks").select("track_id"), rank_by)
 
 
 class Recommender:
@@ -87,7 +102,7 @@ class Recommender:
     def fit(self):
         """Interactions -> id dictionaries -> 80/20 keyed split -> ALS (once)."""
         if self._state is None:
-            inter = rc.hash_split(rc.interactions(self.spark.read.parquet(f"{self.dir}/triplets")),
+            inter = rc.hash_split(rc.interactions(self.spark.read.parquet(table_path(self.spark, self.dir, "triplets"))),
                                   ["user_id", "song_id"])
             users, songs = rc.dictionaries(inter)
             train = rc.encode(inter.where(F.col("is_test") == 0), users, songs).persist()

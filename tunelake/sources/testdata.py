@@ -117,11 +117,15 @@ def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lyrics(spark: SparkSession, sf_dir: str, vocab: DataFrame | None = None) -> DataFrame:
-    """Long bag-of-words: (track_id, mxm_track_id, word_id, word, cnt)."""
-    vocab = vocab if vocab is not None else vocabulary(spark, sf_dir)
-    counts = tokens(spark, sf_dir).groupBy("doc_id", F.col("w").alias("word")).agg(F.count(F.lit(1)).alias("cnt"))
-    return counts.join(vocab, "word").select(
-        _id("TR", "doc_id").alias("track_id"), F.col("doc_id").alias("mxm_track_id"), "word_id", "word", "cnt")
+    """Long bag-of-words: (track_id, mxm_track_id, word_id, word, cnt), stored once per session and input
+    (with the vocabulary's own ids), as ingest stores the lyrics."""
+    def build() -> DataFrame:
+        words = vocabulary(spark, sf_dir) if vocab is None else vocab
+        counts = tokens(spark, sf_dir).groupBy("doc_id", F.col("w").alias("word")).agg(F.count(F.lit(1)).alias("cnt"))
+        return counts.join(words, "word").select(
+            _id("TR", "doc_id").alias("track_id"), F.col("doc_id").alias("mxm_track_id"), "word_id", "word", "cnt")
+
+    return _stored(spark, sf_dir, "lyrics", build)
 
 
 # The five themes of the demo notebook, assigned to vocabulary ranks.
