@@ -57,6 +57,13 @@ def got(spark, docs, rows):
     return sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in J.ngram_components(docs(rows).repartition(4)).collect())
 
 
+@pytest.mark.parametrize("percent", [50, 70, 80])
+def test_other_thresholds_match_brute_force(spark, docs, percent):
+    rows = list(enumerate(corpus(percent)))
+    out = J.ngram_components(docs(rows), percent=percent)
+    assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in out.collect()) == brute(rows, percent)
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_components_match_brute_force(spark, docs, seed):
     rows = [(i * 7 + 1, t) for i, t in enumerate(corpus(seed))]
@@ -64,30 +71,65 @@ def test_components_match_brute_force(spark, docs, seed):
     assert got(spark, docs, rows) == brute(rows)
 
 
-def test_every_allocation_finds_all_similar_pairs():
-    """Pigeonhole: similar sets share a key, whatever the weights."""
+def similar_pair(rng, low, high, percent):
+    """A set of the band and one of the same size or larger, as far from it as the threshold allows."""
+    import numpy as np
+    while True:
+        x = np.unique(rng.integers(0, 2**63, rng.integers(low, high + 1), dtype=np.uint64))
+        drop, add, more = 0, 0, rng.random()
+        while True:
+            d, a = (drop + 1, add) if rng.random() < more else (drop, add + 1)
+            if 100 * (len(x) - d) < percent * (len(x) + a):
+                break
+            drop, add = d, a
+        y = np.unique(np.concatenate([x[drop:], rng.integers(0, 2**63, add, dtype=np.uint64)]))
+        if len(y) >= len(x):
+            return x, y
+        if len(y) >= low:
+            return y, x
+
+
+@pytest.mark.parametrize("percent", [50, 70, 80, 90])
+def test_every_allocation_finds_all_similar_pairs(percent):
+    """Pigeonhole: similar sets share a key, whatever the weights and with any spare weight."""
     import numpy as np
     rng = np.random.default_rng(3)
-    for low, high, h in J.bands(90, 600):
-        for two in {0, 1, (h + 1) // 2} if h else {0}:
-            if 2 * two > h + 1:
-                continue
-            for _ in range(15):
-                x = np.unique(rng.integers(0, 2**63, rng.integers(low, high + 1), dtype=np.uint64))
-                drop, add = 0, 0
-                while 100 * (len(x) - drop) >= 90 * (len(x) + add) and rng.random() < 0.95:
-                    drop, add = (drop + 1, add) if rng.random() < 0.5 else (drop, add + 1)
-                while 100 * (len(x) - drop) < 90 * (len(x) + add):
-                    drop, add = (drop - 1, add) if drop else (drop, add - 1)
-                y = np.unique(np.concatenate([x[drop:], rng.integers(0, 2**63, add, dtype=np.uint64)]))
-                if len(y) < len(x):
+    for low, high, h in J.bands(percent, 600):
+        for spare in (0, 1, 3, 9):
+            total = h + 1 + spare
+            for two in {0, 1, total // 2}:
+                if 2 * two > total:
                     continue
-                a, b = (J.signatures(s, 5, h + 1 - 2 * two, two) for s in (x, y))
-                assert len(np.intersect1d(a, b))
+                for _ in range(6):
+                    x, y = similar_pair(rng, low, high, percent)
+                    a, b = (J.signatures(s, 5, total - 2 * two, two, spare) for s in (x, y))
+                    assert len(np.intersect1d(a, b))
+
+
+@pytest.mark.parametrize("percent", [50, 60, 70, 80, 90])
+def test_pairs_at_the_threshold_meet_across_bands(percent):
+    """The signing of whole texts: partners may lie several bands lower."""
+    import pandas as pd
+    rng = random.Random(percent)
+    schemes = [(low, high, h, *J.allocate(low, high, h)) for low, high, h in J.bands(percent, J.LARGEST)]
+    rows = []
+    for i in range(150):
+        n = rng.randrange(4, 300)
+        x = [f"w{i}-{k}" for k in range(n + 2)]  # n 3-word shingles
+        rows += [(i, x), (i, x + [f"a{k}" for k in range(n * (100 - percent) // percent)])]
+    frame = pd.DataFrame([(str(i), " ".join(w), 0) for i, w in rows], columns=["id", "text", "tag"])
+    out = pd.concat(J._sign(3, schemes, percent)(iter([frame])))
+    for i in range(0, len(out), 2):
+        a, b = out["keys"].iloc[i], out["keys"].iloc[i + 1]
+        assert out["node"].iloc[i] == out["node"].iloc[i + 1] or set(a) & set(b), rows[i]
 
 
 def test_allocation_follows_cost():
-    assert J.allocate(9, 12, 1, 0) == (2, 0) and J.allocate(9, 12, 1, 10**6) == (0, 1)
+    """Small sets use one-deletion neighbourhoods, large ones subsets; about as many signatures as differences."""
+    small, large = J.allocate(12, 16, 4), J.allocate(340, 470, 117)
+    assert small[1] > 0 and large[1] == 0
+    assert 118 < sum(large[:2]) < 150
+    assert all(one + 2 * two == h + 1 + e for low, high, h in J.bands(80, 5000) for one, two, e in [J.allocate(low, high, h)])
 
 
 def test_near_copy_group_and_one_of_each(spark, docs):

@@ -30,7 +30,7 @@ def test_stages_in_order(spark, tmp_path):
     assert quality_rules.kept_rows(quality_rules.ledger(q)).count() == q.count()
     rows = [tuple(r) for r in q.select("doc_id", "text").collect()]
     _, one = seen["ngram_jaccard"]
-    assert sorted(r["doc_id"] for r in one.select("doc_id").collect()) == sorted(set(brute_groups(rows).values()))
+    assert sorted(r["doc_id"] for r in one.select("doc_id").collect()) == sorted(set(brute_groups(rows, 80, 5).values()))
     d, p = seen["pii"]
     assert p.count() == d.count() and p.where(F.length("text") != F.col("n_chars")).count() == 0
     assert p.where(F.col("text").rlike(r"[A-Za-z0-9]@[A-Za-z0-9-]+\.[A-Za-z]")).count() == 0
@@ -84,6 +84,40 @@ def test_near_duplicate_stage_matches_brute_force(spark):
     assert P.pack(spark, m, SF).agg(F.sum("length")).first()[0] == want
 
 
+@pytest.fixture
+def run(spark, tmp_path):
+    """The whole pipeline on rows of documents, with columns that operators use inside."""
+    def go(rows, schema="doc_id long, text string, lang string, source string, n_chars long"):
+        at = str(tmp_path / f"sf{len(rows)}")
+        docs = spark.createDataFrame(rows, schema).withColumn("label", F.lit("x")).withColumn("keys", F.lit(1)).withColumn("_row", F.lit(2.5))
+        docs.write.parquet(f"{at}/documents.parquet")
+        return P.run(spark, at)
+    return go
+
+
+TEXT = " ".join(f"word{i}" for i in range(60)) + "."
+
+
+def test_run_on_an_empty_table(run):
+    out = run([])
+    assert out.count() == 0 and {"doc_id", "start", "length"} <= set(out.columns)
+
+
+def test_run_on_repeated_rows_null_ids_and_clashing_columns(run):
+    rows = [(1, TEXT, "en", "a", 1), (1, TEXT, "en", "a", 1), (2, None, "en", None, 0), (3, "", "en", "a", 0), (None, TEXT, "en", "a", 1),
+            (None, TEXT.upper() + " other", None, "b", 1)]
+    rows += [(i, " ".join(f"t{i}-{k}" for k in range(40)) + f" me{i}@example.org", "en", "abc"[i % 3], 1) for i in range(10, 30)]
+    rows += [(None, " ".join(f"null{k}" for k in range(50)), None, None, 1)]
+    out = run(rows).collect()
+    ids = {r["doc_id"] for r in out}
+    assert ids <= {1, None, *range(10, 30)} and 1 in ids and len(ids & set(range(10, 30))) >= 15
+    taken = {}
+    for r in out:
+        taken.setdefault((r["doc_id"], r["doc_tokens"]), []).append(r["length"])
+    assert all(sum(v) % k[1] == 0 for k, v in taken.items() if k[0] is not None)  # whole copies of one document
+    assert sum(sum(v) // k[1] for k, v in taken.items() if k[0] == 1) <= 2  # one of the copies, twice at most
+
+
 def test_registered():
     assert E.queries()["pipeline"] is P.run and len(P.STAGES) == 5 and P.ORACLE_SQL is None
 

@@ -2,12 +2,12 @@
 import re
 
 
-def brute_groups(rows, percent=90):
+def brute_groups(rows, percent=90, n=3):
     """doc_id -> smallest doc_id of its group."""
     sets = {}
     for d, t in rows:
         w = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
-        sets[d] = {tuple(w[i:i + 3]) for i in range(max(1, len(w) - 2))} if w else set()
+        sets[d] = {tuple(w[i:i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
     root = {d: d for d in sets}
 
     def find(d):

@@ -4,12 +4,17 @@ Two sets of sizes |x| <= |y| with Jaccard similarity T differ in at most
 H = |x| (1 - T) / T elements. Sizes fall into bands; a band fixes H for its
 largest size and a number of segments. A token's hash names its segment, so a
 set splits into disjoint subsets, and a segment is indexed with weight 1 (its
-subset) or weight 2 (its subset and every subset with one deletion). If the
-weights sum to H + 1, then by the pigeonhole principle two similar sets meet in
-some segment: equal there, or one element apart where the weight is 2. A set
-also signs in the band below if its partners may be there. Weights are chosen
-per band by cost: signatures to write against the candidates expected from
-empty and nearly empty segments among the band's sets (a count over the corpus).
+subset) or weight 2 (its subset and every subset with one deletion). Differences
+can spoil segments of H in weight together, so with weights that sum to H + 1 + E
+two similar sets meet in segments of weight E + 1: equal there, or one element apart
+where the weight is 2. A set also signs in every lower band that its partners may be in.
+
+Empty subsets say nothing, and all sets with the same one empty would meet there. A set in which
+segments of weight E at most hold fewer tokens than their weight doesn't sign them: it meets each
+similar set in some other segment, by a subset that isn't empty. Sets with more such segments, few by the choice
+of E, sign all. Weights and E are chosen per band by cost: signatures to write against the segments that
+hold nothing but n-grams which many sets have. Crowds there are met in linear time (below), so
+the choice follows the sizes of sets and not their number.
 
 Candidates are verified exactly on whole sets. Equal sets are one node. In a
 bucket the least node leads; every node is first compared with one leader only, that
@@ -28,9 +33,8 @@ for a link can still follow in both. Nodes of crowded buckets are compared only
 share such a one. The order is by counts of n-grams in CELLS hashed cells over the crowded
 nodes; it changes the cost, never the links.
 
-Scale: rows with the set of another row sign once; keys are counted, a number a key,
-with map-side combine before any join, those
-that one row has are gone after the first join, joins by bucket can be split
+Scale: rows with the set of another row sign once; signatures are exchanged once, as
+(key, node), and keys of a single node end there; joins by bucket can be split
 when skewed, sets travel only for nodes in candidates. Tables between passes go
 to the shared scratch folder. Sets and nodes are identified by 64-bit hashes.
 
@@ -47,7 +51,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunelake.llm import text as T
@@ -56,7 +60,10 @@ from tunelake.session import cut_lineage, scratch_path
 N = 3
 PERCENT = 90           # similarity at which sets link
 BAND = 1.4             # ratio of the sizes in a band
-CANDIDATE_COST = 20.0  # of one expected candidate, in signatures
+LARGEST = 1 << 31      # n-grams of the largest set
+COMMON = 0.15          # share of a set's n-grams that many sets have, for the choice of weights
+CROWD_COST = 60.0      # of a set in one crowded bucket, in signatures
+SPARE = (0, 1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64)
 CACHE_WORDS = 300_000
 CROWD = 16             # nodes of a bucket that are compared directly
 ROOM = 8               # nodes of a crowded bucket that meet in a round
@@ -77,16 +84,23 @@ def bands(percent: int, largest: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def allocate(low: int, high: int, h: int, sets: int) -> tuple[int, int]:
-    """Numbers of segments of weight 1 and 2 at the least cost for ``sets`` sets in the band."""
-    def cost(two: int) -> float:
-        one = h + 1 - 2 * two
+def allocate(low: int, high: int, h: int) -> tuple[int, int, int]:
+    """Numbers of segments of weight 1 and 2 and the spare weight E, at the least cost for a set of the band."""
+    def cost(one: int, two: int, spare: int) -> float:
         t = (low + high) / 2 / (one + two)
-        empty = math.exp(-t)
-        # both sets of a pair must be empty (weight 2: nearly empty) in the segment
-        return one + two * (1 + t) + CANDIDATE_COST * sets * (one * empty ** 2 + two * (empty * (1 + t)) ** 2)
-    two = min(range(0, (h + 1) // 2 + 1), key=cost)
-    return h + 1 - 2 * two, two
+        few = one * math.exp(-t) + 2 * two * (1 + t) * math.exp(-t)  # weight with too few tokens
+        u = t * (1 - COMMON)
+        crowds = one * (math.exp(-u) - math.exp(-t)) + two * ((1 + u) * math.exp(-u) - (1 + t) * math.exp(-t))
+        below, term = 0.0, math.exp(-few)
+        for k in range(spare + 1):
+            below += term
+            term *= few / (k + 1)
+        return one + two * (1 + t) + CROWD_COST * (crowds + max(0.0, 1 - below) * few)
+    shapes = []
+    for spare in SPARE:
+        total = h + 1 + spare
+        shapes += [(total - 2 * two, two, spare) for two in sorted({total // 2 * i // 8 for i in range(9)})]
+    return min(shapes, key=lambda x: cost(*x))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -121,19 +135,21 @@ class Sets:
         return np.unique(out)
 
 
-def signatures(tokens: np.ndarray, scheme: int, one: int, two: int) -> np.ndarray:
-    """Bucket keys of a set in one band's scheme."""
+def signatures(tokens: np.ndarray, scheme: int, one: int, two: int, spare: int = -1) -> np.ndarray:
+    """Bucket keys of a set in one band's scheme, without those of empty subsets if ``spare`` allows it."""
     m = one + two
     seg = ((tokens >> np.uint64(17)) % np.uint64(m)).astype(np.int64)
     order = np.argsort(seg, kind="stable")
     seg, val = seg[order], _mix(tokens[order] + np.uint64(0x9E3779B97F4A7C15))
-    sums = np.zeros(m, np.uint64)
+    sums, size = np.zeros(m, np.uint64), np.bincount(seg, minlength=m)
     at = np.flatnonzero(np.r_[True, seg[1:] != seg[:-1]])
     sums[seg[at]] = np.add.reduceat(val, at)
     name = _mix((np.arange(m, dtype=np.uint64) << np.uint64(20)) + np.uint64(scheme + 1))
-    keys = _mix(sums ^ name)
+    few = (size[:one] == 0).sum() + 2 * (size[one:] < 2).sum()
+    least = 1 if few <= spare else 0
+    keys = _mix(sums ^ name)[size >= least]
     if two:
-        late = seg >= one
+        late = (seg >= one) & (size[seg] > least)
         less = _mix((sums[seg[late]] - val[late]) ^ name[seg[late]])
         keys = np.concatenate([keys, less])
     return np.unique(keys)
@@ -144,8 +160,8 @@ def _node(tokens: np.ndarray) -> int:
     return int(_mix(np.array([total + np.uint64(len(tokens))], np.uint64)).view(np.int64)[0])
 
 
-def _sign(n: int, schemes: list[tuple[int, int, int, int, int]], percent: int):
-    """schemes: (low, high, H, one, two) by band."""
+def _sign(n: int, schemes: list[tuple[int, int, int, int, int, int]], percent: int):
+    """schemes: (low, high, H, one, two, spare) by band."""
     lows = [s[0] for s in schemes]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -156,11 +172,10 @@ def _sign(n: int, schemes: list[tuple[int, int, int, int, int]], percent: int):
                 for doc, text, tag in zip(part["id"], part["text"], part["tag"], strict=True):
                     t = sets(text)
                     b = int(np.searchsorted(lows, len(t), side="right")) - 1
-                    keys = []
-                    if b >= 0:
+                    keys, top = [], b
+                    while b >= 0 and (b == top or percent * len(t) <= 100 * schemes[b][1]):
                         keys.append(signatures(t, b, *schemes[b][3:]))
-                        if b and percent * len(t) <= 100 * schemes[b - 1][1]:
-                            keys.append(signatures(t, b - 1, *schemes[b - 1][3:]))
+                        b -= 1
                     keys = np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
                     rows.append((doc, tag, len(t), _node(t) if len(t) else 0, keys))
                 yield pd.DataFrame(rows, columns=["id", "tag", "n", "node", "keys"])
@@ -292,15 +307,7 @@ def _labelled(docs: DataFrame, n: int, percent: int, tag: Column) -> DataFrame:
     """doc_id, ``tag`` (a long from doc_id and text), n (distinct n-grams), node and label, the component's, of every row."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    # words bound n-grams: the bands that exist and about how many sets each has
-    sizes = rows.select(F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).alias("w"))
-    step = F.floor(F.log(F.greatest("w", F.lit(1))) / math.log(BAND)).cast("int")
-    counts = {r["s"]: (r["n"], r["w"]) for r in sizes.groupBy(step.alias("s")).agg(
-        F.count(F.lit(1)).alias("n"), F.max("w").alias("w")).collect()}  # a row a size step
-    schemes = []
-    for low, high, h in bands(percent, max([w for _, w in counts.values()], default=0) + 1):
-        near = counts.get(int(math.log((low + high) / 2) / math.log(BAND)), (0, 0))[0]
-        schemes.append((low, high, h, *allocate(low, high, h, near)))
+    schemes = [(low, high, h, *allocate(low, high, h)) for low, high, h in bands(percent, LARGEST)]
 
     at = scratch_path(spark, "signed")
     # ids travel as text: pandas would make floats of a nullable column
@@ -313,10 +320,10 @@ def _labelled(docs: DataFrame, n: int, percent: int, tag: Column) -> DataFrame:
     copies = signed.select("doc_id", "node").join(same, "node").where("doc_id <> _first").select("doc_id", "node").distinct()
     s = signed.where(F.size("keys") > 0).join(_if_few(cut_lineage(copies)), ["doc_id", "node"], "left_anti").select(
         F.explode("keys").alias("key"), "node")
-    often = s.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    met = cut_lineage(s.join(often, "key").distinct())
-    shared = met.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("_last")).where("lead < _last").drop("_last")
-    buckets = cut_lineage(met.join(shared, "key"))
+    # one exchange of all signatures; keys of a single node end there
+    w = Window.partitionBy("key")
+    met = s.select("key", "node", F.min("node").over(w).alias("lead"), F.max("node").over(w).alias("_last"))
+    buckets = cut_lineage(met.where("lead < _last").drop("_last").distinct())
 
     nodes = buckets.select("node").distinct()
     ids = cut_lineage(signed.join(nodes, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")))
@@ -330,8 +337,9 @@ def _labelled(docs: DataFrame, n: int, percent: int, tag: Column) -> DataFrame:
     led = buckets.where("node <> lead").groupBy("node", "lead").agg(F.count(F.lit(1)).alias("c"))
     stars = cut_lineage(led.groupBy("node").agg(F.max_by("lead", F.struct("c", "lead")).alias("lead")).select(
         F.col("lead").alias("u"), F.col("node").alias("v")))
-    links = _verify(stars, sets, percent)
-    labels = cut_lineage(components(links))
+    labels = cut_lineage(components(_verify(stars, sets, percent)))
+    # a label is the link that stands for all that made it
+    grown = lambda labels, more: components(labels.select(F.col("node").alias("u"), F.col("label").alias("v")).union(more))
     of = lambda b, labels: b.select("key", "node").join(labels, "node", "left").select(
         "key", "node", F.coalesce("label", "node").alias("label"))
     b = cut_lineage(_mixed(of(buckets, labels)))
@@ -341,8 +349,7 @@ def _labelled(docs: DataFrame, n: int, percent: int, tag: Column) -> DataFrame:
         linked = more.count()
         if not linked:
             break
-        links = links.union(more)
-        labels = cut_lineage(components(links))
+        labels = cut_lineage(grown(labels, more))
         b = cut_lineage(_mixed(of(b, labels)))
         if 10 * linked < pairs.count():
             break
@@ -354,8 +361,7 @@ def _labelled(docs: DataFrame, n: int, percent: int, tag: Column) -> DataFrame:
         stars.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), ["u", "v"], "left_anti")
     rest = cut_lineage(rest)
     more = _verify(rest, _sets_of(unpacked, rest), percent)
-    # equal label pairs are edges of the first links, the new ones join labels
-    final = labels if more.isEmpty() else components(links.union(more))
+    final = labels if more.isEmpty() else grown(labels, more)
     named = signed.join(final, "node", "left").select("doc_id", "tag", "n", "node", F.coalesce("label", "node").alias("label"))
     return cut_lineage(named)
 
@@ -377,11 +383,18 @@ def one_of_each(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFram
     c = _labelled(docs, n, percent, mark)
     first = c.where("n > 0").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")).alias("f"))
     keep = first.select("f.doc_id", "f.tag").union(c.where("n = 0").select("doc_id", "tag").distinct())
-    keep = cut_lineage(keep.select(F.col("doc_id").alias("_k"), F.col("tag").alias("_t")))
+    times = c.groupBy(F.col("doc_id").alias("_d"), F.col("tag").alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
+    same = F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("tag").eqNullSafe(F.col("_g"))
+    keep = cut_lineage(keep.join(times, same).select(F.col("doc_id").alias("_k"), F.col("tag").alias("_t"), "_n"))
     named = T.as_row(docs)
     mine = F.xxhash64(F.col("_row.text").cast("string")) == F.col("_t")
-    kept = named.join(keep, F.col("_row.doc_id").cast("long").eqNullSafe(F.col("_k")) & mine, "left_semi").select("_row.*")
-    return kept.dropDuplicates(["doc_id", "text"])
+    found = F.col("_row.doc_id").cast("long").eqNullSafe(F.col("_k")) & mine
+    once = named.join(keep.where("_n = 1"), found, "left_semi").select("_row.*")
+    again = keep.where("_n > 1")
+    if again.isEmpty():
+        return once
+    # only rows that others equal in doc_id and text are compared once more
+    return once.unionByName(named.join(again, found, "left_semi").select("_row.*").dropDuplicates(["doc_id", "text"]))
 
 
 def op1_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
