@@ -126,7 +126,7 @@ def test_pairs_at_the_threshold_meet_across_bands(percent):
 
 def test_allocation_follows_cost():
     """Small sets use one-deletion neighbourhoods, large ones subsets; about as many signatures as differences."""
-    small, large = J.allocate(12, 16, 4), J.allocate(340, 470, 117)
+    small, large = J.allocate(4, 5, 1), J.allocate(340, 470, 117)
     assert small[1] > 0 and large[1] == 0
     assert 118 < sum(large[:2]) < 150
     assert all(one + 2 * two == h + 1 + e for low, high, h in J.bands(80, 5000) for one, two, e in [J.allocate(low, high, h)])
