@@ -64,3 +64,15 @@ def test_lengths_empty_table_repeats_and_nulls(spark, docs):
     d = docs([(2**60 + 1, "a b"), (2**60 + 1, "a b"), (None, "c")]).withColumn("start", F.lit("clash")).withColumn("length", F.lit(0))
     rows = P.pack(d, keep_ids=False).collect()
     assert sum(r["length"] for r in rows) == 3 + 3 + 2 and {r["doc_id"] for r in rows} == {2**60 + 1, None} and len({r["sequence_id"] for r in rows}) == len(rows)
+
+
+def test_other_tokenizer_files_give_their_own_ids(spark, docs):
+    """A file that keeps case and puts spaces into its tokens."""
+    import public_tokenizers
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok = tokenizers.Tokenizer.from_file(path)
+    rows = P.pack(docs(list(enumerate(TEXTS))), path=path, eos=7).collect()
+    for i, t in enumerate(TEXTS):
+        got = b"".join(r["ids"] for r in sorted((r for r in rows if r["doc_id"] == i), key=lambda r: r["start"]))
+        assert got == np.array(tok.encode(t or "", add_special_tokens=False).ids + [7], dtype="<u4").tobytes()
+    assert P.Encoder(P.tokenizer_path()).known and not P.Encoder(path).known

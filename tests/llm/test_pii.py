@@ -70,6 +70,24 @@ def test_accepted_identifiers_are_spans_wherever_they_stand(spark, docs):
     assert "555-0199-22" not in " ".join(r["text"] for r in P.redact(docs(rows)).collect())
 
 
+def test_secrets_are_seeded_by_names_and_found_elsewhere(spark, docs):
+    key = lambda i: f"{i:02d}" + "ab12cd34ef" * 3
+    rows = [(i, f'my token = "{key(i)}" for use') for i in range(12)] + [(20, f"api_key=\"{key(20)}\"; next")]
+    rows += [(30, 'my token = "Short-1234-abcdef" here'), (31, f"seen {key(3)} again"), (32, f"plain {key(99)} unnamed")]
+    rows += [(40, "path = images/photo-2020-holiday-large.png"), (41, "total = 12345678901234567890123"), (42, "name = Bartholomew-the-second-of-all")]
+    got = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in P.find_pii(docs(rows)).collect()}
+    assert all(got[i] == [(4, 12, 44)] for i in range(12)) and got[20] == [(4, 9, 41)]
+    assert got[30] == [(4, 12, 29)] and got[31] == [(4, 5, 37)]  # a trusted pattern's, and a seed under another context
+    assert got[32] == got[40] == got[42] == [] and all(s[0] != 4 for s in got[41])
+    assert {r["doc_id"]: r["text"] for r in P.redact(docs(rows)).collect()}[20] == 'api_key="[SECRET]"; next'
+
+
+def test_redaction_of_a_very_long_text(spark, docs):
+    text = "word " * 200_000 + "a@b.co " + "é" * 1_000_000 + " 1.2.3.4"
+    (r,) = P.redact(docs([(1, text)])).collect()
+    assert r["text"] == text.replace("a@b.co", "[EMAIL]").replace("1.2.3.4", "[IP]") and r["n_chars"] == len(r["text"])
+
+
 def test_op_columns(spark, docs, tmp_path):
     ts = texts()[:40]
     docs(list(enumerate(ts))).write.parquet(str(tmp_path / "documents.parquet"))

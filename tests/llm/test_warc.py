@@ -56,3 +56,20 @@ def test_cut_archive_fails(spark):
         list(W.parse(io.BytesIO(b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 10\r\n\r\nabc")))
     with pytest.raises(ValueError):
         list(W.parse(io.BytesIO(b"junk\r\n")))
+    for head in (b"WARC-Type: response", b"Content-Length: 3", b"WARC-Type: response\r\nContent-Length: x"):
+        with pytest.raises(ValueError):
+            list(W.parse(io.BytesIO(b"WARC/1.1\r\n" + head + b"\r\n\r\nabc")))
+
+
+def test_headers_that_are_not_utf8():
+    data = b"WARC/1.1\r\nWARC-Type: metadata\r\nWARC-Target-URI: http://\xff/\r\nContent-Length: 6\r\n\r\nk: \xfe\r\n"
+    (r,) = W.parse(io.BytesIO(data))
+    assert r["target_uri"] == "http://\ufffd/" and r["fields"] == {"k": "\ufffd"}
+
+
+def test_archives_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(W, "ARCHIVE_RECORDS", 6)
+    df = spark.createDataFrame([(i, "u", f"page {i}") for i in range(20)], P).coalesce(1)
+    W.write_archives(df, str(tmp_path / "a"))
+    assert len(list((tmp_path / "a").glob("part-*.gz"))) >= 10
+    assert len(W.assemble(W.read_records(spark, str(tmp_path / "a"))).collect()) == 20

@@ -19,6 +19,7 @@ no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -48,6 +49,15 @@ def piece_lengths(n: int, longest: int = MAX_LEN) -> list[int]:
     return [longest] * (n // longest) + [1 << b for b in range(longest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
+# Normalizer and pre-tokenizer of the file whose cuts are known here.
+KNOWN = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
+
 # Texts of these characters only (Latin letters, common signs, ASCII white space) are cut
 # here as the tokenizer cuts them: case folds letter by letter and nothing composes.
 PLAIN = re.compile(r"[\t-\r\x20-\x7e\xa1-\xff]*")
@@ -59,8 +69,9 @@ WORD = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 class Encoder:
     """Ids (as little-endian bytes) of whole texts by one tokenizer file, parts cached.
 
-    Plain texts are cut into the tokenizer's own parts, others into words between
-    ASCII white space, which its parts never span; either way the tokenizer gives the ids.
+    With the KNOWN cuts, plain texts are cut into the tokenizer's own parts, others into words between
+    ASCII white space, which its parts never span; either way the tokenizer gives the ids. Any other
+    file encodes each text as a whole.
     """
 
     def __init__(self, path: str, most: int = CACHE_PARTS):
@@ -68,6 +79,8 @@ class Encoder:
 
         self.tok, self.most = Tokenizer.from_file(path), most
         self.byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        told = json.loads(self.tok.to_str())
+        self.known = all(told.get(k) == v for k, v in KNOWN.items())
         self.parts: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
@@ -79,6 +92,8 @@ class Encoder:
         return np.array(self.tok.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
+        if not self.known:
+            return self._word(text)
         if PLAIN.fullmatch(text) and "<|" not in text:
             found, known, make = PART.findall(text.lower()), self.parts, self._part
         else:
@@ -103,12 +118,12 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def _pieces(path: str, longest: int, keep_ids: bool):
+def _pieces(path: str, longest: int, keep_ids: bool, eos: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
         encode, count, task = encoder(path), {}, TaskContext.get().partitionId()
-        end = np.array([EOS], dtype="<u4").tobytes()
+        end = np.array([eos], dtype="<u4").tobytes()
         for batch in batches:
             texts, docs = batch["text"].fillna(""), batch["id"]
             for a in range(0, len(batch), 256):
@@ -125,24 +140,27 @@ def _pieces(path: str, longest: int, keep_ids: bool):
     return run
 
 
-def pack(docs: DataFrame, path: str | None = None, longest: int = MAX_LEN, keep_ids: bool = True) -> DataFrame:
+def pack(docs: DataFrame, path: str | None = None, longest: int = MAX_LEN, keep_ids: bool = True, eos: int = EOS) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset
-    and, if asked for, ``ids`` (little-endian unsigned 32-bit)."""
+    and, if asked for, ``ids`` (little-endian unsigned 32-bit). ``path`` is a tokenizer file, ``eos`` the id
+    that ends a document."""
     spark = docs.sparkSession
     schema = "id string, start long, length long, ids_crc32 long, doc_tokens long, _p int, _k long"
     # ids travel as text: pandas would make floats of a nullable column
     rows = docs.select(F.col("doc_id").cast("string").alias("id"), F.col("text").cast("string").alias("text"))
-    made = rows.mapInPandas(_pieces(path or tokenizer_path(), longest, keep_ids), schema + (", ids binary" if keep_ids else ""))
+    made = rows.mapInPandas(_pieces(path or tokenizer_path(), longest, keep_ids, eos), schema + (", ids binary" if keep_ids else ""))
     at = scratch_path(spark, "pieces")
     made.write.parquet(at)
     made = spark.read.parquet(at)
-    # one row a (length, task): the buckets' layout
+    # one row a (length, task): each bucket's layout, and one a length: the order of the buckets
     n = made.groupBy("length", "_p").agg(F.count(F.lit(1)).alias("_c"))
-    before = Window.orderBy(F.desc("length"), "_p").rowsBetween(Window.unboundedPreceding, -1)
-    first = n.select(F.col("length").alias("_l"), F.col("_p").alias("_t"),
-                     F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_first"))
-    out = made.join(F.broadcast(first), (F.col("length") == F.col("_l")) & (F.col("_p") == F.col("_t")))
-    cols = [F.col("id").cast("long").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", (F.col("_first") + F.col("_k")).alias("sequence_id"),
+    before = Window.partitionBy("length").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    within = n.select("length", "_p", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_first"))
+    longer = Window.orderBy(F.desc("length")).rowsBetween(Window.unboundedPreceding, -1)
+    begin = n.groupBy("length").agg(F.sum("_c").alias("_c")).select(
+        "length", F.coalesce(F.sum("_c").over(longer), F.lit(0)).alias("_begin"))  # a row a binary length
+    out = made.join(within, ["length", "_p"]).join(F.broadcast(begin), "length")
+    cols = [F.col("id").cast("long").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", (F.col("_begin") + F.col("_first") + F.col("_k")).alias("sequence_id"),
             F.lit(0).cast("long").alias("offset")]
     return out.select(*cols, *(["ids"] if keep_ids else []))
 

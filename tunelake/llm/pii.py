@@ -4,7 +4,9 @@ Base entities (email, ip, card, phone) are found by their formats. They are the
 seeds: the words before a seed are a lexical pattern, and patterns and the
 identifiers in their slots form a bipartite graph. Rounds of two joins score it:
 a pattern by the share of known instances among all it extracts, an instance by
-the mean score of its patterns. Patterns above MIN_PRECISION with MIN_SUPPORT
+the mean score of its patterns. A fifth kind, secrets, has no format of its own: its seeds are long
+tokens of letters and digits to which a name is given (``name = "..."``), and its patterns and
+instances are scored like the others. Patterns above MIN_PRECISION with MIN_SUPPORT
 known instances are trusted; instances they score at MIN_SCORE or more join the
 known ones of the next round, and in the end are spans of their kind wherever they
 stand, next to the base spans, which always stay.
@@ -32,6 +34,8 @@ from tunelake.llm import text as T
 from tunelake.session import cut_lineage, scratch_path
 
 KINDS = ["email", "ip", "card", "phone"]
+SECRET = len(KINDS)  # the kind of secrets, which have seeds but no base entities
+NAMES = [*KINDS, "secret"]
 # The formats. Possessive or anchored where that finds the same matches in one pass.
 FORMATS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -49,6 +53,10 @@ MIN_SUPPORT = 2
 MIN_PRECISION = 0.5
 MIN_SCORE = 0.5
 MIN_LENGTH, MIN_DIGITS = 6, 4  # of a discovered identifier
+# A seed of a secret: a token of 20 characters or more, letters and digits, that a name is given to.
+SECRET_SEED = r"^(?=.*[a-z])(?=(?:[^0-9]*[0-9]){4})[0-9a-z_+-]{20,}$"
+GIVEN = r"[=:]\|$|\|.*[=:]$"
+SECRET_LENGTH = 16   # of a discovered one, with a letter
 
 
 def running(values: Column, zero: Column) -> Column:
@@ -138,13 +146,14 @@ def _slots(df: DataFrame) -> DataFrame:
 
 def _fits(kind: Column, inst: Column) -> Column:
     digits = F.length(inst) - F.length(F.translate(inst, "0123456789", ""))
-    return (F.length(inst) >= MIN_LENGTH) & F.when(kind == 0, F.contains(inst, F.lit("@"))).otherwise(
-        (digits >= MIN_DIGITS) & ~F.contains(inst, F.lit("@")))
+    numbered = (digits >= MIN_DIGITS) & ~F.contains(inst, F.lit("@"))
+    mixed = numbered & (F.length(inst) >= SECRET_LENGTH) & inst.rlike(r"^[0-9a-z_+-]*[a-z][0-9a-z_+-]*$")
+    return (F.length(inst) >= MIN_LENGTH) & F.when(kind == 0, F.contains(inst, F.lit("@"))).when(kind == SECRET, mixed).otherwise(numbered)
 
 
 def _free_slots(found: DataFrame) -> DataFrame:
     """Slots as rows: rid, start, end, inst, ctx and ``kind``, the kind of a base entity that begins in
-    the slot and then is its instance; slots inside an earlier entity are left out."""
+    the slot and then is its instance, or that of a secret's seed; slots inside an earlier entity are left out."""
     cols = "rid long, pos long, kind int, upto long, h long, start long, end long, inst string, ctx string"
     names = [c.split()[0] for c in cols.split(", ")]
     null = lambda t: F.lit(None).cast(t)
@@ -165,7 +174,9 @@ def _free_slots(found: DataFrame) -> DataFrame:
     slots = rows.where(F.col("inst").isNotNull() & (F.coalesce("_cover", F.lit(-1)) <= F.col("pos")))
     seed = F.col("_next.pos") < F.col("end")
     inst = F.when(seed, F.concat(F.lit("seed "), F.col("_next.h").cast("string"))).otherwise(F.col("inst"))
-    return slots.select("rid", "start", "end", inst.alias("inst"), "ctx", F.when(seed, F.col("_next.kind")).alias("kind"))
+    secret = F.col("inst").rlike(SECRET_SEED) & F.col("ctx").rlike(GIVEN)
+    kind = F.when(seed, F.col("_next.kind")).when(secret, SECRET)
+    return slots.select("rid", "start", "end", inst.alias("inst"), "ctx", kind.alias("kind"))
 
 
 def score_graph(slots: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -191,8 +202,8 @@ def score_graph(slots: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def find_pii(docs: DataFrame, keep_row: bool = False) -> DataFrame:
-    """rid, doc_id, ``base`` and ``spans`` (arrays of (k, start, end) by kind and start) of every row;
-    ``_row`` on request."""
+    """rid, doc_id, ``base`` and ``spans`` (arrays of (k, start, end) by kind and start, secrets among
+    the spans) of every row; ``_row`` on request."""
     spark = docs.sparkSession
     df = T.as_row(docs).select("_row", F.coalesce("_row.text", F.lit("")).alias("_text"))
     df = _slots(base_spans(df)).select(
@@ -203,8 +214,10 @@ def find_pii(docs: DataFrame, keep_row: bool = False) -> DataFrame:
     found = spark.read.parquet(at)
     slots = cut_lineage(_free_slots(found))
     _, new = score_graph(slots)
-    # every free slot of an accepted instance, whatever its context
-    hits = slots.where(F.col("kind").isNull()).drop("kind").join(new.drop("score"), "inst")
+    # every free slot of an accepted instance or a secret's seed, whatever its context
+    seeds = slots.where(F.col("kind") == SECRET).select("inst", "kind").distinct()
+    accepted = seeds.unionByName(new.drop("score").join(seeds, "inst", "left_anti"))
+    hits = slots.where(F.col("kind").isNull() | (F.col("kind") == SECRET)).drop("kind").join(accepted, "inst")
     mine = hits.groupBy("rid").agg(F.collect_set(F.struct(F.col("kind").alias("k"), "start", "end")).alias("_new"))
     bare = F.transform("_base", lambda s: F.struct(s["k"].alias("k"), s["start"].alias("start"), s["end"].alias("end")))
     spans = F.sort_array(F.concat(bare, F.coalesce("_new", F.array().cast("array<struct<k:int,start:bigint,end:bigint>>"))))
@@ -214,7 +227,7 @@ def find_pii(docs: DataFrame, keep_row: bool = False) -> DataFrame:
 
 def told(spans: Column) -> Column:
     """kind:start:end, comma-joined."""
-    names = F.array(*[F.lit(k) for k in KINDS])
+    names = F.array(*[F.lit(k) for k in NAMES])
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(
         ":", F.get(names, s["k"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
@@ -222,7 +235,7 @@ def told(spans: Column) -> Column:
 def redact(docs: DataFrame, n_chars: str = "n_chars") -> DataFrame:
     """Input rows with every span replaced by its kind in brackets; ``n_chars`` follows the text."""
     found = find_pii(docs, keep_row=True)
-    names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
+    names = F.array(*[F.lit(f"[{k.upper()}]") for k in NAMES])
     by_place = F.sort_array(F.transform("spans", lambda s: F.struct(s["start"], s["end"], s["k"])))
     # overlapping spans become one, named after the first
     merged = F.aggregate(by_place, F.filter(by_place, lambda s: F.lit(False)), lambda acc, s: F.when(
@@ -244,8 +257,12 @@ def redact(docs: DataFrame, n_chars: str = "n_chars") -> DataFrame:
 
 
 def op5_pii(spark, sf_dir: str) -> DataFrame:
-    """Spans of personal data in all documents."""
+    """Spans of personal data in all documents; secrets in columns of their own."""
     found = find_pii(T.table(spark, sf_dir, "documents"))
     count = lambda k: F.size(F.filter("base", lambda s: s["k"] == k)).cast("long")
     n = [count(k).alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
-    return found.select("doc_id", *n, F.sha2(told(F.col("base")), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
+    personal = F.filter("spans", lambda s: s["k"] != SECRET)
+    secrets = F.filter("spans", lambda s: s["k"] == SECRET)
+    return found.select("doc_id", *n, F.sha2(told(F.col("base")), 256).alias("base_sha256"), told(personal).alias("spans"),
+                        F.size(secrets).cast("long").alias("n_secret"), told(secrets).alias("secret_spans"),
+                        F.size("spans").cast("long").alias("n_found"))

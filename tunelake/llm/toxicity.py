@@ -35,6 +35,7 @@ BUCKETS = 1 << 17
 DIM = 8
 GRAMS = (3, 4, 5)
 PASSAGE = 2
+SCALE = 2.0       # of averages in a logit
 SHARP = 6.0
 EPOCHS = 60
 MIN_DOCS = 4      # training documents that an n-gram must be in
@@ -69,8 +70,8 @@ def _tokens(text: str) -> list[str]:
     return text.lower().split()
 
 
-def train(texts: list[str], labels: list[int], share: float, epochs: int = EPOCHS) -> dict:
-    """Scores of n-gram buckets (embedding times softmax difference) and the bias."""
+def train(texts: list[str], labels: list[int], share: float, epochs: int = EPOCHS, passage: int | None = PASSAGE) -> dict:
+    """Scores of n-gram buckets (embedding times softmax difference) and the bias; ``passage`` None averages whole documents."""
     vocab: dict[str, int] = {}
     docs = [np.array([vocab.setdefault(w, len(vocab)) for w in _tokens(t)], np.int64) for t in texts]
     grams, per = subwords(list(vocab)) if vocab else (np.zeros(0, np.int64), np.zeros(0, np.int64))
@@ -78,7 +79,7 @@ def train(texts: list[str], labels: list[int], share: float, epochs: int = EPOCH
     # passages: tokens one after another, cut every PASSAGE words of a document
     doc_of, starts, at = [], [], 0
     for i, d in enumerate(docs):
-        for k in range(0, len(d), PASSAGE):
+        for k in range(0, len(d), passage or max(len(d), 1)):
             doc_of.append(i)
             starts.append(at + k)
         at += len(d)
@@ -110,7 +111,7 @@ def train(texts: list[str], labels: list[int], share: float, epochs: int = EPOCH
         sharp = SHARP * min(1.0, (epoch + 1) / (epochs * 0.4))
         value = np.append(emb[used] @ soft, np.float32(0))
         word = np.add.reduceat(value[place], word_at) / per
-        z = np.add.reduceat(word[token], starts) / count * PASSAGE + bias
+        z = np.add.reduceat(word[token], starts) / count * SCALE + bias
         top = np.maximum.reduceat(z, first)
         part = np.exp(sharp * (z - np.repeat(top, n_pass)))
         total = np.add.reduceat(part, first)
@@ -118,7 +119,7 @@ def train(texts: list[str], labels: list[int], share: float, epochs: int = EPOCH
         p = 1 / (1 + np.exp(-np.clip(doc, -30, 30)))
         g_doc = weight * (p - y) / len(y)
         g_z = np.repeat(g_doc / total, n_pass) * part
-        g_token = np.repeat(g_z / count * PASSAGE, count)
+        g_token = np.repeat(g_z / count * SCALE, count)
         g_word = np.bincount(token, g_token, len(vocab)) / per
         g_value = np.bincount(place, g_word[owner], len(used) + 1)[:-1].astype(np.float32)
         g_soft = np.concatenate([g_value @ emb[used], [g_z.sum()]])
@@ -135,7 +136,7 @@ def train(texts: list[str], labels: list[int], share: float, epochs: int = EPOCH
     table[used] = emb[used] @ soft  # n-grams never seen have no say
     # classes had equal weight: back to the share of all labels
     prior = float(np.log(share / (1 - share))) if 0 < share < 1 else 0.0
-    return {"table": table, "bias": float(bias), "prior": prior, "share": share}
+    return {"table": table, "bias": float(bias), "prior": prior, "share": share, "passage": passage}
 
 
 class Scorer:
@@ -159,8 +160,8 @@ class Scorer:
             z = np.array([m["bias"]])
             if ws:
                 s = np.fromiter(map(get, ws), float, len(ws))
-                cut = np.arange(0, len(s), PASSAGE)
-                z = np.add.reduceat(s, cut) / np.diff(np.append(cut, len(s))) * PASSAGE + m["bias"]
+                cut = np.arange(0, len(s), m["passage"] or len(s))
+                z = np.add.reduceat(s, cut) / np.diff(np.append(cut, len(s))) * SCALE + m["bias"]
             top = z.max()
             doc = top + np.log(np.exp(SHARP * (z - top)).mean()) / SHARP
             out.append(float(1 / (1 + np.exp(-np.clip(doc + m["prior"], -30, 30)))))
@@ -179,12 +180,12 @@ def _scorer(model: dict):
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, train_rows=None, most: int = TRAIN_ROWS) -> dict:
+def fit(docs: DataFrame, labels: DataFrame, train_rows=None, most: int = TRAIN_ROWS, passage: int | None = PASSAGE) -> dict:
     """The model from labelled rows where ``train_rows`` (a condition on doc_id) holds."""
     rows = labelled.sample(docs, labels, "toxic", F.lit(True) if train_rows is None else train_rows, most)
     if rows["y"].nunique() < 2:
         return {"share": rows.attrs["share"]}
-    return train(rows["text"].tolist(), rows["y"].tolist(), rows.attrs["share"])
+    return train(rows["text"].tolist(), rows["y"].tolist(), rows.attrs["share"], passage=passage)
 
 
 def score_documents(docs: DataFrame, model: dict) -> DataFrame:

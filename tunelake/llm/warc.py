@@ -3,13 +3,13 @@
 ``write_archives`` turns every page into three records of one transaction,
 response (or revisit), request and metadata, the latter two tied to the first by
 WARC-Concurrent-To. The records are text that Spark's own text sink writes into
-compressed archives, one a partition, so an archive's size follows the
-session's partition size. Equal payloads of at least MIN_REVISIT bytes are
+compressed archives, one or more a partition, of ARCHIVE_RECORDS records at most. Equal payloads of at least MIN_REVISIT bytes are
 stored once: the smallest page_id is the response, the others are revisits that
 refer to its record.
 
 ``read_records`` parses archives by Content-Length in Arrow batches, so payloads
-may hold anything, line ends and record headers included. ``assemble`` brings
+may hold anything, line ends and record headers included; bytes of headers that aren't UTF-8 are
+replaced, a record without type or length fails. ``assemble`` brings
 the records of a transaction together by their concurrent-to identifiers, one
 aggregate with map-side combine, and emits one nested row per capture.
 
@@ -39,6 +39,7 @@ from tunelake.llm import text as T
 from tunelake.session import scratch_path
 
 MIN_REVISIT = 100
+ARCHIVE_RECORDS = 6_000  # of one archive at most: a reader holds one archive, so this and the pages' sizes bound it
 DATE = "2000-01-01T00:00:00Z"  # the pages have no capture time
 CRLF = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -104,7 +105,8 @@ def records(caps: DataFrame) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str, min_revisit: int = MIN_REVISIT) -> None:
-    records(captures(pages, min_revisit)).write.option("lineSep", CRLF + CRLF).option("compression", "gzip").text(path)
+    records(captures(pages, min_revisit)).write.option("lineSep", CRLF + CRLF).option("compression", "gzip").option(
+        "maxRecordsPerFile", ARCHIVE_RECORDS).text(path)
 
 
 RECORD = ("record_id string, type string, concurrent_to string, refers_to string, target_uri string, date string, "
@@ -124,8 +126,10 @@ def parse(stream) -> Iterator[dict]:
             raise ValueError(f"not a record: {line[:60]!r}")
         head = {}
         while (line := stream.readline().rstrip(b"\r\n")):
-            name, _, value = line.decode().partition(":")
+            name, _, value = line.decode("utf-8", "replace").partition(":")
             head[name.strip().lower()] = value.strip()
+        if not head.get("content-length", "").isdigit() or "warc-type" not in head:
+            raise ValueError(f"a record without type or length: {head}")
         n = int(head["content-length"])
         block = stream.read(n)
         if len(block) != n:
@@ -139,7 +143,7 @@ def _parsed(head: dict, block: bytes) -> dict:
     if kind == "response":
         payload = block.partition(b"\r\n\r\n")[2]
     elif kind == "metadata":
-        fields = {k.strip(): v.strip() for k, _, v in (x.partition(":") for x in block.decode().split(CRLF) if x)}
+        fields = {k.strip(): v.strip() for k, _, v in (x.partition(":") for x in block.decode("utf-8", "replace").split(CRLF) if x)}
     return {"record_id": bare("warc-record-id"), "type": kind, "concurrent_to": bare("warc-concurrent-to"),
             "refers_to": bare("warc-refers-to"), "target_uri": head.get("warc-target-uri"), "date": head.get("warc-date"),
             "content_type": head.get("content-type"), "payload_header": head.get("warc-payload-digest"),
