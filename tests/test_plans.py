@@ -11,7 +11,7 @@ import __spark_entry__ as E
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 ML = {"als_fit", "recommend_user", "similar_songs", "train_theme_classifier",
-      "classify_tracks", "collection_classifier", "word2vec_expand", "collection_word2vec"}
+      "classify_tracks", "collection_classifier", "word2vec_expand", "collection_word2vec", "embedding_expand"}
 
 
 def plan(spark, key):

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
+from tunelake.session import spread
+
 LETTERS = 10_000  # numbered letters in the order of rarity, the most that are broadcast
 TRIPLED = 16      # longest strings keyed by three letters
 PAIRED = 32       # and by two
@@ -109,7 +111,7 @@ def candidate_pairs(big: DataFrame, small: DataFrame, cutoff: float) -> DataFram
     if not 0.0 < cutoff <= 1.0:
         raise ValueError("cutoff must be in (0, 1]")
     order = letter_frequencies(big, "_b").persist()
-    b = lettered(big, "_b", order).withColumn("_len", F.size("letters"))
+    b = spread(lettered(big, "_b", order), "_b").withColumn("_len", F.size("letters"))
     s = lettered(small, "_s", order).withColumn("_ls", F.size("letters"))
     least = F.ceil(F.col("_len") * F.lit(cutoff / (2.0 - cutoff)) - F.lit(1e-9))  # of the letters a partner needs
     together = F.when((F.col("_len") <= TRIPLED) & (least >= 3), 3).when((F.col("_len") <= PAIRED) & (least >= 2), 2).otherwise(1)

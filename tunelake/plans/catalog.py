@@ -532,6 +532,36 @@ def q_word2vec_expand(spark, d):
     return kw.word2vec_expand(vectors, td.lexicon(spark, d, vocab), 5)
 
 
+def _embedding(spark, d):
+    """Word vectors factorised in blocks (``operators.embeddings``): any vocabulary, none of it on the driver."""
+    from tunelake.operators.embeddings import word_embeddings
+    return fitted_once("embedding", spark, d, lambda: word_embeddings(td.sentences(spark, d), td.vocabulary(spark, d)))
+
+
+@register("embedding_expand", None)
+def q_embedding_expand(spark, d):
+    from tunelake.operators import keywords as kw
+    return kw.word2vec_expand(_embedding(spark, d), td.lexicon(spark, d), 5)
+
+
+@register("word_cooccurrences", """
+WITH t AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}]+'), x -> x <> '') AS w FROM documents),
+p AS (SELECT row_number() OVER () AS r, w FROM t),
+e AS (SELECT r, unnest(w) AS w, unnest(generate_series(1, len(w))) AS i FROM p),
+c AS (SELECT least(a.w, b.w) AS x, greatest(a.w, b.w) AS y, CAST(count(*) AS BIGINT) AS n
+      FROM e a JOIN e b ON a.r = b.r AND b.i > a.i AND b.i <= a.i + 5 AND a.w <> b.w GROUP BY ALL)
+SELECT x AS word, CAST(count(*) AS BIGINT) AS neighbours, CAST(sum(n) AS BIGINT) AS meetings
+FROM (SELECT x, n FROM c UNION ALL SELECT y, n FROM c) u GROUP BY x""")
+def q_word_cooccurrences(spark, d):
+    """Per word: how many words are within five words of it, and how often: the counts behind the embedding."""
+    from tunelake.operators.embeddings import cooccurrences
+    pairs = cooccurrences(td.sentences(spark, d))
+    both = pairs.select(F.col("a").alias("h"), "n").unionByName(pairs.select(F.col("b").alias("h"), "n"))
+    sums = both.groupBy("h").agg(F.count(F.lit(1)).alias("neighbours"), F.sum("n").alias("meetings"))
+    names = td.vocabulary(spark, d).select("word", F.xxhash64("word").alias("h"))
+    return sums.join(names, "h").select("word", "neighbours", "meetings")
+
+
 # ---------------------------------------------------------------- recommendations
 
 def _inter(spark, d):
@@ -799,7 +829,7 @@ def _fit_classifier(spark, d):
     """Labels from the embedding collection's scores, as the reference's; letters-only feature words."""
     from tunelake.operators.classify import ThemeClassifier
     from tunelake.plans.themed import embedding_scorer
-    vectors, vocab = _w2v_vectors(spark, d)
+    vectors, vocab = _embedding(spark, d), td.vocabulary(spark, d)
     lyr = td.lyrics(spark, d, vocab)
     scorer = embedding_scorer(vectors, vocab, td.lexicon(spark, d, vocab), td.synsets(spark, d, vocab))
     clf, held_out = ThemeClassifier.fit(lyr, scorer=scorer, merged=merged(spark, d))

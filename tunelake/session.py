@@ -64,3 +64,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into ``spark.checkpoint.dir`` (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """``df`` over ``spark.sql.shuffle.partitions`` tasks, for rows that are small but dear to expand: AQE merges
+    shuffled partitions by their bytes, and would leave them to one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *cols)

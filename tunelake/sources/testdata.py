@@ -98,6 +98,12 @@ def positioned_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(tokens): every document's words in text order, one array a document."""
+    words = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), NOT_LETTERS), lambda w: w != "")
+    return table(spark, sf_dir, "documents").select(words.alias("tokens"))
+
+
 def lyric_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(track_id): every track with a text, also those without a word."""
     return table(spark, sf_dir, "documents").select(_id("TR", "doc_id").alias("track_id"))
