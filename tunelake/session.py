@@ -60,6 +60,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a written table under the scratch folder that nothing reads any more."""
+    base = checkpoint_dir(spark).rstrip("/")
+    if not path.startswith(f"{base}/tables/"):
+        raise ValueError(f"{path} is not a scratch table")
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files that no table refers to: it does so when the driver collects garbage,
+    which by itself may be long after they were of use."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into ``spark.checkpoint.dir`` (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
