@@ -49,6 +49,65 @@ def planted(n=300):
     return rows, labels
 
 
+def bucket(gram):
+    """The hash of one n-gram, letter by letter."""
+    mask, h = (1 << 64) - 1, 0
+    for c in gram:
+        h = (h * 0x100000001B3 + ord(c)) & mask
+    h = ((h ^ (h >> 29)) * 0xBF58476D1CE4E5B9 + len(gram)) & mask
+    return (h >> 40) % X.BUCKETS
+
+
+@pytest.mark.parametrize("passage", [2, None])
+def test_toxicity_scores_match_brute_force(passage):
+    """Words as means of their n-grams, passages as means of words, the smooth maximum, the prior."""
+    rng, r = np.random.default_rng(4), random.Random(4)
+    m = {"table": rng.normal(size=X.BUCKETS).astype(np.float32), "bias": -0.7, "prior": 0.4, "share": 0.1, "passage": passage}
+    texts = [" ".join("".join(r.choice("abÀß𝔸1-") for _ in range(r.randrange(1, 7))) for _ in range(r.randrange(12))) for _ in range(60)]
+    texts += ["", " \n ", "a", "x " * 500]
+    for text, got in zip(texts, X.Scorer(m)(texts), strict=True):
+        means = []
+        for w in text.lower().split():
+            w = f"<{w}>"
+            grams = [w[i:i + n] for n in X.GRAMS for i in range(len(w) - n + 1)]
+            means.append(sum(float(m["table"][bucket(g)]) for g in grams) / len(grams))
+        size = passage or max(len(means), 1)
+        parts = [means[i:i + size] for i in range(0, len(means), size)]
+        z = [sum(p) / len(p) * X.SCALE - 0.7 for p in parts] or [-0.7]
+        doc = np.log(np.mean([np.exp(X.SHARP * v) for v in z])) / X.SHARP
+        assert abs(got - 1 / (1 + np.exp(-(doc + 0.4)))) < 1e-5
+
+
+def test_quality_scores_match_enumeration():
+    """Length-weighted marginals of a document by the sum over all labelings of its lines."""
+    rng = np.random.default_rng(2)
+    m = {"w": rng.normal(size=3 * C.N_OWN + 1), "e": rng.normal(size=(2, 2))}
+    for text in ("one line", "GOOD\nbad line here!\n\nx", "a\n" * 7, ""):
+        lines = text.split("\n")
+        s = C.line_features(lines) @ m["w"]
+        weigh = {p: np.exp(sum(s[i] / 2 if y else -s[i] / 2 for i, y in enumerate(p)) + sum(m["e"][a, b] for a, b in zip(p, p[1:])))
+                 for p in itertools.product((0, 1), repeat=len(lines))}
+        size = np.array([max(len(x), 1) for x in lines])
+        good = [sum(v for p, v in weigh.items() if p[i]) / sum(weigh.values()) for i in range(len(lines))]
+        assert abs(C.score([text], m)[0] - size @ good / size.sum()) < 1e-9
+
+
+def test_marginals_are_the_gradient_of_the_log_partition():
+    """What training uses: node and edge marginals against finite differences."""
+    rng = np.random.default_rng(5)
+    length, nodes, edges = np.array([3, 1, 5]), rng.normal(size=(3, 5, 2)), rng.normal(size=(2, 2))
+    node, pair, _ = C.marginals(nodes, edges, length)
+    total = lambda: C.marginals(nodes, edges, length)[2].sum()
+    for array, want in ((nodes, node), (edges, pair)):
+        for at in np.ndindex(array.shape):
+            kept, sides = array[at], []
+            for step in (1e-5, -1e-5):
+                array[at] = kept + step
+                sides.append(total())
+            array[at] = kept
+            assert abs((sides[0] - sides[1]) / 2e-5 - want[at]) < 1e-6
+
+
 def test_long_documents_of_one_class_are_trained_on():
     """Over 60,000 lines, the longer documents all of one class."""
     bad, good = "\n".join(["BUY NOW!!! $$$"] * 40), "\n".join(["a plain line of quiet words to read."] * 60)

@@ -171,3 +171,17 @@ def test_crowded_buckets_lose_no_link(spark, docs, monkeypatch, crowd):
         texts += [" ".join(w)] + [" ".join(w[:-1])] * rng.choice([0, 1])
     rows = list(enumerate(texts))
     assert got(spark, docs, rows) == brute(rows)
+
+
+def test_bits_bound_what_sets_share():
+    import numpy as np
+    rng = np.random.default_rng(6)
+    draw = lambda n: np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+    for _ in range(200):
+        x = draw(rng.integers(1, 400))
+        y = np.unique(np.concatenate([x[rng.random(len(x)) < rng.random()], draw(rng.integers(0, 400)), x[:1]]))
+        shared = len(np.intersect1d(x, y))
+        bound = J._most_shared(len(x), J._bits(x), len(y), J._bits(y))
+        assert shared <= bound <= min(len(x), len(y))
+    x, y = draw(500), draw(500)
+    assert J._most_shared(500, J._bits(x), 500, J._bits(y)) < 150

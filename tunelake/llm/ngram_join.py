@@ -16,7 +16,7 @@ of E, sign all. Weights and E are chosen per band by cost: signatures to write a
 hold nothing but n-grams which many sets have. Crowds there are met in linear time (below), so
 the choice follows the sizes of sets and not their number.
 
-Candidates are verified exactly on whole sets. Equal sets are one node. In a
+Candidates are verified exactly on whole sets, after a bound on what they can share from one byte a token. Equal sets are one node. In a
 bucket the least node leads; every node is first compared with one leader only, that
 of most of its buckets, so a group of near copies costs its size, not its square; components then tell which nodes
 of a bucket are still apart, and only pairs of different components are compared
@@ -55,7 +55,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunelake.llm import text as T
-from tunelake.session import cut_lineage, scratch_path
+from tunelake.session import cut_lineage, drop_scratch, release, scratch_path
 
 N = 3
 PERCENT = 90           # similarity at which sets link
@@ -182,13 +182,44 @@ def _sign(n: int, schemes: list[tuple[int, int, int, int, int, int]], percent: i
     return run
 
 
+def _bits(tokens: np.ndarray) -> bytes:
+    """One bit a token, in 8 places a token or more (a power of two)."""
+    m = max(64, 1 << (8 * len(tokens) - 1).bit_length())
+    out = np.zeros(m, bool)
+    out[((tokens >> np.uint64(9)) & np.uint64(m - 1)).astype(np.int64)] = True
+    return np.packbits(out, bitorder="little").tobytes()
+
+
 def _tokens(n: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sets = Sets(n)
         for batch in batches:
             for a in range(0, len(batch), 500):
                 ts = [t for t in map(sets, batch["text"].iloc[a:a + 500]) if len(t)]
-                yield pd.DataFrame({"node": np.array([_node(t) for t in ts], np.int64), "tokens": [t.tobytes() for t in ts]})
+                yield pd.DataFrame({"node": np.array([_node(t) for t in ts], np.int64), "n": np.array([len(t) for t in ts], np.int32),
+                                    "bits": [_bits(t) for t in ts], "tokens": [t.tobytes() for t in ts]})
+    return run
+
+
+def _most_shared(nx: int, bx: bytes, ny: int, by: bytes) -> int:
+    """An upper bound of the tokens that two sets share: a token whose bit the other set lacks isn't shared."""
+    x, y = np.frombuffer(bx, np.uint64), np.frombuffer(by, np.uint64)
+    while len(x) > len(y):  # bits of fewer places: halves laid over each other
+        x = x[:len(x) // 2] | x[len(x) // 2:]
+    while len(y) > len(x):
+        y = y[:len(y) // 2] | y[len(y) // 2:]
+    return min(nx - int(np.bitwise_count(x & ~y).sum()), ny - int(np.bitwise_count(y & ~x).sum()))
+
+
+def _possible(percent: int):
+    """Pairs whose sizes and bits allow a link."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keep = []
+            for nx, bx, ny, by in zip(batch["nx"].tolist(), batch["bx"], batch["ny"].tolist(), batch["by"], strict=True):
+                keep.append(min(nx, ny) * 100 >= percent * max(nx, ny)
+                            and (100 + percent) * _most_shared(nx, bx, ny, by) >= percent * (nx + ny))
+            yield batch.loc[np.array(keep, bool), ["u", "v"]] if keep else batch[["u", "v"]]
     return run
 
 
@@ -298,9 +329,18 @@ def _sets_of(sets: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    x = sets.select(F.col("node").alias("u"), F.col("tokens").alias("x"))
-    y = sets.select(F.col("node").alias("v"), F.col("tokens").alias("y"))
-    return cut_lineage(pairs.join(x, "u").join(y, "v").select("u", "v", "x", "y").mapInPandas(_linked(percent), "u long, v long"))
+    """Pairs that link: first by a byte a token, which rules out nearly all others, then exactly on whole sets."""
+    bits = sets.select("node", "n", "bits").dropDuplicates(["node"])
+    x = bits.select(F.col("node").alias("u"), F.col("n").alias("nx"), F.col("bits").alias("bx"))
+    y = bits.select(F.col("node").alias("v"), F.col("n").alias("ny"), F.col("bits").alias("by"))
+    near = pairs.join(x, "u").join(y, "v").select("u", "v", "nx", "bx", "ny", "by").mapInPandas(_possible(percent), "u long, v long")
+    near = cut_lineage(near)
+    whole = _sets_of(sets.select("node", "tokens"), near)
+    x = whole.select(F.col("node").alias("u"), F.col("tokens").alias("x"))
+    y = whole.select(F.col("node").alias("v"), F.col("tokens").alias("y"))
+    out = cut_lineage(near.join(x, "u").join(y, "v").select("u", "v", "x", "y").mapInPandas(_linked(percent), "u long, v long"))
+    release(pairs.sparkSession)
+    return out
 
 
 def _labelled(docs: DataFrame, n: int, percent: int, tag: Column) -> DataFrame:
@@ -314,30 +354,33 @@ def _labelled(docs: DataFrame, n: int, percent: int, tag: Column) -> DataFrame:
     told = rows.select(F.col("doc_id").cast("string").alias("id"), "text", tag.alias("tag"))
     told.mapInPandas(_sign(n, schemes, percent), "id string, tag long, n int, node long, keys array<long>").select(
         F.col("id").cast("long").alias("doc_id"), "tag", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"), "keys").write.parquet(at)
-    signed = spark.read.parquet(at)
+    stored = spark.read.parquet(at)
+    signed = cut_lineage(stored.select("doc_id", "tag", "n", "node"))
     # rows whose set another row has: the one with the smallest doc_id signs for them
     same = signed.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("_first"), F.count(F.lit(1)).alias("c")).where("c > 1")
     copies = signed.select("doc_id", "node").join(same, "node").where("doc_id <> _first").select("doc_id", "node").distinct()
-    s = signed.where(F.size("keys") > 0).join(_if_few(cut_lineage(copies)), ["doc_id", "node"], "left_anti").select(
+    s = stored.where(F.size("keys") > 0).select("doc_id", "node", "keys").join(_if_few(cut_lineage(copies)), ["doc_id", "node"], "left_anti").select(
         F.explode("keys").alias("key"), "node")
     # one exchange of all signatures; keys of a single node end there
     w = Window.partitionBy("key")
     met = s.select("key", "node", F.min("node").over(w).alias("lead"), F.max("node").over(w).alias("_last"))
     buckets = cut_lineage(met.where("lead < _last").drop("_last").distinct())
+    del met, s, stored
+    drop_scratch(spark, at)
+    release(spark)
 
     nodes = buckets.select("node").distinct()
     ids = cut_lineage(signed.join(nodes, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")))
     wanted = _if_few(ids.select(F.col("doc_id").alias("_id")).distinct())
     chosen = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
     at = scratch_path(spark, "sets")
-    chosen.mapInPandas(_tokens(n), "node long, tokens binary").write.parquet(at)
+    chosen.mapInPandas(_tokens(n), "node long, n int, bits binary, tokens binary").write.parquet(at)
     unpacked = spark.read.parquet(at)
-    sets = unpacked.join(ids.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
     led = buckets.where("node <> lead").groupBy("node", "lead").agg(F.count(F.lit(1)).alias("c"))
     stars = cut_lineage(led.groupBy("node").agg(F.max_by("lead", F.struct("c", "lead")).alias("lead")).select(
         F.col("lead").alias("u"), F.col("node").alias("v")))
-    labels = cut_lineage(components(_verify(stars, sets, percent)))
+    labels = cut_lineage(components(_verify(stars, unpacked, percent)))
     # a label is the link that stands for all that made it
     grown = lambda labels, more: components(labels.select(F.col("node").alias("u"), F.col("label").alias("v")).union(more))
     of = lambda b, labels: b.select("key", "node").join(labels, "node", "left").select(
@@ -345,7 +388,7 @@ def _labelled(docs: DataFrame, n: int, percent: int, tag: Column) -> DataFrame:
     b = cut_lineage(_mixed(of(buckets, labels)))
     for salt in range(ROUNDS):
         pairs = cut_lineage(_apart(_mixed(_dealt(b.where(F.col("members") > CROWD), salt))).distinct())
-        more = _verify(pairs, _sets_of(unpacked, pairs), percent)
+        more = _verify(pairs, unpacked, percent)
         linked = more.count()
         if not linked:
             break
@@ -360,10 +403,11 @@ def _labelled(docs: DataFrame, n: int, percent: int, tag: Column) -> DataFrame:
     rest = apart.distinct().join(
         stars.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), ["u", "v"], "left_anti")
     rest = cut_lineage(rest)
-    more = _verify(rest, _sets_of(unpacked, rest), percent)
+    more = _verify(rest, unpacked, percent)
     final = labels if more.isEmpty() else grown(labels, more)
-    named = signed.join(final, "node", "left").select("doc_id", "tag", "n", "node", F.coalesce("label", "node").alias("label"))
-    return cut_lineage(named)
+    named = cut_lineage(signed.join(final, "node", "left").select("doc_id", "tag", "n", "node", F.coalesce("label", "node").alias("label")))
+    drop_scratch(spark, at)
+    return named
 
 
 def ngram_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
