@@ -16,13 +16,15 @@ from tunelake.operators import toptracks as tt
 
 
 def store_served(merged: DataFrame, path: str) -> DataFrame:
-    """Write the table by falling play count to the new ``path`` and its contents to ``path``_files; read it back."""
+    """Write the table by falling play count to ``path`` and its contents to ``path``_files; read it back.
+
+    A table without its contents is one whose build did not end; it is written again."""
     spark = merged.sparkSession
-    merge.sort_by_popularity(merged).write.parquet(path)
+    merge.sort_by_popularity(merged).write.mode("overwrite").parquet(path)
     stored = spark.read.parquet(path)
     files = stored.groupBy(F.col("_metadata.file_name").alias("file"), "majority_genre").agg(
         F.count(F.lit(1)).alias("n"), F.min("play_count").alias("low"), F.max("play_count").alias("high"))
-    files.coalesce(1).write.parquet(f"{path}_files")
+    files.coalesce(1).write.mode("overwrite").parquet(f"{path}_files")
     return stored
 
 
