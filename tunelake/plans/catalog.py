@@ -545,7 +545,7 @@ def q_embedding_expand(spark, d):
 
 
 @register("word_cooccurrences", """
-WITH t AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}]+'), x -> x <> '') AS w FROM documents),
+WITH t AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '\\p{L}+') AS w FROM documents),
 p AS (SELECT row_number() OVER () AS r, w FROM t),
 e AS (SELECT r, unnest(w) AS w, unnest(generate_series(1, len(w))) AS i FROM p),
 c AS (SELECT least(a.w, b.w) AS x, greatest(a.w, b.w) AS y, CAST(count(*) AS BIGINT) AS n
