@@ -1,0 +1,85 @@
+"""Short lists of words are broadcast whatever the planner thinks of their size, so large tables stay where they are."""
+
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tunelake.operators import keywords as kw
+from tunelake.operators import lyrics as ly
+from tunelake.operators import vectors as vec
+from tunelake.sources import testdata as td
+from tunelake.sources import text
+from tunelake.session import if_small
+
+LYRICS = "track_id string, mxm_track_id bigint, word_id bigint, word string, cnt bigint"
+
+
+@pytest.fixture
+def unhinted(spark):
+    """The planner broadcasts nothing by itself."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield spark
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dictionary_is_not_shuffled_by_its_rests(unhinted):
+    words = unhinted.createDataFrame([("lovve",), ("a considerably longer wrod",)], "word string")
+    d = unhinted.createDataFrame([("love", 1), ("a considerably longer word", 2), ("war", 3)], "word string, word_id bigint")
+    p = plan(kw.spelling_candidates(words, d, 2))
+    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+    got = {r.word: r.correction for r in kw.spell_correct(words, d).collect()}
+    assert got == {"lovve": "love", "a considerably longer wrod": "a considerably longer word"}
+
+
+def test_lyrics_are_not_shuffled_by_word(unhinted):
+    rows = unhinted.createDataFrame([("T1", 1, 1, "a", 3), ("T2", 2, 2, "b", 9), ("T2", 2, 1, "a", 1)], LYRICS)
+    lexicon = unhinted.createDataFrame([("love", "a"), ("war", "b"), ("war", "a"), ("war", "b")], "theme string, term string")
+    scores = ly.theme_scores(rows, lexicon)
+    assert "SortMergeJoin" not in plan(scores)
+    assert {tuple(r) for r in scores.collect()} == {("love", "T1", 3), ("love", "T2", 1), ("war", "T1", 3), ("war", "T2", 10)}
+
+
+def test_more_rows_than_allowed_are_not_broadcast(unhinted):
+    one = unhinted.range(50)
+    assert "BroadcastHashJoin" in plan(unhinted.range(90).join(if_small(one, 50), "id"))
+    more = unhinted.range(90).join(if_small(one, 49), "id")
+    assert "BroadcastHashJoin" not in plan(more) and more.count() == 50
+
+
+def test_pivot_is_one_aggregate(spark):
+    rows = spark.createDataFrame([("T1", 1, 1, "a", 3), ("T2", 2, 2, "b", 9), ("T1", 1, 3, "c", 5), ("T1", 1, 1, "a", 4),
+                                  ("T3", 3, 3, "c", 1), (None, 4, 1, "a", 2)], LYRICS)
+    wide = text.lyrics_pivot(rows, ["a", "b"])
+    assert "Join" not in plan(wide)
+    assert {tuple(r) for r in wide.collect()} == {("T1", 7, 0), ("T2", 0, 9), ("T3", 0, 0), (None, 0, 0)}
+
+
+def test_centroids_by_parts(monkeypatch):
+    sample = np.random.default_rng(5).normal(size=(50, 4))
+    whole = vec.centroids_of(sample, 6)
+    monkeypatch.setattr(vec, "PART_ROWS", 7)
+    assert np.allclose(vec.centroids_of(sample, 6), whole)
+
+
+@pytest.mark.parametrize("often", [0, 2, 10_000])
+def test_lyrics_of_repeated_and_null_documents(spark, tmp_path, monkeypatch, often):
+    """Texts under one id are counted together, words in few texts and in many alike."""
+    monkeypatch.setattr(td, "OFTEN", often)
+    docs = [(1, "love love war"), (1, "Love, x"), (2, None), (3, ""), (None, "war war y"), (None, "war"), (4, "12 a-b 1a")]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = td.lyrics(spark, str(tmp_path)).collect()
+    want = Counter()
+    for i, t in docs:
+        want.update((i, w) for w in "".join(c.lower() if c.isalpha() else " " for c in t or "").split())
+    assert Counter({(r.mxm_track_id, r.word): r.cnt for r in got}) == want and len(got) == len(want)
+    numbers = {r.word: r.word_id for r in td.vocabulary(spark, str(tmp_path)).collect()}
+    assert all(r.word_id == numbers[r.word] and r.track_id == (r.mxm_track_id and f"TR{r.mxm_track_id}") for r in got)
