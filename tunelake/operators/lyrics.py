@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tunelake.functions.strings import is_alpha, py_strip
 from tunelake.functions.stopwords import ENGLISH
 from tunelake.operators.toptracks import popularity
+from tunelake.session import if_small
 
 HEAVY_SHARE = 0.01       # of the tracks: words in more are joined by broadcast
 HEAVY_WORDS = 1_000_000  # of 16 bytes, the most that are broadcast
@@ -36,8 +37,8 @@ def filter_vocabulary(vocabulary: DataFrame, stop_words: list[str] | None = None
 
 def theme_scores(lyrics: DataFrame, lexicon: DataFrame) -> DataFrame:
     """(theme, track_id, score): per track, the summed counts of the theme's words;
-    zero scores dropped. All themes in one aggregate."""
-    words = lexicon.select("theme", F.col("term").alias("word")).distinct()
+    zero scores dropped. All themes in one aggregate; for a few words the lyrics stay where they are."""
+    words = if_small(lexicon.select("theme", F.col("term").alias("word")).distinct())
     joined = lyrics.select("track_id", "word", "cnt").join(words, "word")
     scores = joined.groupBy("theme", "track_id").agg(F.sum("cnt").cast("bigint").alias("score"))
     return scores.where(F.col("score") != 0)
@@ -55,7 +56,8 @@ def lookup_tracks(merged: DataFrame, ids: DataFrame, verbose: bool = False, stri
     """
     from tunelake.operators.ids import sequential_index
 
-    found = merged.join(ids.select("track_id").distinct(), "track_id", "left_semi")
+    wanted = ids.select("track_id").distinct()
+    found = merged.join(if_small(wanted) if bounded else wanted, "track_id", "left_semi")
     if strict:
         n_ids, n_found = ids.select("track_id").distinct().count(), found.count()
         if n_ids != n_found:
@@ -86,7 +88,7 @@ def theme_top_tracks(scores: DataFrame, merged: DataFrame, theme: str, n: int =
     """
     if n <= 0:
         raise ValueError("number of tracks must be positive")
-    best = top_scored(scores, theme, n)
+    best = if_small(top_scored(scores, theme, n))
     out = lookup_tracks(merged, best, verbose or with_score, strict, bounded=True)
     if not with_score:
         return out

@@ -747,7 +747,8 @@ SELECT track_id, theme_label, CAST(dense_rank() OVER (ORDER BY theme_label) - 1
 FROM ({WEAK_LABELS_SQL}) w""", "merged", "theme_scores"))
 def q_label_encode(spark, d):
     from tunelake.operators.classify import encode_labels
-    lab = _labels_of(spark, d)
+    from tunelake.session import cut_lineage
+    lab = cut_lineage(_labels_of(spark, d))  # 500 a theme, read by the fit and by the result
     return encode_labels(lab).transform(lab).select("track_id", "theme_label", "label")
 
 
