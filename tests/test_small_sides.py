@@ -1,9 +1,11 @@
 """Short lists of words are broadcast whatever the planner thinks of their size, so large tables stay where they are."""
 
+import re
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tunelake.operators import keywords as kw
 from tunelake.operators import lyrics as ly
@@ -83,3 +85,15 @@ def test_lyrics_of_repeated_and_null_documents(spark, tmp_path, monkeypatch, oft
     assert Counter({(r.mxm_track_id, r.word): r.cnt for r in got}) == want and len(got) == len(want)
     numbers = {r.word: r.word_id for r in td.vocabulary(spark, str(tmp_path)).collect()}
     assert all(r.word_id == numbers[r.word] and r.track_id == (r.mxm_track_id and f"TR{r.mxm_track_id}") for r in got)
+
+
+def test_sample_is_chosen_before_it_reaches_the_driver(spark, monkeypatch):
+    """Rows that the hash bound leaves are few, and hold the least hashes."""
+    monkeypatch.setattr(vec, "SAMPLE_ROWS", 200)
+    rows = spark.range(0, 20_000, 1, 8).select(F.col("id").alias("cid"), F.array(F.col("id").cast("double")).alias("vec"))
+    least = rows.orderBy(F.xxhash64("cid"), "cid").limit(200).collect()
+    top = vec.sampled(rows, 20_000)
+    assert [r.vec for r in top.collect()] == [r.vec for r in least]
+    bound = re.findall(r"xxhash64\(\S+, 42\) <= (-?\d+)", plan(top))
+    assert bound and rows.where(F.xxhash64("cid") <= F.lit(int(bound[0]))).count() < 500
+    assert vec.sampled(rows.limit(20), 20).count() == 20
