@@ -35,7 +35,7 @@ nodes; it changes the cost, never the links.
 
 Scale: rows with the set of another row sign once; signatures are exchanged once, as
 (key, node), and keys of a single node end there; joins by bucket can be split
-when skewed, sets travel only for nodes in candidates. Tables between passes go
+when skewed, sets travel only for nodes in candidates, at most about as much at a time as the sets take. Tables between passes go
 to the shared scratch folder. Sets and nodes are identified by 64-bit hashes.
 
 Defined cases: null, empty and blank texts have the empty set (0) and are linked
@@ -219,7 +219,7 @@ def _possible(percent: int):
             for nx, bx, ny, by in zip(batch["nx"].tolist(), batch["bx"], batch["ny"].tolist(), batch["by"], strict=True):
                 keep.append(min(nx, ny) * 100 >= percent * max(nx, ny)
                             and (100 + percent) * _most_shared(nx, bx, ny, by) >= percent * (nx + ny))
-            yield batch.loc[np.array(keep, bool), ["u", "v"]] if keep else batch[["u", "v"]]
+            yield batch.loc[np.array(keep, bool), ["u", "v", "nx"]] if keep else batch[["u", "v", "nx"]]
     return run
 
 
@@ -328,18 +328,35 @@ def _sets_of(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return sets.join(_if_few(nodes), "node", "left_semi").dropDuplicates(["node"])
 
 
+def _turns(pairs: DataFrame, load: float) -> Iterator[DataFrame]:
+    """The pairs (u, v) in ``load`` parts, rounded up, one after another; each one's shuffle files go before the next begins."""
+    n = max(1, math.ceil(load))
+    for k in range(n):
+        yield pairs.where(F.pmod(F.xxhash64("u", "v"), F.lit(n)) == k).select("u", "v")
+        release(pairs.sparkSession)
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs that link: first by a byte a token, which rules out nearly all others, then exactly on whole sets."""
     bits = sets.select("node", "n", "bits").dropDuplicates(["node"])
     x = bits.select(F.col("node").alias("u"), F.col("n").alias("nx"), F.col("bits").alias("bx"))
     y = bits.select(F.col("node").alias("v"), F.col("n").alias("ny"), F.col("bits").alias("by"))
-    near = pairs.join(x, "u").join(y, "v").select("u", "v", "nx", "bx", "ny", "by").mapInPandas(_possible(percent), "u long, v long")
-    near = cut_lineage(near)
-    whole = _sets_of(sets.select("node", "tokens"), near)
-    x = whole.select(F.col("node").alias("u"), F.col("tokens").alias("x"))
-    y = whole.select(F.col("node").alias("v"), F.col("tokens").alias("y"))
-    out = cut_lineage(near.join(x, "u").join(y, "v").select("u", "v", "x", "y").mapInPandas(_linked(percent), "u long, v long"))
-    release(pairs.sparkSession)
+    # what pairs carry goes many times, once for each pair of a node: they take turns, so that no turn sends more than
+    # about the sets themselves
+    own = bits.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("c")).first()
+    near, own_n = None, own["n"] or 1
+    for now in _turns(pairs, pairs.count() / max(own["c"], 1) / 8):  # a byte a token, of 8 in a set
+        some = now.join(x, "u").join(y, "v").select("u", "v", "nx", "bx", "ny", "by").mapInPandas(_possible(percent), "u long, v long, nx int")
+        some = cut_lineage(some)
+        near = some if near is None else near.union(some)
+    out = None
+    for now in _turns(near, (near.agg(F.sum("nx")).first()[0] or 0) / own_n):
+        whole = _sets_of(sets.select("node", "tokens"), now)
+        x = whole.select(F.col("node").alias("u"), F.col("tokens").alias("x"))
+        y = whole.select(F.col("node").alias("v"), F.col("tokens").alias("y"))
+        some = cut_lineage(now.join(x, "u").join(y, "v").select("u", "v", "x", "y").mapInPandas(_linked(percent), "u long, v long"))
+        out = some if out is None else out.union(some)
+        del whole, x, y
     return out
 
 
