@@ -34,9 +34,10 @@ share such a one. The order is by counts of n-grams in CELLS hashed cells over t
 nodes; it changes the cost, never the links.
 
 Scale: rows with the set of another row sign once; signatures are exchanged once, as
-(key, node), and keys of a single node end there; joins by bucket can be split
-when skewed, sets travel only for nodes in candidates, at most about as much at a time as the sets take. Tables between passes go
-to the shared scratch folder. Sets and nodes are identified by 64-bit hashes.
+(key, node), in up to KEY_TURNS parts by key, and keys of a single node end there; joins by bucket can be split
+when skewed, sets travel only for nodes in candidates, at a time about a quarter of what the sets take (small
+tables: at most as much as they take). Tables between passes go to the shared scratch folder and are dropped after use. Sets and nodes are
+identified by 64-bit hashes.
 
 Defined cases: null, empty and blank texts have the empty set (0) and are linked
 with nothing; fewer than N words are one n-gram; a component is named by its
@@ -70,6 +71,10 @@ ROOM = 8               # nodes of a crowded bucket that meet in a round
 ROUNDS = 3             # at most; the last is the one that links less than a tenth of its pairs
 CELLS = 1 << 14        # counters behind the order of rarity: bounds the driver's and the tasks' copy
 BROADCAST_NODES = 1_000_000  # ids of 16 bytes
+KEY_TURNS = 4          # parts in which signatures are exchanged, at most
+TURN_KEYS = 8_000_000  # signatures that go in one part anyway
+SET_SHARE = 4          # pairs carry at a time one part in so many of what the sets take,
+TURN_BYTES = 1 << 26   # or these bytes, if the sets take more
 
 
 def bands(percent: int, largest: int) -> list[tuple[int, int, int]]:
@@ -323,9 +328,9 @@ def _if_few(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES else ids
 
 
-def _sets_of(sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    nodes = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
-    return sets.join(_if_few(nodes), "node", "left_semi").dropDuplicates(["node"])
+def _sets_of(sets: DataFrame, ids: Column, pairs: DataFrame) -> DataFrame:
+    """Sets of the nodes on one side of the pairs."""
+    return sets.join(_if_few(pairs.select(ids.alias("node")).distinct()), "node", "left_semi").dropDuplicates(["node"])
 
 
 def _turns(pairs: DataFrame, load: float) -> Iterator[DataFrame]:
@@ -341,22 +346,24 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     bits = sets.select("node", "n", "bits").dropDuplicates(["node"])
     x = bits.select(F.col("node").alias("u"), F.col("n").alias("nx"), F.col("bits").alias("bx"))
     y = bits.select(F.col("node").alias("v"), F.col("n").alias("ny"), F.col("bits").alias("by"))
-    # what pairs carry goes many times, once for each pair of a node: they take turns, so that no turn sends more than
-    # about the sets themselves
+    # what pairs carry goes many times, once for each pair of a node: they take turns. The sets of a turn's own nodes
+    # are no more than what its pairs carry
     own = bits.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("c")).first()
-    near, own_n = None, own["n"] or 1
-    for now in _turns(pairs, pairs.count() / max(own["c"], 1) / 8):  # a byte a token, of 8 in a set
+    size = own["n"] or 1
+    once = max(8 * size / SET_SHARE, min(8 * size, TURN_BYTES))
+    near = None
+    for now in _turns(pairs, pairs.count() * (size / max(own["c"], 1)) / once):  # a byte a token
         some = now.join(x, "u").join(y, "v").select("u", "v", "nx", "bx", "ny", "by").mapInPandas(_possible(percent), "u long, v long, nx int")
         some = cut_lineage(some)
         near = some if near is None else near.union(some)
     out = None
-    for now in _turns(near, (near.agg(F.sum("nx")).first()[0] or 0) / own_n):
-        whole = _sets_of(sets.select("node", "tokens"), now)
-        x = whole.select(F.col("node").alias("u"), F.col("tokens").alias("x"))
-        y = whole.select(F.col("node").alias("v"), F.col("tokens").alias("y"))
+    for now in _turns(near, 8 * (near.agg(F.sum("nx")).first()[0] or 0) / once):
+        whole = sets.select("node", "tokens")
+        x = _sets_of(whole, F.col("u"), now).select(F.col("node").alias("u"), F.col("tokens").alias("x"))
+        y = _sets_of(whole, F.col("v"), now).select(F.col("node").alias("v"), F.col("tokens").alias("y"))
         some = cut_lineage(now.join(x, "u").join(y, "v").select("u", "v", "x", "y").mapInPandas(_linked(percent), "u long, v long"))
         out = some if out is None else out.union(some)
-        del whole, x, y
+        del x, y
     return out
 
 
@@ -370,19 +377,26 @@ def _labelled(docs: DataFrame, n: int, percent: int, tag: Column) -> DataFrame:
     # ids travel as text: pandas would make floats of a nullable column
     told = rows.select(F.col("doc_id").cast("string").alias("id"), "text", tag.alias("tag"))
     told.mapInPandas(_sign(n, schemes, percent), "id string, tag long, n int, node long, keys array<long>").select(
-        F.col("id").cast("long").alias("doc_id"), "tag", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"), "keys").write.parquet(at)
+        F.col("id").cast("long").alias("doc_id"), "tag", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"), "keys",
+        F.size("keys").alias("n_keys")).write.parquet(at)
     stored = spark.read.parquet(at)
     signed = cut_lineage(stored.select("doc_id", "tag", "n", "node"))
     # rows whose set another row has: the one with the smallest doc_id signs for them
     same = signed.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("_first"), F.count(F.lit(1)).alias("c")).where("c > 1")
     copies = signed.select("doc_id", "node").join(same, "node").where("doc_id <> _first").select("doc_id", "node").distinct()
-    s = stored.where(F.size("keys") > 0).select("doc_id", "node", "keys").join(_if_few(cut_lineage(copies)), ["doc_id", "node"], "left_anti").select(
-        F.explode("keys").alias("key"), "node")
-    # one exchange of all signatures; keys of a single node end there
+    s = stored.where("n_keys > 0").select("doc_id", "node", "keys").join(_if_few(cut_lineage(copies)), ["doc_id", "node"], "left_anti")
+    buckets_at = scratch_path(spark, "buckets")
+    turns = min(KEY_TURNS, 1 + (stored.agg(F.sum("n_keys")).first()[0] or 0) // TURN_KEYS)
+    # every signature is exchanged once; keys of a single node end there
     w = Window.partitionBy("key")
-    met = s.select("key", "node", F.min("node").over(w).alias("lead"), F.max("node").over(w).alias("_last"))
-    buckets = cut_lineage(met.where("lead < _last").drop("_last").distinct())
-    del met, s, stored
+    for k in range(turns):
+        mine = s.select(F.explode(F.filter("keys", lambda key: F.pmod(key, F.lit(turns)) == k)).alias("key"), "node")  # noqa: B023
+        met = mine.select("key", "node", F.min("node").over(w).alias("lead"), F.max("node").over(w).alias("_last"))
+        met.where("lead < _last").drop("_last").distinct().write.mode("append").parquet(buckets_at)
+        del mine, met
+        release(spark)
+    buckets = spark.read.schema("key long, node long, lead long").parquet(buckets_at)
+    del s, stored
     drop_scratch(spark, at)
     release(spark)
 
@@ -403,8 +417,11 @@ def _labelled(docs: DataFrame, n: int, percent: int, tag: Column) -> DataFrame:
     of = lambda b, labels: b.select("key", "node").join(labels, "node", "left").select(
         "key", "node", F.coalesce("label", "node").alias("label"))
     b = cut_lineage(_mixed(of(buckets, labels)))
+    del led, nodes, buckets
+    drop_scratch(spark, buckets_at)
     for salt in range(ROUNDS):
         pairs = cut_lineage(_apart(_mixed(_dealt(b.where(F.col("members") > CROWD), salt))).distinct())
+        release(spark)
         more = _verify(pairs, unpacked, percent)
         linked = more.count()
         if not linked:
@@ -417,9 +434,12 @@ def _labelled(docs: DataFrame, n: int, percent: int, tag: Column) -> DataFrame:
     crowded = b.where(F.col("members") > CROWD)
     if not crowded.isEmpty():
         apart = apart.union(_apart(cut_lineage(_mixed(_by_rarity(crowded, unpacked, percent))), percent))
+        release(spark)
     rest = apart.distinct().join(
         stars.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), ["u", "v"], "left_anti")
     rest = cut_lineage(rest)
+    del apart, crowded, b
+    release(spark)
     more = _verify(rest, unpacked, percent)
     final = labels if more.isEmpty() else grown(labels, more)
     named = cut_lineage(signed.join(final, "node", "left").select("doc_id", "tag", "n", "node", F.coalesce("label", "node").alias("label")))
