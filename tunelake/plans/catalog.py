@@ -569,6 +569,11 @@ def _inter(spark, d):
     return rc.interactions(td.triplets(spark, d))
 
 
+def _stored_inter(spark, d):
+    """The interactions, stored once per session and input: id dictionaries and what they encode each read them."""
+    return td._stored(spark, d, "interactions", lambda: _inter(spark, d))
+
+
 def _tt(spark, d):
     from tunelake.operators import recommend as rc
     return rc.hash_split(_inter(spark, d), ["user_id", "song_id"])
@@ -604,7 +609,7 @@ def q_dictionary_encode(spark, d):
 @register("encode_roundtrip", W("SELECT * FROM interactions", "interactions"))
 def q_encode_roundtrip(spark, d):
     from tunelake.operators import recommend as rc
-    inter = _inter(spark, d)
+    inter = _stored_inter(spark, d)
     users, songs = rc.dictionaries(inter)
     return rc.decode(rc.encode(inter, users, songs), users, songs)
 
