@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tunelake.llm import text as T
 from tunelake.operators.ids import sequential_index
-from tunelake.session import cut_lineage
+from tunelake.session import cut_lineage, if_small
 
 CAP = 2.0            # most times a document is taken, and a target in source sizes
 WEIGHTS = (5, 2, 1)  # of the sources in order, repeating
@@ -120,7 +120,8 @@ def mix_plan(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float
     """Per source: target, tilt and rounding threshold, from ``sized`` rows."""
     hist = cut_lineage(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
     plan = tilts(hist, targets(hist, weights, share, cap), cap)
-    d = rows.join(plan, rows["source"].eqNullSafe(plan["source"])).select(
+    few = if_small(plan)
+    d = rows.join(few, rows["source"].eqNullSafe(few["source"])).select(
         rows["source"], "size", "u", "lam", "mean", "target")
     d = d.withColumn("_rate", rate(F.col("size"), F.col("lam"), F.col("mean"), cap))
     # documents with a spare copy, by the rate at which the hash would still take it
@@ -148,7 +149,8 @@ def _step(u: Column, w: Column, cap: float) -> Column:
 
 def copies(rows: DataFrame, plan: DataFrame, cap: float = CAP) -> DataFrame:
     """``rows`` plus source_size, target, rate and whole ``copies`` of each document."""
-    p = plan.select(F.col("source").alias("_s"), "source_size", "target", "mean", "lam", "cut")
+    # a row a source: the rows with their texts stay where they are
+    p = if_small(plan.select(F.col("source").alias("_s"), "source_size", "target", "mean", "lam", "cut"))
     w = rate(F.col("size"), F.col("lam"), F.col("mean"), cap)
     d = rows.join(p, F.col("source").eqNullSafe(F.col("_s"))).withColumn("rate", w)
     extra = F.coalesce(_step(F.col("u"), F.col("rate"), cap) <= F.col("cut"), F.lit(False))

@@ -16,7 +16,7 @@ of E, sign all. Weights and E are chosen per band by cost: signatures to write a
 hold nothing but n-grams which many sets have. Crowds there are met in linear time (below), so
 the choice follows the sizes of sets and not their number.
 
-Candidates are verified exactly on whole sets, after a bound on what they can share from one byte a token. Equal sets are one node. In a
+Candidates are verified exactly on whole sets, after bounds on what they can share, from a few bits and then from one byte a token. Equal sets are one node. In a
 bucket the least node leads; every node is first compared with one leader only, that
 of most of its buckets, so a group of near copies costs its size, not its square; components then tell which nodes
 of a bucket are still apart, and only pairs of different components are compared
@@ -65,7 +65,7 @@ LARGEST = 1 << 31      # n-grams of the largest set
 COMMON = 0.15          # share of a set's n-grams that many sets have, for the choice of weights
 CROWD_COST = 60.0      # of a set in one crowded bucket, in signatures
 SPARE = (0, 1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64)
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 CROWD = 16             # nodes of a bucket that are compared directly
 ROOM = 8               # nodes of a crowded bucket that meet in a round
 ROUNDS = 3             # at most; the last is the one that links less than a tenth of its pairs
@@ -75,6 +75,8 @@ KEY_TURNS = 4          # parts in which signatures are exchanged, at most
 TURN_KEYS = 8_000_000  # signatures that go in one part anyway
 SET_SHARE = 4          # pairs carry at a time one part in so many of what the sets take,
 TURN_BYTES = 1 << 26   # or these bytes, if the sets take more
+EDGES = 20_000         # of a component's round that a file holds, at most about
+BRIEF = 1              # places a token of the first bound, at least
 
 
 def bands(percent: int, largest: int) -> list[tuple[int, int, int]]:
@@ -206,6 +208,16 @@ def _tokens(n: int):
     return run
 
 
+def _briefly(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """``bits`` in BRIEF places a token or more."""
+    for batch in batches:
+        brief = []
+        for n, b in zip(batch["n"].tolist(), batch["bits"], strict=True):
+            m = max(64, 1 << (BRIEF * n - 1).bit_length())
+            brief.append(np.bitwise_or.reduce(np.frombuffer(b, np.uint64).reshape(-1, m // 64)).tobytes())
+        yield pd.DataFrame({"node": batch["node"], "n": batch["n"], "bits": brief})
+
+
 def _most_shared(nx: int, bx: bytes, ny: int, by: bytes) -> int:
     """An upper bound of the tokens that two sets share: a token whose bit the other set lacks isn't shared."""
     x, y = np.frombuffer(bx, np.uint64), np.frombuffer(by, np.uint64)
@@ -270,8 +282,10 @@ def _rarest(counts: np.ndarray, percent: int):
 
 def _mixed(b: DataFrame) -> DataFrame:
     """Members (key, node, label) of the buckets with two labels or more, with the bucket's
-    largest label and number of members."""
-    sums = b.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
+    largest label and number of members. Members are exchanged once, for the counts and for themselves."""
+    b = b.repartition("key")
+    rest = [F.col(c) for c in b.columns if c not in ("key", "label")]  # never null; counted, so that both sides read the same exchange
+    sums = b.groupBy("key", "label").agg(F.call_function("count", *rest).alias("c")).groupBy("key").agg(
         F.max(F.struct("c", "label")).alias("m"), F.sum("c").alias("members"), F.count(F.lit(1)).alias("k")).where("k > 1")
     return b.join(sums.select("key", F.col("m.label").alias("main"), "members"), "key")
 
@@ -294,8 +308,8 @@ def _dealt(b: DataFrame, salt: int) -> DataFrame:
 
 def _by_rarity(b: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Nodes of crowded buckets by each of their rarest n-grams."""
-    nodes = b.select("node", "label").distinct()
-    own = cut_lineage(sets.join(_if_few(nodes), "node").dropDuplicates(["node"]))
+    nodes = _if_few(cut_lineage(b.select("node", "label").distinct()))
+    own = sets.select("node", "tokens").join(nodes, "node")
     counts = np.zeros(CELLS, np.int64)
     for r in own.select("tokens").mapInPandas(_count_cells, "cell long, c long").groupBy("cell").agg(F.sum("c").alias("c")).collect():
         counts[r["cell"]] = r["c"]  # CELLS rows at most
@@ -306,7 +320,7 @@ def _by_rarity(b: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the least node reachable, for nodes with an edge. Alternating large and small stars."""
     e = cut_lineage(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
-    seen = None
+    seen, parts = None, 1 + e.count() // EDGES  # rounds never have more edges; each file of few rows costs as much as a full one
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -314,7 +328,7 @@ def components(edges: DataFrame) -> DataFrame:
         least = e.groupBy("u").agg(F.min("v").alias("m"))
         e = e.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(
             least.select("u", F.col("m").alias("v"))).distinct()
-        e = cut_lineage(e)
+        e = cut_lineage(e.coalesce(parts))
         now = tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == seen:
             break
@@ -330,7 +344,17 @@ def _if_few(ids: DataFrame) -> DataFrame:
 
 def _sets_of(sets: DataFrame, ids: Column, pairs: DataFrame) -> DataFrame:
     """Sets of the nodes on one side of the pairs."""
-    return sets.join(_if_few(pairs.select(ids.alias("node")).distinct()), "node", "left_semi").dropDuplicates(["node"])
+    return sets.join(_if_few(pairs.select(ids.alias("node")).distinct()), "node", "left_semi")
+
+
+def _once_each(sets: DataFrame, at: str) -> tuple[DataFrame, str]:
+    """The sets stored at ``at``, each node's once, and where they are then: rows that repeat a chosen doc_id repeat its sets."""
+    if sets.groupBy("node").agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty():
+        return sets, at
+    spark, to = sets.sparkSession, scratch_path(sets.sparkSession, "sets")
+    sets.dropDuplicates(["node"]).write.parquet(to)
+    drop_scratch(spark, at)
+    return spark.read.parquet(to), to
 
 
 def _turns(pairs: DataFrame, load: float) -> Iterator[DataFrame]:
@@ -341,20 +365,33 @@ def _turns(pairs: DataFrame, load: float) -> Iterator[DataFrame]:
         release(pairs.sparkSession)
 
 
+def _sketched(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v, nx) that may link by the sketches (node, n, bits) of their sets."""
+    x = sketches.select(F.col("node").alias("u"), F.col("n").alias("nx"), F.col("bits").alias("bx"))
+    y = sketches.select(F.col("node").alias("v"), F.col("n").alias("ny"), F.col("bits").alias("by"))
+    both = pairs.select("u", "v").join(x, "u").join(y, "v").select("u", "v", "nx", "bx", "ny", "by")
+    return cut_lineage(both.mapInPandas(_possible(percent), "u long, v long, nx int"))
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs that link: first by a byte a token, which rules out nearly all others, then exactly on whole sets."""
-    bits = sets.select("node", "n", "bits").dropDuplicates(["node"])
-    x = bits.select(F.col("node").alias("u"), F.col("n").alias("nx"), F.col("bits").alias("bx"))
-    y = bits.select(F.col("node").alias("v"), F.col("n").alias("ny"), F.col("bits").alias("by"))
+    """Pairs that link: first by sizes, a few bits and a byte a token, which rule out nearly all others, then exactly on whole
+    sets. ``sets`` has each node once."""
+    bits = sets.select("node", "n", "bits")
+    sizes = _if_few(sets.select("node", "n"))
+    pairs = pairs.join(sizes.select(F.col("node").alias("u"), F.col("n").alias("nx")), "u").join(
+        sizes.select(F.col("node").alias("v"), F.col("n").alias("ny")), "v")
+    pairs = cut_lineage(pairs.where(F.least("nx", "ny") * 100 >= percent * F.greatest("nx", "ny")).select("u", "v"))
+    brief = cut_lineage(bits.mapInPandas(_briefly, "node long, n int, bits binary"))
     # what pairs carry goes many times, once for each pair of a node: they take turns. The sets of a turn's own nodes
     # are no more than what its pairs carry
     own = bits.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("c")).first()
     size = own["n"] or 1
     once = max(8 * size / SET_SHARE, min(8 * size, TURN_BYTES))
     near = None
-    for now in _turns(pairs, pairs.count() * (size / max(own["c"], 1)) / once):  # a byte a token
-        some = now.join(x, "u").join(y, "v").select("u", "v", "nx", "bx", "ny", "by").mapInPandas(_possible(percent), "u long, v long, nx int")
-        some = cut_lineage(some)
+    for now in _turns(pairs, pairs.count() * (size / max(own["c"], 1)) / once):  # a byte a token, if no pair is ruled out before
+        some = _sketched(now, brief, percent)
+        ends = some.select(F.col("u").alias("node")).union(some.select(F.col("v").alias("node"))).distinct()
+        some = _sketched(some, bits.join(_if_few(ends), "node", "left_semi"), percent)
         near = some if near is None else near.union(some)
     out = None
     for now in _turns(near, 8 * (near.agg(F.sum("nx")).first()[0] or 0) / once):
@@ -406,7 +443,7 @@ def _labelled(docs: DataFrame, n: int, percent: int, tag: Column) -> DataFrame:
     chosen = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
     at = scratch_path(spark, "sets")
     chosen.mapInPandas(_tokens(n), "node long, n int, bits binary, tokens binary").write.parquet(at)
-    unpacked = spark.read.parquet(at)
+    unpacked, at = _once_each(spark.read.parquet(at), at)
 
     led = buckets.where("node <> lead").groupBy("node", "lead").agg(F.count(F.lit(1)).alias("c"))
     stars = cut_lineage(led.groupBy("node").agg(F.max_by("lead", F.struct("c", "lead")).alias("lead")).select(
@@ -414,7 +451,7 @@ def _labelled(docs: DataFrame, n: int, percent: int, tag: Column) -> DataFrame:
     labels = cut_lineage(components(_verify(stars, unpacked, percent)))
     # a label is the link that stands for all that made it
     grown = lambda labels, more: components(labels.select(F.col("node").alias("u"), F.col("label").alias("v")).union(more))
-    of = lambda b, labels: b.select("key", "node").join(labels, "node", "left").select(
+    of = lambda b, labels: b.select("key", "node").join(_if_few(labels), "node", "left").select(
         "key", "node", F.coalesce("label", "node").alias("label"))
     b = cut_lineage(_mixed(of(buckets, labels)))
     del led, nodes, buckets

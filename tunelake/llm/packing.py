@@ -30,11 +30,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunelake.llm import text as T
-from tunelake.session import scratch_path
+from tunelake.session import if_small, scratch_path
 
 MAX_LEN = 4096
 EOS = 2
-CACHE_PARTS = 400_000  # parts, and words, whose ids a worker remembers
+MOST_TASKS = 200_000   # rows of three numbers, one a task and length, that are broadcast
+CACHE_PARTS = 200_000  # parts, and words, whose ids a worker remembers
 
 
 def tokenizer_path() -> str:
@@ -159,7 +160,8 @@ def pack(docs: DataFrame, path: str | None = None, longest: int = MAX_LEN, keep_
     longer = Window.orderBy(F.desc("length")).rowsBetween(Window.unboundedPreceding, -1)
     begin = n.groupBy("length").agg(F.sum("_c").alias("_c")).select(
         "length", F.coalesce(F.sum("_c").over(longer), F.lit(0)).alias("_begin"))  # a row a binary length
-    out = made.join(within, ["length", "_p"]).join(F.broadcast(begin), "length")
+    # numbers of tasks and lengths, not of pieces: the pieces with their ids stay where they are
+    out = made.join(if_small(within, MOST_TASKS), ["length", "_p"]).join(F.broadcast(begin), "length")
     cols = [F.col("id").cast("long").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", (F.col("_begin") + F.col("_first") + F.col("_k")).alias("sequence_id"),
             F.lit(0).cast("long").alias("offset")]
     return out.select(*cols, *(["ids"] if keep_ids else []))
