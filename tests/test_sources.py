@@ -197,3 +197,12 @@ def test_malformed_lyrics_item_fails(lines):
         text.parse_lyrics(lines(b"%i,the\nT1,7,1:x\n")).collect()
     with pytest.raises(Exception, match="malformed"):
         text.parse_lyrics(lines(b"%i,the\nT1,7,1:2,\n")).collect()
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_words_of_the_vocabulary_line_are_not_broadcast(lines, strict):
+    """The planner takes the line's words for one row; all of them would go to the driver."""
+    rows = lines(b"%a,b,c\nT1,1,1:2,3:4\nT2,2,2:1\n")
+    got = text.parse_lyrics(rows, strict=strict)
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.track_id, r.word, r.cnt) for r in got.collect()) == [("T1", "a", 2), ("T1", "c", 4), ("T2", "b", 1)]
