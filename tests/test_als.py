@@ -56,3 +56,19 @@ def test_no_ratings_and_nulls_are_refused(spark):
     for rows in ([], [(1, None, 2)], [(1, 1, None)]):
         with pytest.raises(ValueError):
             rc.fit_als(spark.createDataFrame(rows, kind), rank=2, max_iter=1, num_blocks=2)
+
+
+def test_blocks_are_solved_in_turns_with_the_same_factors(spark, monkeypatch):
+    """What is sent at once is bounded by the factors, not by the interactions."""
+    rng = np.random.default_rng(4)
+    rows = [(u, int(s), int(rng.integers(1, 6))) for u in range(30) for s in rng.choice(24, 12, replace=False)]
+    coded = spark.createDataFrame(rows, "user_idx int, song_idx int, play_count bigint")
+    fit = lambda: rc.fit_als(coded, rank=4, max_iter=2, reg=0.1, alpha=5.0, num_blocks=6)
+    want = [dict(t.collect()) for m in [fit()] for t in (m.userFactors, m.itemFactors)]
+    monkeypatch.setattr(als, "TURN_BYTES", 1)
+    turns, rows_sent = [], als._sent
+    monkeypatch.setattr(als, "_sent", lambda rank, turn, of: turns.append((turn, of)) or rows_sent(rank, turn, of))
+    got = [dict(t.collect()) for m in [fit()] for t in (m.userFactors, m.itemFactors)]
+    assert min(of for _, of in turns) > 1 and {t for t, of in turns} == set(range(max(of for _, of in turns)))
+    for a, b in zip(got, want, strict=True):
+        assert a.keys() == b.keys() and all(np.allclose(a[i], b[i], atol=1e-5) for i in a)
